@@ -1,0 +1,205 @@
+"""Skew, layout and plan properties: what must hold on a large cluster."""
+
+import math
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from tripmill.checks.tables import trip_tables
+from tripmill.operators import kpis, metrics, outliers, quality, quantiles
+from tripmill.sources import catalog
+
+
+@pytest.fixture(scope="module")
+def tables(spark, sf_dir):
+    return trip_tables(spark, sf_dir)
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def bag(frame):
+    return Counter(map(tuple, frame.select(*sorted(frame.columns)).collect()))
+
+
+def by_cume_dist(values, share):
+    usable = sorted(v for v in values if v is not None and not math.isnan(v))
+    return usable[max(1, math.ceil(share * len(usable))) - 1]
+
+
+def test_dedupe_ignores_the_layout_and_a_hot_id(tables):
+    """A third of all rows carries one id, another part none."""
+    raw = tables.raw
+    hot = raw.withColumn(
+        "trip_id", F.when(F.col("passenger_count") % 3 == 0, "HOT").otherwise(F.col("trip_id"))
+    )
+    one = bag(quality.dedupe(hot.repartition(7, "payment_type")))
+    other = bag(quality.dedupe(hot.repartition(3, "fare_amount")))
+    assert one == other
+    clean = quality.clean_trips(hot)
+    report = quality.quality_report(hot.repartition(5)).first()
+    assert report.clean_records == clean.count()
+    assert report.total_records == report.clean_records + report.rejected_records
+
+
+def test_dedupe_prunes_before_the_shuffle(tables):
+    plan = plan_of(quality.clean_trips(tables.raw))
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
+
+
+def test_quality_report_shuffles_once_by_id(tables):
+    plan = plan_of(quality.quality_report(tables.clean))
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("Exchange SinglePartition") == 1
+
+
+@pytest.mark.parametrize("limit", [1, 50])
+@pytest.mark.parametrize("kind", ["spread", "hot", "two", "constant", "powers", "infinite"])
+def test_searched_quantiles_match_sorting(spark, kind, limit):
+    rng = random.Random(kind)
+    n = 1500
+    values = {
+        "spread": [rng.uniform(-1e6, 1e6) for _ in range(n)],
+        "hot": [5.0 if rng.random() < 0.4 else rng.gauss(5, 2) for _ in range(n)],
+        "two": [rng.choice([1.0, 2.0]) for _ in range(n)],
+        "constant": [3.5] * n,
+        "powers": [rng.choice([-1, 1]) * 10.0 ** rng.randint(-300, 300) for _ in range(n)],
+        "infinite": [float("-inf")] * (n // 3) + [rng.random() for _ in range(n // 3)]
+        + [float("inf")] * (n // 3),
+    }[kind] + [None, float("nan"), None]
+    rng.shuffle(values)
+    frame = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
+    shares = (0.25, 0.5, 0.75)
+    found = quantiles.exact_quantiles(frame, "x", shares, limit=limit)
+    assert found.rows == len(values)
+    assert found.values == tuple(by_cume_dist(values, share) for share in shares)
+
+
+def test_searched_quantiles_shrink_with_the_sketch(spark, monkeypatch):
+    """A coarse sketch and a tiny limit force several rounds."""
+    monkeypatch.setattr(quantiles, "SKETCH_ACCURACY", 20)
+    rng = random.Random(7)
+    values = [rng.gauss(0, 1) for _ in range(4000)] + [0.125] * 2000
+    frame = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
+    found = quantiles.exact_quantiles(frame, "x", limit=5)
+    assert found.values == tuple(by_cume_dist(values, share) for share in (0.25, 0.75))
+
+
+def test_approx_quantiles_keep_their_rank_bound(spark):
+    rng = random.Random(3)
+    values = sorted(rng.expovariate(1) for _ in range(5000))
+    frame = spark.createDataFrame([(v,) for v in values], "x double").repartition(6)
+    for share, value in zip((0.25, 0.75), quantiles.approx_quantiles(frame, "x").values):
+        assert abs(values.index(value) / len(values) - share) <= 0.011
+
+
+def test_no_usable_value(spark):
+    frame = spark.createDataFrame([(None,), (float("nan"),)], "x double")
+    for found in (
+        quantiles.exact_quantiles(frame, "x"),
+        quantiles.exact_quantiles(frame, "x", distinct=10**9),
+        quantiles.approx_quantiles(frame, "x"),
+    ):
+        assert (found.rows, found.values) == (2, ())
+
+
+def test_borough_metrics_equal_the_window_form(tables):
+    trips = tables.featured
+    whole = Window.partitionBy("pickup_borough")
+    windowed = trips.withColumns(
+        {
+            "borough_avg_fare": F.round(F.avg("fare_amount").over(whole), 2),
+            "borough_avg_distance": F.round(F.avg("trip_distance_miles").over(whole), 2),
+        }
+    ).withColumn("fare_vs_borough_avg", F.round(F.col("fare_amount") - F.col("borough_avg_fare"), 2))
+    ours = metrics.add_borough_metrics(trips)
+    assert bag(ours) == bag(windowed)
+    plan = plan_of(ours)
+    assert "Window" not in plan and "Exchange hashpartitioning" not in plan
+    assert "BroadcastHashJoin" in plan
+
+
+def test_large_averages_are_not_broadcast(spark, tables):
+    """With the size limit off the planner must fall back to a shuffled join, same rows."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    expected = bag(metrics.add_borough_metrics(tables.featured))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ours = metrics.add_borough_metrics(tables.featured)
+        assert "SortMergeJoin" in plan_of(ours)
+        assert bag(ours) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_rank_equals_the_window_form_with_hot_groups(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(3000):
+        borough = rng.choice(["Queens", "Queens", "Queens", "Bronx", None])
+        fare = rng.choice([7.0, round(rng.uniform(1, 90), 2), round(rng.uniform(1, 90), 2)])
+        rows.append((str(i), borough, rng.choice([fare, fare, fare, None, float("nan")])))
+    frame = spark.createDataFrame(
+        rows, "trip_id string, pickup_borough string, fare_amount double"
+    ).repartition(8)
+    order = Window.partitionBy("pickup_borough").orderBy(F.desc("fare_amount"))
+    expected = frame.select("trip_id", F.rank().over(order).cast("long").alias("rank"))
+    ours = metrics.add_borough_trip_rank(frame)
+    got = ours.select("trip_id", F.col("borough_trip_rank").alias("rank"))
+    assert bag(got) == bag(expected)
+    assert ours.count() == len(rows)
+
+
+def test_rank_slices_cover_many_partitions(spark):
+    """Slices must stay in order when adaptive execution keeps all of them."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        frame = spark.range(5000).select(
+            F.lit("Queens").alias("pickup_borough"),
+            ((F.col("id") * 7919) % 5000).cast("double").alias("fare_amount"),
+        )
+        wrong = metrics.add_borough_trip_rank(frame).where(
+            F.col("borough_trip_rank") != 5000 - F.col("fare_amount")
+        )
+        assert wrong.count() == 0
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_trips_of_all_boroughs_add_up(tables):
+    total = kpis.count_total(tables.final).first().total
+    per_borough = kpis.kpi(tables.final, "kpi_borough").agg(F.sum("total_trips")).first()[0]
+    assert per_borough == total
+
+
+def test_topk_plans_have_no_global_sort(tables):
+    for frame in (
+        kpis.kpi(tables.final, "kpi_od_pairs"),
+        kpis.anomaly_fare(tables.final),
+    ):
+        plan = plan_of(frame)
+        assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
+
+
+def test_reports_read_only_their_columns(tables):
+    plan = plan_of(kpis.kpi(tables.final, "kpi_fare_per_mile"))
+    assert "ReadSchema: struct<pickup_borough:string,fare_per_mile:double>" in plan
+
+
+def test_month_count_prunes_partitions(spark, tables):
+    database = "prune_check"
+    name = catalog.register_table(spark, database, "taxi_trips", tables.final_path)
+    plan = plan_of(kpis.count_partition(spark.table(name), 1996, 1))
+    assert "PartitionFilters: [isnotnull(trip_year" in plan
+    assert "PushedFilters: []" in plan and "ReadSchema: struct<>" in plan
+
+
+def test_fences_reach_the_scan(tables):
+    fences = outliers.compute_fences(tables.featured, mode="exact")
+    plan = plan_of(outliers.apply_fences(tables.featured, fences))
+    for column in outliers.FENCE_COLUMNS:
+        assert f"GreaterThanOrEqual({column}" in plan and f"LessThanOrEqual({column}" in plan

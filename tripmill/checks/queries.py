@@ -144,8 +144,11 @@ def verify_monthly(t: TripTables) -> DataFrame:
 
 @query
 def sink_warehouse(t: TripTables) -> DataFrame:
+    """The sink with connector options, pointed at Parquet files for want of a warehouse."""
     path = _fresh(t, "warehouse")
-    files.write_warehouse(t.final, "TAXI_TRIPS_CLEAN", {"path": path}, "parquet")
+    account = {"account": "none", "user": "none", "password": "none", "database": "none"}
+    options = {**files.snowflake_options(account), "path": path}
+    files.write_warehouse(t.final, "TAXI_TRIPS_CLEAN", options, "parquet")
     return files.scan_parquet(t.spark, path, FINAL_SCHEMA)
 
 
@@ -202,6 +205,30 @@ query(lambda t: final_columns(add_borough_metrics(t.featured)), "final_columns")
 
 
 query(lambda t: quartile_table(t.featured), "quartiles")
+
+
+@query
+def quartiles_approx(t: TripTables) -> DataFrame:
+    """Per column, the usable rows and whether each sketched quartile keeps its rank bound."""
+    trips, checks = t.featured, []
+    for name, q1, q3 in quartile_table(t.featured, mode="approx").collect():
+        value = F.col(name)
+        checks.append(
+            F.struct(
+                F.lit(name).alias("column_name"),
+                F.count(value).alias("usable_rows"),
+                *(
+                    (
+                        (F.count_if(value < quartile) <= F.count(value) * (share + 0.01))
+                        & (F.count_if(value <= quartile) >= F.count(value) * (share - 0.01))
+                    ).alias(label)
+                    for label, quartile, share in (("q1_holds", q1, 0.25), ("q3_holds", q3, 0.75))
+                ),
+            )
+        )
+    return trips.agg(F.array(*checks).alias("checks")).select(F.inline("checks"))
+
+
 query(lambda t: remove_outliers(t.featured, ["avg_speed_mph"], "exact"), "iqr_single")
 query(lambda t: remove_outliers(t.featured, mode="exact"), "remove_outliers")
 query(lambda t: outlier_report(t.featured, mode="exact"), "outlier_report")
@@ -238,7 +265,7 @@ def kpi_monthly_catalog(t: TripTables) -> DataFrame:
 
 @query
 def count_partition(t: TripTables) -> DataFrame:
-    return kpis.count_partition(t.spark.table(_registered(t)), *MONTH)
+    return kpis.count_partition(t.spark.table(_registered(t)), *MONTH, "jan_trips")
 
 
 query(lambda t: kpis.count_total(t.final), "count_total")

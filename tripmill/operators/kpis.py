@@ -198,10 +198,12 @@ def count_total(trips: DataFrame) -> DataFrame:
     return trips.agg(F.count(F.lit(1)).alias("total"))
 
 
-def count_partition(trips: DataFrame, year: int, month: int) -> DataFrame:
+def count_partition(
+    trips: DataFrame, year: int, month: int, name: str = "month_trips"
+) -> DataFrame:
     """Trips of one month; over a partitioned table only that month's folder is read."""
     one_month = (F.col("trip_year") == year) & (F.col("trip_month") == month)
-    return trips.where(one_month).agg(F.count(F.lit(1)).alias("month_trips"))
+    return trips.where(one_month).agg(F.count(F.lit(1)).alias(name))
 
 
 def anomaly_fare(trips: DataFrame, limit: int = 20) -> DataFrame:

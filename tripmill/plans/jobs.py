@@ -21,7 +21,7 @@ from tripmill.sources.files import (
     write_partitioned,
     write_warehouse,
 )
-from tripmill.sources.workspace import workspace
+from tripmill.sources.workspace import Workspace
 
 
 @dataclass(frozen=True)
@@ -38,7 +38,7 @@ class Transformed:
 
     trips: DataFrame
     fences: list[Fence]
-    rows_loaded: int | None
+    rows_loaded: int
     rows_written: int
 
 
@@ -72,26 +72,22 @@ def run_transform(
     if output_path.rstrip("/") == staging_path.rstrip("/"):
         raise ValueError("the output must not overwrite the staged trips it is read from")
     featured = engineer_features(scan_parquet(spark, staging_path, RAW_SCHEMA))
-    space = workspace(spark)
-
-    if fenced:
-        measures = space.stage(featured.select("pickup_borough", *FENCE_COLUMNS), "measures")
-        fences = compute_fences(measures, mode=quantiles)
-        source = apply_fences(measures, fences)
-    else:
-        fences, source = [], featured
-    averages = space.stage(borough_averages(source), "borough-averages")
-    trips = attach_averages(apply_fences(featured, fences), averages)
-    if fenced:
-        trips = final_columns(trips)
-
-    rows_written = write_partitioned(trips, output_path, rebalance=False)
-    return Transformed(
-        scan_parquet(spark, output_path, trips.schema),
-        fences,
-        fences[0].rows_before if fences else None,
-        rows_written,
-    )
+    with Workspace(spark) as space:
+        if fenced:
+            measures = space.stage(featured.select("pickup_borough", *FENCE_COLUMNS), "measures")
+            fences = compute_fences(measures, mode=quantiles)
+            source = apply_fences(measures, fences)
+        else:
+            fences, source = [], featured
+        averages = space.stage(borough_averages(source), "borough-averages")
+        trips = attach_averages(apply_fences(featured, fences), averages)
+        if fenced:
+            trips = final_columns(trips)
+        rows_written = write_partitioned(trips, output_path, rebalance=False)
+
+    rows_loaded = fences[0].rows_before if fenced else rows_written
+    written = scan_parquet(spark, output_path, trips.schema)
+    return Transformed(written, fences, rows_loaded, rows_written)
 
 
 def run_register(

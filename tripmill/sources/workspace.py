@@ -29,15 +29,25 @@ def shared_root(spark: SparkSession) -> str:
 
 
 class Workspace:
-    """A private folder for staged tables, deleted when the driver ends."""
+    """A private folder for staged tables.
 
-    def __init__(self, spark: SparkSession, root: str | None = None):
+    As a context manager it deletes them at the end of the block, otherwise when the driver ends.
+    """
+
+    def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.root = f"{root or shared_root(spark)}/tripmill-{uuid.uuid4().hex}"
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
-        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        files.mkdirs(folder)
-        files.deleteOnExit(folder)
+        self.root = f"{shared_root(spark)}/tripmill-{uuid.uuid4().hex}"
+        context = spark.sparkContext
+        self._folder = context._jvm.org.apache.hadoop.fs.Path(self.root)
+        self._files = self._folder.getFileSystem(context._jsc.hadoopConfiguration())
+        self._files.mkdirs(self._folder)
+        self._files.deleteOnExit(self._folder)
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_exception) -> None:
+        self._files.delete(self._folder, True)
 
     def fresh_path(self, name: str) -> str:
         return f"{self.root}/{name}-{uuid.uuid4().hex[:12]}"
@@ -53,7 +63,7 @@ _WORKSPACES: dict[str, Workspace] = {}
 
 
 def workspace(spark: SparkSession) -> Workspace:
-    """The application's workspace."""
+    """The application's workspace, for tables that lazy results still read."""
     app = spark.sparkContext.applicationId
     if app not in _WORKSPACES:
         _WORKSPACES[app] = Workspace(spark)
