@@ -155,7 +155,7 @@ def sink_warehouse(t: TripTables) -> DataFrame:
 @query
 def observe_counts(t: TripTables) -> DataFrame:
     staging = _fresh(t, "counted-clean")
-    ingested = jobs.stage_clean(t.raw, staging)
+    ingested = jobs.run_ingest(t.spark, t.csv_path, staging)
     moved = jobs.run_transform(
         t.spark, staging, _fresh(t, "counted-final"), quantiles="exact"
     )

@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.operators.features import engineer_features
-from tripmill.plans.jobs import run_transform, stage_clean
+from tripmill.operators.quality import clean_trips
+from tripmill.plans.jobs import run_transform
 from tripmill.schemas import FINAL_SCHEMA, RAW_SCHEMA
-from tripmill.sources.files import scan_parquet, write_csv
+from tripmill.sources.files import scan_parquet, write_csv, write_partitioned
 from tripmill.sources.tripview import SOURCE_TABLES, trip_view
 from tripmill.sources.workspace import workspace
 
@@ -38,7 +39,7 @@ class TripTables:
     @cached_property
     def clean_path(self) -> str:
         path = workspace(self.spark).fresh_path("clean")
-        stage_clean(self.raw, path)
+        write_partitioned(clean_trips(self.raw), path)
         return path
 
     @property

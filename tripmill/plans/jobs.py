@@ -42,16 +42,13 @@ class Transformed:
     rows_written: int
 
 
-def stage_clean(raw: DataFrame, staging_path: str) -> Ingested:
+def run_ingest(spark: SparkSession, csv_path: str, staging_path: str) -> Ingested:
     """Count the raw rows, write the clean ones by month: one aggregate and one write."""
+    raw = scan_csv(spark, csv_path)
     report = raw_counts(raw).first().asDict()
     report["clean_records"] = write_partitioned(clean_trips(raw), staging_path)
     report["rejected_records"] = report["total_records"] - report["clean_records"]
-    return Ingested(scan_parquet(raw.sparkSession, staging_path, RAW_SCHEMA), report)
-
-
-def run_ingest(spark: SparkSession, csv_path: str, staging_path: str) -> Ingested:
-    return stage_clean(scan_csv(spark, csv_path), staging_path)
+    return Ingested(scan_parquet(spark, staging_path, RAW_SCHEMA), report)
 
 
 def run_transform(
@@ -65,9 +62,8 @@ def run_transform(
 
     The fences and averages need several passes over five columns, so exactly those are staged
     first, with the datetimes already parsed. The last pass reads the staged trips once more,
-    applies the bounds as literals, broadcasts the small averages and writes. The trips already lie
-    in month folders, so that write needs no shuffle and makes no more files than the scan has tasks
-    per month. Without fences (``fenced=False``) all rows and all columns are kept.
+    applies the bounds as literals, joins the averages and writes. The trips already lie in month
+    folders, so that write needs no shuffle and makes no more files than the scan has splits. Without fences (``fenced=False``) all rows and all columns are kept.
     """
     if output_path.rstrip("/") == staging_path.rstrip("/"):
         raise ValueError("the output must not overwrite the staged trips it is read from")

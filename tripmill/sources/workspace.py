@@ -16,10 +16,10 @@ _LOCAL_ROOTS: dict[str, str] = {}
 
 def shared_root(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a temporary one only in local mode."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     app = context.applicationId
