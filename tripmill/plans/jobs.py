@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tripmill.operators.features import engineer_features, final_columns
 from tripmill.operators.kpis import SERVED_REPORTS, kpi
@@ -63,11 +64,17 @@ def run_transform(
     The fences and averages need several passes over five columns, so exactly those are staged
     first, with the datetimes already parsed. The last pass reads the staged trips once more,
     applies the bounds as literals, joins the averages and writes. The trips already lie in month
-    folders, so that write needs no shuffle and makes no more files than the scan has splits. Without fences (``fenced=False``) all rows and all columns are kept.
+    folders, so that write needs no shuffle and makes no more files than the scan has splits.
+    Without fences (``fenced=False``) all rows and all columns are kept.
+
+    The loaded rows are counted by an observation on the last pass. It also keeps the fences above
+    the feature projection; pushed below it, each comparison would parse the datetimes again.
     """
     if output_path.rstrip("/") == staging_path.rstrip("/"):
         raise ValueError("the output must not overwrite the staged trips it is read from")
     featured = engineer_features(scan_parquet(spark, staging_path, RAW_SCHEMA))
+    loaded = Observation()
+    observed = featured.observe(loaded, F.count(F.lit(1)).alias("rows"))
     with Workspace(spark) as space:
         if fenced:
             measures = space.stage(featured.select("pickup_borough", *FENCE_COLUMNS), "measures")
@@ -76,14 +83,13 @@ def run_transform(
         else:
             fences, source = [], featured
         averages = space.stage(borough_averages(source), "borough-averages")
-        trips = attach_averages(apply_fences(featured, fences), averages)
+        trips = attach_averages(apply_fences(observed, fences), averages)
         if fenced:
             trips = final_columns(trips)
         rows_written = write_partitioned(trips, output_path, rebalance=False)
 
-    rows_loaded = fences[0].rows_before if fenced else rows_written
     written = scan_parquet(spark, output_path, trips.schema)
-    return Transformed(written, fences, rows_loaded, rows_written)
+    return Transformed(written, fences, loaded.get["rows"], rows_written)
 
 
 def run_register(
