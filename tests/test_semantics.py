@@ -56,6 +56,34 @@ def test_zero_negative_and_unparsed_durations(raw):
         assert (row.time_of_day, row.is_weekend) == ("Night", False)
 
 
+def test_parse_equals_the_pattern_parse(spark):
+    texts = [
+        None, "", " ", "not a time", "2024-02-29 23:59:59", "2023-02-29 10:00:00",
+        "2024-13-01 10:00:00", "2024-00-10 10:00:00", "2024-01-32 00:00:00", "2024-01-08 24:00:00",
+        "2024-01-08 10:60:00", "2024-01-08 10:00:60", "2024-01-08", "2024-01-08 10:00",
+        "2024-01-08T10:00:00", "2024-01-08 10:00:00.5", "2024-01-08 10:00:00Z",
+        "2024-01-08 10:00:00 ", " 2024-01-08 10:00:00", "2024-1-8 10:00:00", "0000-01-01 00:00:00",
+        "0001-01-01 00:00:00", "9999-12-31 23:59:59", "1582-10-10 12:00:00", "1883-11-18 12:00:00",
+        "-2024-01-08 10:00:00", "+12024-01-08 10:00:00", "2024-01-08 10:00:00\n",
+        "2024-03-10 02:30:00", "2024-11-03 01:30:00", "１２２４-01-08 10:00:00",
+    ]
+    frame = spark.createDataFrame([(text,) for text in texts], "text string")
+    for zone in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            both = frame.select(
+                "text",
+                F.unix_micros(tc.parsed_datetime("text")).alias("ours"),
+                F.unix_micros(
+                    F.try_to_timestamp("text", F.lit(tc.DATETIME_PATTERN))
+                ).alias("pattern"),
+            ).collect()
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert [(r.text, r.ours) for r in both] == [(r.text, r.pattern) for r in both]
+        assert sum(r.ours is not None for r in both) >= 8
+
+
 def test_hours_and_weekdays(raw):
     hours = {5: "Night", 6: "Morning", 11: "Morning", 12: "Afternoon", 16: "Afternoon",
              17: "Evening", 21: "Evening", 22: "Night"}
