@@ -6,7 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tripmill.llm.decontaminate import decontamination_report
+from tripmill.llm.line_dedup import line_dedup
+from tripmill.llm.quality_rules import quality_rules
+from tripmill.llm.sharding import shard
 from tripmill.llm.token_counts import token_counts
 
 
@@ -14,10 +19,43 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(_documents(spark, sf_dir), min_chars=20, min_docs=3).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination_report(_documents(spark, sf_dir), benchmark, window=10).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(_documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "n_lines_removed", "chars_removed",
+    )
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(_documents(spark, sf_dir), shards=16)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_quality_rules": op7_quality_rules,
     "op9_token_counts": op9_token_counts,
+    "op10_sharding": op10_sharding,
 }
