@@ -10,6 +10,7 @@ Line rules (an empty line never fails):
   navigation   at least three menu separators, one for every three words; or a menu entry by name; or at
                most four words without closing punctuation next to other lines
   boilerplate  a stock phrase of web pages
+  stutter      more than half of the words repeat the word before them
 A text is rejected if the base fails (fewer than 20 words, or more than 30 % of its words in repeated
 windows) or if failing lines held more than half of its word characters.
 
@@ -35,8 +36,10 @@ MENU = r"(?i)^(?:home|menu|login|log ?in|log ?out|sign in|register|contact(?: us
 SEPARATORS = r"[|»›•·>]"
 CLOSING = r"[.!?…:;\"')\]»]$"
 
+STUTTER = r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]+)(?=[\x20\x09-\x0D]+\1(?:[\x20\x09-\x0D]|$))"
+
 MIN_WORDS, WINDOW = 20, 8
-MAX_REPEAT, MAX_LOST, MAX_SYMBOLS, MAX_EMPHASIS = 0.3, 0.5, 0.1, 0.5
+MAX_REPEAT, MAX_LOST, MAX_SYMBOLS, MAX_EMPHASIS, MAX_STUTTER = 0.3, 0.5, 0.1, 0.5, 0.5
 
 
 def words_of(text: Column) -> Column:
@@ -90,6 +93,7 @@ def line_fails(line: Column, alone: Column) -> Column:
     return (F.length(bare) > 0) & (
         (symbols > F.lit(MAX_SYMBOLS) * F.length(line))
         | (emphasis > F.lit(MAX_EMPHASIS) * n_words)
+        | (F.regexp_count(bare, F.lit(STUTTER)) > F.lit(MAX_STUTTER) * n_words)
         | ((separators >= 3) & (separators * 3 >= n_words))
         | bare.rlike(MENU)
         | (~alone & (n_words <= 4) & ~bare.rlike(CLOSING))
