@@ -81,11 +81,13 @@ def line_dedup(
         F.struct(*others or [F.lit(None).cast("int").alias("none")]).alias("rest"),
     )
     lines = stage(_exploded(keyed, min_chars), "lines")
-    repeated = (
+    # Staged, so that the join below has an exchange of its own on both sides and hot lines can be split.
+    repeated = stage(
         lines.groupBy("h1", "h2")
         .agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper"))
         .filter(F.col("n_docs") >= min_docs)
-        .select("h1", "h2", "keeper")
+        .select("h1", "h2", "keeper"),
+        "repeated",
     )
     dropped = (
         lines.join(repeated, ["h1", "h2"])
