@@ -14,6 +14,7 @@ from tripmill.llm.packing import pack
 from tripmill.llm.quality_rules import quality_rules
 from tripmill.llm.sharding import shard
 from tripmill.llm.token_counts import token_counts
+from tripmill.llm.toxicity import score_toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +50,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_quality_rules": op7_quality_rules,
+    "op8_toxicity": op8_toxicity,
     "op9_token_counts": op9_token_counts,
     "op10_sharding": op10_sharding,
 }
