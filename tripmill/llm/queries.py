@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tripmill.llm.decontaminate import decontamination_report
 from tripmill.llm.line_dedup import line_dedup
+from tripmill.llm.near_dedup import near_dedup
 from tripmill.llm.packing import pack
 from tripmill.llm.quality_rules import quality_rules
 from tripmill.llm.sharding import shard
@@ -31,6 +32,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(_documents(spark, sf_dir), width=3, percent=85)
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontamination_report(_documents(spark, sf_dir), benchmark, window=10).select(
@@ -65,6 +70,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_quality_rules": op7_quality_rules,
     "op8_toxicity": op8_toxicity,
