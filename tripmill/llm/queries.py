@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.llm.decontaminate import decontamination_report
+from tripmill.llm.license_scan import scan_licenses
 from tripmill.llm.line_dedup import line_dedup
 from tripmill.llm.near_dedup import near_dedup
 from tripmill.llm.packing import pack
@@ -36,6 +37,10 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(_documents(spark, sf_dir), width=3, percent=85)
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_documents(spark, sf_dir))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontamination_report(_documents(spark, sf_dir), benchmark, window=10).select(
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op5_license_scan": op5_license_scan,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_quality_rules": op7_quality_rules,
     "op8_toxicity": op8_toxicity,
