@@ -1,12 +1,14 @@
-"""Benchmark decontamination: a broadcast hash set of benchmark word windows against all training windows.
+"""Benchmark decontamination: a broadcast hash set of benchmark n-grams against all training windows.
 
 Words are runs of digits, letters and characters beyond ASCII, with A-Z lower-cased. Each item gives its
-windows of ``window`` words; an item of fewer words is one window of its own length. A scan of the
-documents hashes the windows at every word and probes the broadcast table; a hit is verified word by word
-in the same stage. Only verified hits are shuffled, reduced by document to merged spans and item ids.
+windows of ``window`` words; an item of fewer words is one window of its own length. Any run of L words in
+a document contains one of the blocks of (L + 1) // 2 words that the document is cut into, so a scan hashes
+the blocks and probes the broadcast table of the items' n-grams of that size at all offsets; no window can
+be missed. Windows around a hit are verified word by word in the same stage. Only verified windows are
+shuffled, reduced by document to merged spans and item ids.
 
-The table is broadcast while it has at most ``MAX_BROADCAST`` windows, and joined by a shuffle beyond that;
-both give the same rows. Window lengths are at most ``window`` different ones.
+The table is broadcast while it has at most ``MAX_BROADCAST`` n-grams, and joined by a shuffle beyond that;
+both give the same rows. A scan serves all items with blocks of one size; sizes are at most ``window`` / 2.
 
 Defined results: a null or empty text has no words and no hits; null or empty items give no windows; a
 null item id counts as an empty string; repeated items count once; rows that repeat id and text get the
@@ -18,12 +20,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.shared import LOWER, UPPER, ascii_lower, let, stage
+from tripmill.llm.shared import LOWER, UPPER, ascii_lower, stage
 
 #: Word separators: all ASCII but digits and letters (fixed value; case is handled apart).
 SEPARATOR = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
-MAX_BROADCAST = 1_000_000
+MAX_BROADCAST = 200_000
 
 
 def words_of(text: Column) -> Column:
@@ -31,25 +33,28 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SEPARATOR + "+"), "")
 
 
-def _window_hashes(words: Column, length: int | Column) -> Column:
-    """Hash of every window. Words that agree but for A-Z also agree lower-cased, so no hit is missed."""
-    hashes = F.transform(words, lambda w: F.xxhash64(F.lower(w)))
-    last = F.size(words) - F.lit(length) + 1
-    at = lambda h: F.transform(F.sequence(F.lit(1), last), lambda n: F.xxhash64(F.slice(h, n, length)))
-    return F.when(last >= 1, let(hashes, at)).otherwise(F.array().cast("array<bigint>"))
+def _block_hashes(words: Column, size: int | Column, step: int | Column) -> Column:
+    """Hashes of the runs of ``size`` words at every ``step``. Words that agree but for A-Z hash alike."""
+    last = F.size(words) - F.lit(size) + 1
+    hashed = lambda n: F.xxhash64(F.lower(F.array_join(F.slice(words, n, size), " ")))
+    return F.when(last >= 1, F.transform(F.sequence(F.lit(1), last, F.lit(step)), hashed)).otherwise(
+        F.array().cast("array<bigint>")
+    )
 
 
-def benchmark_windows(benchmark: DataFrame, window: int, item_id: str, text: str) -> DataFrame:
-    """``hash, length, gram, items``: each distinct window with the ids of the items that have it."""
+def benchmark_grams(benchmark: DataFrame, window: int, item_id: str, text: str) -> DataFrame:
+    """``hash, at, item_words, length, block, items``: the n-grams of each distinct item at all offsets."""
     items = benchmark.select(
         F.coalesce(benchmark[item_id].cast("string"), F.lit("")).alias("item"),
-        words_of(ascii_lower(benchmark[text])).alias("words"),
-    ).filter(F.size("words") > 0)
-    sized = items.select("item", "words", F.least(F.lit(window), F.size("words")).alias("length"))
-    grams = sized.select(
-        "item", "length", "words", F.posexplode(_window_hashes(F.col("words"), F.col("length"))).alias("at", "hash")
-    ).select("item", "length", "hash", F.slice("words", F.col("at") + 1, F.col("length")).alias("gram"))
-    return grams.groupBy("hash", "length", "gram").agg(F.array_sort(F.collect_set("item")).alias("items"))
+        words_of(ascii_lower(benchmark[text])).alias("item_words"),
+    ).filter(F.size("item_words") > 0)
+    sized = (
+        items.groupBy("item_words")
+        .agg(F.array_sort(F.collect_set("item")).alias("items"))
+        .withColumn("length", F.least(F.lit(window), F.size("item_words")))
+        .withColumn("block", F.floor((F.col("length") + 1) / 2).cast("int"))
+    )
+    return sized.select("*", F.posexplode(_block_hashes(F.col("item_words"), F.col("block"), 1)).alias("at", "hash"))
 
 
 def find_hits(
@@ -62,23 +67,16 @@ def find_hits(
     item_text: str = "text",
 ) -> DataFrame:
     """``doc_id, text_hash, spans, n_hit, items`` of the documents with hits; spans: merged word ranges."""
-    grams = stage(benchmark_windows(benchmark, window, item_id, item_text), "windows")
-    sizes = grams.groupBy("length").agg(F.count("*").alias("n")).collect()  # at most ``window`` rows
+    grams = stage(benchmark_grams(benchmark, window, item_id, item_text), "grams")
+    sizes = grams.groupBy("block").agg(F.count("*").alias("n")).collect()  # at most ``window`` / 2 rows
     table = F.broadcast(grams) if sum(row.n for row in sizes) <= MAX_BROADCAST else grams
     read = docs.select(
         docs[doc_id].alias("doc_id"), F.xxhash64(docs[text]).alias("text_hash"), words_of(docs[text]).alias("words")
     )
     found = None
-    for length in sorted(row.length for row in sizes) or [window]:
-        scanned = read.select("*", F.posexplode(_window_hashes(F.col("words"), length)).alias("at", "hash"))
-        here = F.transform(
-            F.slice("words", F.col("at") + 1, length), lambda w: F.translate(w, UPPER, LOWER)
-        )
-        hits = (
-            scanned.join(table.filter(F.col("length") == length), "hash")
-            .filter(here == F.col("gram"))
-            .select("doc_id", "text_hash", F.struct("at", (F.col("at") + length).alias("end")).alias("span"), "items")
-        )
+    for block in sorted(row.block for row in sizes) or [1]:
+        blocks = F.posexplode(_block_hashes(F.col("words"), block, block)).alias("n", "hash")
+        hits = scanned_hits(read.select("*", blocks), table.filter(F.col("block") == block), block)
         found = hits if found is None else found.unionByName(hits)
 
     def merge(spans: Column, span: Column) -> Column:
@@ -101,6 +99,23 @@ def find_hits(
     )
 
 
+def scanned_hits(blocks: DataFrame, table: DataFrame, block: int) -> DataFrame:
+    """Verified windows around the blocks whose hash is in the table."""
+    # Item windows that contain the n-gram at ``at``, and where they would start in the document.
+    first = F.greatest(F.lit(0), F.col("at") + block - F.col("length"))
+    last = F.least(F.col("at"), F.size("item_words") - F.col("length"))
+    start = F.col("n") * block - F.col("at") + F.col("from")
+    here = F.transform(F.slice("words", F.col("start") + 1, F.col("length")), lambda w: F.translate(w, UPPER, LOWER))
+    return (
+        blocks.join(table, "hash")
+        .select("*", F.explode(F.sequence(first, last)).alias("from"))
+        .withColumn("start", start)
+        .filter((F.col("start") >= 0) & (F.col("start") + F.col("length") <= F.size("words")))
+        .filter(here == F.slice("item_words", F.col("from") + 1, F.col("length")))
+        .select("doc_id", "text_hash", F.struct(F.col("start").alias("at"), (F.col("start") + F.col("length")).alias("end")).alias("span"), "items")
+    )
+
+
 def decontamination_report(docs: DataFrame, benchmark: DataFrame, window: int = 10, doc_id: str = "doc_id",
                            text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """``doc_id, n_words, n_hit, items, contaminated`` of every document."""
