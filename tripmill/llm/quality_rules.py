@@ -8,9 +8,10 @@ Line rules (an empty line never fails):
   symbols      more than a tenth of the characters are ``#*$%&|<>``
   punctuation  more than half of the words end in ``!!`` or ``??``
   navigation   at least three menu separators, one for every three words; or a menu entry by name; or at
-               most four words without closing punctuation next to other lines
+               most four words and 60 characters without closing punctuation next to other lines
   boilerplate  a stock phrase of web pages
   stutter      more than half of the words repeat the word before them
+What a rule looks for is first sought in the whole text, so most lines are judged by a flag.
 A text is rejected if the base fails (fewer than 20 words, or more than 30 % of its words in repeated
 windows) or if failing lines held more than half of its word characters.
 
@@ -20,6 +21,9 @@ give a row each; columns besides id and text ride along in ``rest``; an empty ta
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,17 +32,17 @@ from tripmill.llm.shared import SPACE_CLASS, let
 #: Fixed values.
 SYMBOLS = r"[#*$%&|<>]"
 BOILERPLATE = (
-    r"(?i)all rights reserved|privacy policy|cookie policy|terms of (?:use|service)|click here|read more\b|"
-    r"subscribe to (?:our|the)|sign up for|enable javascript|lorem ipsum|share this (?:page|article|post)|"
-    r"skip to (?:main )?content|back to top"
-)
+    "all rights reserved", "privacy policy", "cookie policy", "terms of use", "terms of service", "click here",
+    "read more about", "subscribe to our", "subscribe to the", "sign up for", "enable javascript", "lorem ipsum",
+    "share this page", "share this article", "share this post", "skip to content", "skip to main content", "back to top",
+)
 MENU = r"(?i)^(?:home|menu|login|log ?in|log ?out|sign in|register|contact(?: us)?|about(?: us)?|next|previous|search|sitemap|faq)$"
-SEPARATORS = r"[|»›•·>]"
+SEPARATOR_CHARS, SEPARATORS = "|»›•·>", r"[|»›•·>]"
 CLOSING = r"[.!?…:;\"')\]»]$"
-
+BLANKS = " \t\n\x0b\x0c\r"
 STUTTER = r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]+)(?=[\x20\x09-\x0D]+\1(?:[\x20\x09-\x0D]|$))"
 
-MIN_WORDS, WINDOW = 20, 8
+MIN_WORDS, WINDOW, SHORT_LINE = 20, 8, 60
 MAX_REPEAT, MAX_LOST, MAX_SYMBOLS, MAX_EMPHASIS, MAX_STUTTER = 0.3, 0.5, 0.1, 0.5, 0.5
 
 
@@ -83,21 +87,36 @@ def repeated_words(words: Column) -> Column:
     return F.when(F.size(words) <= WINDOW, F.lit(0).cast("bigint")).otherwise(counted)
 
 
-def line_fails(line: Column, alone: Column) -> Column:
-    """Whether a line fails a rule; ``alone``: the text has no other line."""
-    bare = F.regexp_replace(line, f"^{SPACE_CLASS}+|{SPACE_CLASS}+$", "")
+def rule_flags(text: Column, lines: Column, words: Column, n_symbols: Column) -> Column:
+    """What the whole text holds: a rule whose flag is unset fails no line of it."""
+    lowered = F.lower(text)
+    any_of = lambda where, parts: functools.reduce(operator.or_, (F.contains(where, F.lit(x)) for x in parts))
+    repeats = F.filter(words, lambda w, n: (n > 0) & (w == F.get(words, n - 1)))
+    return F.struct(
+        (F.size(lines) > 1).alias("others"),
+        (n_symbols > 0).alias("symbols"),
+        any_of(text, ("!!", "??")).alias("emphasis"),
+        any_of(text, SEPARATOR_CHARS).alias("separators"),
+        any_of(lowered, BOILERPLATE).alias("boilerplate"),
+        (F.size(repeats) > 1).alias("stutter"),
+    )
+
+
+def line_fails(line: Column, flags: Column) -> Column:
+    """Whether a line fails a rule."""
+    bare = F.btrim(line, F.lit(BLANKS))
     n_words = F.size(F.split(bare, SPACE_CLASS + "+"))
+    count = lambda pattern: F.regexp_count(bare, F.lit(pattern))
     symbols = F.length(line) - F.length(F.regexp_replace(line, SYMBOLS, ""))
-    emphasis = F.regexp_count(bare, F.lit(r"(?:!!|\?\?)(?=[\x20\x09-\x0D]|$)"))
-    separators = F.regexp_count(bare, F.lit(SEPARATORS))
-    return (F.length(bare) > 0) & (
-        (symbols > F.lit(MAX_SYMBOLS) * F.length(line))
-        | (emphasis > F.lit(MAX_EMPHASIS) * n_words)
-        | (F.regexp_count(bare, F.lit(STUTTER)) > F.lit(MAX_STUTTER) * n_words)
-        | ((separators >= 3) & (separators * 3 >= n_words))
-        | bare.rlike(MENU)
-        | (~alone & (n_words <= 4) & ~bare.rlike(CLOSING))
-        | bare.rlike(BOILERPLATE)
+    short = (F.length(line) <= SHORT_LINE) & (F.length(bare) > 0)
+    return (
+        (flags["symbols"] & (symbols > F.lit(MAX_SYMBOLS) * F.length(line)))
+        | (flags["emphasis"] & (count(r"(?:!!|\?\?)(?=[\x20\x09-\x0D]|$)") > F.lit(MAX_EMPHASIS) * n_words))
+        | (flags["separators"] & (count(SEPARATORS) >= 3) & (count(SEPARATORS) * 3 >= n_words))
+        | (flags["stutter"] & (count(STUTTER) > F.lit(MAX_STUTTER) * n_words))
+        | (short & bare.rlike(MENU))
+        | (short & flags["others"] & (n_words <= 4) & ~bare.rlike(CLOSING))
+        | (flags["boilerplate"] & F.lower(line).rlike("|".join(BOILERPLATE)))
     )
 
 
@@ -113,32 +132,35 @@ def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     lines = F.col("lines")
     worded = F.filter(lines, lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     chars = lambda xs: F.length(F.regexp_replace(F.array_join(xs, " "), SPACE_CLASS + "+", ""))
+    n_symbols = F.length("text") - F.length(F.regexp_replace("text", SYMBOLS, ""))
     measured = split.select(
         "doc_id",
         "text",
         "rest",
         F.size("words").cast("bigint").alias("n_words"),
         F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
-        (F.length("text") - F.length(F.regexp_replace("text", SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
+        n_symbols.cast("bigint").alias("n_symbols"),
         let(worded, lambda w: F.size(w) - F.size(F.array_distinct(w))).cast("bigint").alias("n_dup_lines"),
         repeated_words(F.col("words")).alias("n_repeat_words"),
         F.size("lines").cast("bigint").alias("n_lines"),
-        let(F.size(lines) == 1, lambda alone: F.filter(lines, lambda x: line_fails(x, alone))).alias("failing"),
+        let(
+            rule_flags(F.col("text"), lines, F.col("words"), n_symbols),
+            lambda flags: F.transform(lines, lambda x: line_fails(x, flags)),
+        ).alias("fails"),
         lines.alias("lines"),
     )
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.lit(int(MAX_REPEAT * 100)) * F.col("n_words"))
-    alone = F.size(lines) == 1
-    cleaned = F.when(F.size("failing") == 0, F.col("text")).otherwise(
-        F.array_join(let(alone, lambda a: F.filter(lines, lambda x: ~line_fails(x, a))), "\n")
-    )
+    some = F.exists("fails", lambda x: x)
+    pick = lambda wanted: F.filter(lines, lambda _, n: F.get(F.col("fails"), n) == wanted)
     judged = measured.select(
         "*",
-        F.size("failing").cast("bigint").alias("n_lines_removed"),
-        chars(F.col("failing")).cast("bigint").alias("chars_removed"),
+        F.size(F.filter("fails", lambda x: x)).cast("bigint").alias("n_lines_removed"),
+        F.when(some, chars(pick(True)).cast("bigint")).otherwise(F.lit(0).cast("bigint")).alias("chars_removed"),
+        F.when(some, F.array_join(pick(False), "\n")).otherwise(F.col("text")).alias("cleaned"),
         failed.alias("base_failed"),
     )
     kept = ~F.col("base_failed") & (F.col("chars_removed") <= F.lit(MAX_LOST) * F.col("word_chars"))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        kept.alias("kept"), "n_lines", "n_lines_removed", "chars_removed", cleaned.alias("text"), "rest",
+        kept.alias("kept"), "n_lines", "n_lines_removed", "chars_removed", F.col("cleaned").alias("text"), "rest",
     )
