@@ -3,10 +3,10 @@
 Templates are short license texts. A window has a quarter more shingles (five words) than its template and
 windows overlap by seven eighths. A window and a template share a band if the least shingle under one of
 ``BANDS`` hash functions is the same. Such a window must hold the template's own least shingle, so the scan
-probes a broadcast table of these shingles (at most ``BANDS`` a template) with the shingles of every word,
-and only windows around a probe hit have their least shingles computed. Retrieved windows are then
-verified: the share of the template's distinct shingles in the window, and one step around it, must reach
-``CONTAINMENT``.
+probes a broadcast table of these shingles (at most ``BANDS`` a template) with every word, by each shingle's
+longest word, and only windows around a probe hit have their least shingles computed. Retrieved windows are
+then verified: the share of the template's distinct shingles in the window, and one step around it, must
+reach ``CONTAINMENT``.
 
 ``miss_probability`` bounds what the bands miss: a window of w shingles that holds the share c of the m
 template shingles has similarity c m / (w + (1 - c) m), and all ``BANDS`` hash functions must disagree.
@@ -87,20 +87,32 @@ def _shingles(words: Column) -> Column:
 
 
 def template_table(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
-    """``hash, template, license, shingles, width, step, bands``: the least shingles of each template."""
+    """``anchor, offset, hash, template, license, shingles, width, step, bands``: each template's least shingles.
+
+    ``anchor`` is the hash of the shingle's longest word, ``offset`` that word's place in it.
+    """
     rows = [(n, name, text) for n, (name, text) in enumerate(templates)]
     read = spark.createDataFrame(rows, "template int, license string, text string").select(
         "template", "license", words_of(ascii_lower(F.col("text"))).alias("words")
     )
-    sized = read.select("template", "license", _shingle_hashes(F.col("words")).alias("hashes"), _shingles(F.col("words")).alias("shingles"))
+    sized = read.select("template", "license", "words", _shingle_hashes(F.col("words")).alias("hashes"), _shingles(F.col("words")).alias("shingles"))
     width = F.ceil(F.size("hashes") * WINDOW_FACTOR).cast("int")
     least = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")
     return (
         sized.select("*", width.alias("width"), F.greatest(F.lit(1), F.floor(width / OVERLAP).cast("int")).alias("step"), least)
         .withColumn("hash", _least(F.col("hashes"), F.col("band")).bitwiseXOR(_mask(F.col("band"))))
         .groupBy("hash", "template")
-        .agg(*(F.first(c).alias(c) for c in ("license", "shingles", "width", "step")), F.collect_list("band").alias("bands"))
-    )
+        .agg(
+            *(F.first(c).alias(c) for c in ("license", "shingles", "width", "step", "words", "hashes")),
+            F.collect_list("band").alias("bands"),
+        )
+        .withColumn("own", F.slice("words", F.array_position("hashes", F.col("hash")).cast("int"), WIDTH))
+        .withColumn("longest", F.array_max(F.transform("own", lambda w, n: F.struct(F.length(w), -n, F.lower(w).alias("w"), n.alias("n")))))
+        .select(
+            F.xxhash64("longest.w").alias("anchor"), F.col("longest.n").alias("offset"),
+            "hash", "template", "license", "shingles", "width", "step", "bands",
+        )
+    )
 
 
 def find_licenses(docs: DataFrame, templates=TEMPLATES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -109,7 +121,14 @@ def find_licenses(docs: DataFrame, templates=TEMPLATES, doc_id: str = "doc_id",
     read = docs.select(
         docs[doc_id].alias("doc_id"), F.xxhash64(docs[text]).alias("text_hash"), words_of(docs[text]).alias("words")
     )
-    probes = read.select("*", F.posexplode(_shingle_hashes(F.col("words"))).alias("at", "hash")).join(table, "hash")
+    probes = (
+        read.select("*", F.posexplode("words").alias("place", "word"))
+        .withColumn("anchor", F.xxhash64(F.lower("word")))
+        .join(table, "anchor")
+        .withColumn("at", F.col("place") - F.col("offset"))
+        .filter((F.col("at") >= 0) & (F.col("at") + WIDTH <= F.size("words")))
+        .filter(F.xxhash64(F.lower(F.array_join(F.slice("words", F.col("at") + 1, WIDTH), " "))) == F.col("hash"))
+    )
     # Window starts are multiples of the step; these hold the shingle at ``at``.
     first = F.ceil(F.greatest(F.lit(0), F.col("at") - F.col("width") + 1) / F.col("step")).cast("int") * F.col("step")
     windows = probes.filter(first <= F.col("at")).select(
