@@ -14,6 +14,7 @@ from tripmill.llm.line_dedup import line_dedup
 from tripmill.llm.near_dedup import near_dedup
 from tripmill.llm.packing import pack
 from tripmill.llm.quality_rules import quality_rules
+from tripmill.llm.run_index_dedup import dedup_strings
 from tripmill.llm.sharding import shard
 from tripmill.llm.token_counts import token_counts
 from tripmill.llm.toxicity import score_toxicity
@@ -37,6 +38,12 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(_documents(spark, sf_dir), width=3, percent=85)
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_strings(_documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_documents(spark, sf_dir))
 
@@ -76,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_license_scan": op5_license_scan,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_quality_rules": op7_quality_rules,
