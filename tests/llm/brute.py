@@ -40,7 +40,7 @@ def op1(docs, min_chars=20, min_docs=3):
     return out
 
 
-def op3(docs, width=3, num=85):
+def op3(docs, width=3, percent=85):
     sets = []
     for i, t in docs:
         w = words(lower(t or ""))
@@ -56,7 +56,7 @@ def op3(docs, width=3, num=85):
     for a in range(len(sets)):
         for b in range(a):
             x, y = sets[a][1], sets[b][1]
-            if x and y and 100 * len(x & y) >= 85 * len(x | y):
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
                 ra, rb = root(a), root(b)
                 if ra != rb:
                     if sets[ra][0] < sets[rb][0]:
