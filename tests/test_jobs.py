@@ -98,15 +98,58 @@ def test_register_is_repeatable_and_keeps_external_files(spark, tmp_path, sf_dir
         catalog.verify_table(spark, name)
 
 
-def test_register_falls_back_to_a_managed_table(spark, sf_dir, monkeypatch):
+def test_register_surfaces_errors_unless_a_copy_is_asked_for(spark, sf_dir, monkeypatch):
     def refuse(*_):
         raise AnalysisException("no repair here")
 
     monkeypatch.setattr(catalog, "repair_partitions", refuse)
     tables = trip_tables(spark, sf_dir)
-    name, monthly = jobs.run_register(spark, "fallback", "taxi_trips", tables.final_path)
-    assert monthly.agg(F.sum("total_trips")).first()[0] == tables.final.count()
-    assert catalog.show_partitions(spark, name).count() > 1
+    with pytest.raises(AnalysisException, match="no repair here"):
+        catalog.register_table(spark, "fallback", "taxi_trips", tables.final_path)
+    made = catalog.register_table(spark, "fallback", "taxi_trips", tables.final_path, managed_fallback=True)
+    assert made == catalog.Registered("fallback.taxi_trips", managed=True)
+    assert spark.table(made.name).count() == tables.final.count()
+    assert catalog.show_partitions(spark, made.name).count() > 1
+
+
+def test_registration_passes_properties_comments_location_and_codec(spark, sf_dir, tmp_path):
+    tables = trip_tables(spark, sf_dir)
+    files_at = str(tmp_path / "trips")
+    tables.final.limit(50).write.partitionBy("trip_year", "trip_month").parquet(files_at)
+    name, _ = jobs.run_register(
+        spark, "told", "order", files_at, comment="all trips", properties={"owner team": "data"},
+        codec="gzip", database_comment="the trips", database_location=str(tmp_path / "told.db"),
+    )
+    shown = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {catalog.quoted(name)}").collect()}
+    assert shown["owner team"] == "data" and shown["parquet.compression"] == "GZIP"
+    told = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {catalog.quoted(name)}").collect()}
+    assert told["Comment"] == "all trips"
+    base = {r.info_name: r.info_value for r in spark.sql("DESCRIBE DATABASE EXTENDED told").collect()}
+    assert base["Comment"] == "the trips" and base["Location"].endswith("told.db")
+    spark.table(catalog.quoted(name)).limit(5).write.insertInto(catalog.quoted(name))
+    assert list((tmp_path / "trips").rglob("*.gz.parquet"))
+
+
+def test_managed_table_of_placed_trips_needs_no_shuffle(spark, sf_dir):
+    tables = trip_tables(spark, sf_dir)
+    for rebalance in (True, False):
+        catalog.save_managed_table(tables.final, "placed_trips", rebalance=rebalance)
+        assert spark.table("placed_trips").count() == tables.final.count()
+    catalog.drop_table(spark, "placed_trips")
+
+
+def test_closed_workspace_leaves_nothing(spark, sf_dir):
+    import os
+
+    from tripmill.operators.metrics import add_borough_metrics, add_borough_trip_rank
+
+    tables = trip_tables(spark, sf_dir)
+    before = set(os.listdir(shared_root(spark)))
+    with Workspace(spark) as space:
+        assert add_borough_metrics(tables.featured, space).count() == tables.featured.count()
+        assert add_borough_trip_rank(tables.final, space).count() == tables.final.count()
+        assert set(os.listdir(shared_root(spark))) > before
+    assert set(os.listdir(shared_root(spark))) == before
 
 
 def test_serve_dispatches(spark, sf_dir, tmp_path):
@@ -133,3 +176,20 @@ def test_workspace_uses_the_configured_folder(spark):
     configured = spark.conf.get("spark.checkpoint.dir")
     assert shared_root(spark) == configured
     assert Workspace(spark).root.startswith(configured)
+
+
+def test_workspace_without_a_configured_folder():
+    """The warehouse's file system, whatever the master is."""
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.sql.warehouse.dir": "hdfs://store/warehouse/"}.get(key, default)
+
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    assert shared_root(Session()) == "hdfs://store/warehouse/_staged"

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from tripmill.checks.tables import trip_tables
 from tripmill.operators import kpis, metrics, outliers, quality, quantiles
+from tripmill.plans import jobs
 from tripmill.sources import catalog
 
 
@@ -57,9 +58,8 @@ def test_quality_report_shuffles_once_by_id(tables):
     assert plan.count("Exchange SinglePartition") == 1
 
 
-@pytest.mark.parametrize("limit", [1, 50])
 @pytest.mark.parametrize("kind", ["spread", "hot", "two", "constant", "powers", "infinite"])
-def test_searched_quantiles_match_sorting(spark, kind, limit):
+def test_exact_quantiles_match_sorting(spark, kind):
     rng = random.Random(kind)
     n = 1500
     values = {
@@ -74,19 +74,75 @@ def test_searched_quantiles_match_sorting(spark, kind, limit):
     rng.shuffle(values)
     frame = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
     shares = (0.25, 0.5, 0.75)
-    found = quantiles.exact_quantiles(frame, "x", shares, limit=limit)
+    found = quantiles.exact_quantiles(frame, "x", shares)
     assert found.rows == len(values)
     assert found.values == tuple(by_cume_dist(values, share) for share in shares)
 
 
-def test_searched_quantiles_shrink_with_the_sketch(spark, monkeypatch):
-    """A coarse sketch and a tiny limit force several rounds."""
-    monkeypatch.setattr(quantiles, "SKETCH_ACCURACY", 20)
-    rng = random.Random(7)
-    values = [rng.gauss(0, 1) for _ in range(4000)] + [0.125] * 2000
-    frame = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
-    found = quantiles.exact_quantiles(frame, "x", limit=5)
-    assert found.values == tuple(by_cume_dist(values, share) for share in (0.25, 0.75))
+def jobs_of(spark, name, work):
+    spark.sparkContext.setJobGroup(name, name)
+    work()
+    spark.sparkContext.setJobGroup("", "")
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+
+def test_quantile_jobs_do_not_depend_on_the_values(spark):
+    """Adaptive execution starts a job for each exchange and scan; values and columns add none beyond."""
+    few = spark.range(4000).select((F.col("id") % 3).cast("double").alias("x"), F.col("id").cast("double").alias("y"))
+    few = few.repartition(4)
+    counts = {
+        jobs_of(spark, f"exact-{n}", lambda c=c: quantiles.exact_quantiles_of(few, c))
+        for n, c in enumerate((["x"], ["y"], ["x", "y"]))
+    }
+    assert max(counts) - min(counts) <= 2
+    assert jobs_of(spark, "sketch-2", lambda: quantiles.approx_quantiles_of(few, ["x", "y"])) == jobs_of(
+        spark, "sketch-1", lambda: quantiles.approx_quantiles_of(few, ["x"])
+    )
+
+
+def test_quantiles_across_many_slices(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rng = random.Random(7)
+        values = [rng.gauss(0, 1) for _ in range(4000)] + [0.125] * 2000
+        frame = spark.createDataFrame([(v, -v) for v in values], "x double, y double").repartition(4)
+        found = quantiles.exact_quantiles_of(frame, ["x", "y"])
+        for name, sign in (("x", 1), ("y", -1)):
+            own = [sign * v for v in values]
+            assert found[name].values == tuple(by_cume_dist(own, share) for share in (0.25, 0.75))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+@pytest.mark.parametrize("name", ["revenue", "fare"])
+def test_sums_and_means_do_not_depend_on_the_layout(spark, name):
+    """Plain float sums of these amounts differ between the layouts."""
+    rng = random.Random(9)
+    cents = [rng.randint(1, 10**9) for _ in range(20_000)] + [7] * 9
+    column = {"revenue": "total_amount", "fare": "fare_amount"}[name]
+    frame = spark.createDataFrame([(c / 100,) for c in cents], f"{column} double")
+    plain, ours = set(), set()
+    for layout in (frame.repartition(3), frame.repartition(17), frame.orderBy(column), frame.orderBy(F.desc(column))):
+        row = layout.agg(F.sum(column).alias("plain"), kpis.MEASURES[name]().alias("ours")).first()
+        plain.add(row.plain)
+        ours.add(row.ours)
+    assert len(plain) > 1
+    exact = sum(cents) / 100 if name == "revenue" else round(sum(cents) / 100 / len(cents), 2)
+    assert ours == {exact}
+
+
+def test_sums_of_special_amounts(spark):
+    def both(*values):
+        frame = spark.createDataFrame([(v,) for v in values], "total_amount double")
+        return frame.agg(kpis.MEASURES["revenue"]().alias("a"), F.round(F.sum("total_amount"), 2).alias("b")).first()
+
+    nan, inf = float("nan"), float("inf")
+    for values in ((None, None), (1.25, None, -3.5), (inf, 1.0), (-inf, 1.0), (2e15, 0.25), (-0.01, 0.01)):
+        row = both(*values)
+        assert row.a == row.b
+    for values in ((nan, 1.0), (inf, -inf), (nan, inf)):
+        row = both(*values)
+        assert math.isnan(row.a) and math.isnan(row.b)
 
 
 def test_approx_quantiles_keep_their_rank_bound(spark):
@@ -101,24 +157,23 @@ def test_no_usable_value(spark):
     frame = spark.createDataFrame([(None,), (float("nan"),)], "x double")
     for found in (
         quantiles.exact_quantiles(frame, "x"),
-        quantiles.exact_quantiles(frame, "x", distinct=10**9),
         quantiles.approx_quantiles(frame, "x"),
     ):
         assert (found.rows, found.values) == (2, ())
 
 
-def test_borough_metrics_equal_the_window_form(tables):
-    trips = tables.featured
-    whole = Window.partitionBy("pickup_borough")
-    windowed = trips.withColumns(
-        {
-            "borough_avg_fare": F.round(F.avg("fare_amount").over(whole), 2),
-            "borough_avg_distance": F.round(F.avg("trip_distance_miles").over(whole), 2),
-        }
-    ).withColumn("fare_vs_borough_avg", F.round(F.col("fare_amount") - F.col("borough_avg_fare"), 2))
-    ours = metrics.add_borough_metrics(trips)
-    assert bag(ours) == bag(windowed)
-    plan = plan_of(ours)
+def test_borough_metrics_by_hand(spark, tables):
+    rows = [("Queens", 10.0, 2.0), ("Queens", 13.33, 4.0), (None, 7.0, None), (None, None, 3.0), ("Bronx", None, None)]
+    frame = spark.createDataFrame(rows, "pickup_borough string, fare_amount double, trip_distance_miles double")
+    got = {tuple(r) for r in metrics.add_borough_metrics(frame.repartition(3)).collect()}
+    assert got == {
+        ("Queens", 10.0, 2.0, 11.67, 3.0, -1.67),
+        ("Queens", 13.33, 4.0, 11.67, 3.0, 1.66),
+        (None, 7.0, None, 7.0, 3.0, 0.0),
+        (None, None, 3.0, 7.0, 3.0, None),
+        ("Bronx", None, None, None, None, None),
+    }
+    plan = plan_of(metrics.add_borough_metrics(tables.featured))
     assert "Window" not in plan and "Exchange hashpartitioning" not in plan
     assert "BroadcastHashJoin" in plan
 
@@ -192,7 +247,7 @@ def test_reports_read_only_their_columns(tables):
 
 def test_month_count_prunes_partitions(spark, tables):
     database = "prune_check"
-    name = catalog.register_table(spark, database, "taxi_trips", tables.final_path)
+    name = catalog.register_table(spark, database, "taxi_trips", tables.final_path).name
     plan = plan_of(kpis.count_partition(spark.table(name), 1996, 1))
     assert "PartitionFilters: [isnotnull(trip_year" in plan
     assert "PushedFilters: []" in plan and "ReadSchema: struct<>" in plan
@@ -203,3 +258,43 @@ def test_fences_reach_the_scan(tables):
     plan = plan_of(outliers.apply_fences(tables.featured, fences))
     for column in outliers.FENCE_COLUMNS:
         assert f"GreaterThanOrEqual({column}" in plan and f"LessThanOrEqual({column}" in plan
+
+
+def test_stored_fences_reach_the_scan_of_the_last_pass(spark, tables):
+    """Bounds of stored columns are pushed; the datetimes are parsed once, below the other bounds."""
+    fences = outliers.compute_fences(tables.featured, mode="exact")
+    plan = plan_of(jobs.fenced_features(tables.clean, fences))
+    pushed = [line for line in plan.splitlines() if "PushedFilters" in line][0]
+    for column in ("trip_distance_miles", "fare_amount"):
+        assert f"GreaterThanOrEqual({column}" in pushed and f"LessThanOrEqual({column}" in pushed
+    assert "CollectMetrics" in plan
+    upper = plan[: plan.index("CollectMetrics")]
+    assert "trip_duration_minutes" in upper and "pickup_datetime" not in upper.split("Filter")[1].split("+-")[0]
+
+
+def test_approximate_transform_lies_between_wider_and_narrower_fences(spark, tables, tmp_path):
+    """The default transform: each quartile is within a hundredth of its rank."""
+    moved = jobs.run_transform(spark, tables.clean_path, str(tmp_path / "approx"))
+    for fence in moved.fences:
+        assert fence.active
+    rows = tables.featured
+    for fence in moved.fences:
+        low, high = quantiles.exact_quantiles(rows, fence.column, (0.24, 0.26)).values
+        assert low <= fence.q1 <= high
+        low, high = quantiles.exact_quantiles(rows, fence.column, (0.74, 0.76)).values
+        assert low <= fence.q3 <= high
+        rows = outliers.apply_fences(rows, [fence])
+    assert moved.rows_written == rows.count()
+
+
+@pytest.mark.parametrize("name", sorted(n for n, r in kpis.REPORTS.items() if r.order))
+def test_reports_come_in_order(tables, name):
+    """By hand over the collected rows: the wanted columns, then the keys."""
+    rows = kpis.kpi(tables.final, name).collect()
+    report = kpis.REPORTS[name]
+    wanted = [c.strip() for c in report.order.split(",")]
+
+    def place(row):
+        return [-row[c[1:]] if c.startswith("-") else row[c] for c in wanted]
+
+    assert len(rows) > 1 and [place(r) for r in rows] == sorted(place(r) for r in rows)

@@ -7,14 +7,39 @@ prefix it needs. Spark rounds the decimal text of a double half up; ``rnd`` does
 from __future__ import annotations
 
 from tripmill.checks.queries import MONTH, PREVIEW_COLUMNS
-from tripmill.operators.outliers import FENCE_COLUMNS
-from tripmill.schemas import FINAL_SCHEMA, PARTITION_COLUMNS, RAW_SCHEMA
+from tripmill.schemas import FINAL_SCHEMA  # for the comments, which are this repository's own
+
+# Written out, so that a wrong order in the code under test cannot pass on both sides.
+RAW_NAMES = (
+    "trip_id pickup_datetime dropoff_datetime pickup_borough dropoff_borough passenger_count "
+    "trip_distance_miles fare_amount tip_amount total_amount payment_type trip_year trip_month"
+).split()
+FINAL_TYPES = {
+    "trip_id": "string", "pickup_datetime": "timestamp", "dropoff_datetime": "timestamp",
+    "pickup_borough": "string", "dropoff_borough": "string", "passenger_count": "int",
+    "trip_distance_miles": "double", "trip_duration_minutes": "double", "avg_speed_mph": "double",
+    "fare_amount": "double", "tip_amount": "double", "tip_percentage": "double",
+    "total_amount": "double", "fare_per_mile": "double", "payment_type": "string",
+    "pickup_hour": "int", "time_of_day": "string", "day_of_week": "string", "is_weekend": "boolean",
+    "borough_avg_fare": "double", "borough_avg_distance": "double", "fare_vs_borough_avg": "double",
+    "trip_year": "int", "trip_month": "int",
+}
+FENCE_ORDER = ("trip_distance_miles", "fare_amount", "trip_duration_minutes", "avg_speed_mph")
 
 
 def rnd(value: str, digits: int) -> str:
     return f"CAST(ROUND(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
 
 
+def total(column: str, over: str = "") -> str:
+    """A sum in decimals, which no order of rows changes."""
+    return f"CAST(SUM(CAST({column} AS DECIMAL(18,6))) {over} AS DOUBLE)"
+
+
+def mean(column: str, over: str = "") -> str:
+    return f"({total(column, over)} / NULLIF(COUNT({column}) {over}, 0))"
+
+
 RAW = """
 helped AS (
   SELECT l.*, o.o_orderpriority, pr.r_name AS pickup_borough, dr.r_name AS dropoff_borough,
@@ -61,7 +86,7 @@ raw AS MATERIALIZED (
   FROM timed
 )"""
 
-_ORDER = ", ".join(f"{name} ASC NULLS LAST" for name in RAW_SCHEMA.names[1:])
+_ORDER = ", ".join(f"{name} ASC NULLS LAST" for name in RAW_NAMES[1:])
 
 CLEAN = f"""{RAW},
 survivors AS MATERIALIZED (
@@ -127,15 +152,15 @@ FENCED = ",".join(
     [FEATURED]
     + [
         fence(i, f"f{i - 1}" if i > 1 else "featured", column)
-        for i, column in enumerate(FENCE_COLUMNS, 1)
+        for i, column in enumerate(FENCE_ORDER, 1)
     ]
 )
 
 
 def compared(source: str, name: str) -> str:
     """``source`` with the borough averages and the fare's difference, by window."""
-    fare = rnd("AVG(fare_amount) OVER (PARTITION BY pickup_borough)", 2)
-    miles = rnd("AVG(trip_distance_miles) OVER (PARTITION BY pickup_borough)", 2)
+    fare = rnd(mean("fare_amount", "OVER (PARTITION BY pickup_borough)"), 2)
+    miles = rnd(mean("trip_distance_miles", "OVER (PARTITION BY pickup_borough)"), 2)
     return f"""
 {name} AS MATERIALIZED (
   SELECT *, {rnd("fare_amount - borough_avg_fare", 2)} AS fare_vs_borough_avg
@@ -143,7 +168,7 @@ def compared(source: str, name: str) -> str:
 )"""
 
 
-FINAL_NAMES = ", ".join(FINAL_SCHEMA.names)
+FINAL_NAMES = ", ".join(FINAL_TYPES)
 FINAL = f"""{FENCED},{compared("f4", "kept")},
 final AS MATERIALIZED (SELECT {FINAL_NAMES} FROM kept)"""
 UNFENCED = f"""{FEATURED},{compared("featured", "unfenced")}"""
@@ -153,13 +178,13 @@ def on(chain: str, select: str) -> str:
     return f"WITH {chain}\n{select}"
 
 
-REVENUE = rnd("SUM(total_amount)", 2)
-FARE = rnd("AVG(fare_amount)", 2)
-TIP_PCT = rnd("AVG(tip_percentage)", 1)
-MILES = rnd("AVG(trip_distance_miles)", 2)
-MINUTES = rnd("AVG(trip_duration_minutes)", 1)
-TIP = rnd("AVG(tip_amount)", 2)
-PER_MILE = rnd("AVG(fare_per_mile)", 2)
+REVENUE = rnd(total("total_amount"), 2)
+FARE = rnd(mean("fare_amount"), 2)
+TIP_PCT = rnd(mean("tip_percentage"), 1)
+MILES = rnd(mean("trip_distance_miles"), 2)
+MINUTES = rnd(mean("trip_duration_minutes"), 1)
+TIP = rnd(mean("tip_amount"), 2)
+PER_MILE = rnd(mean("fare_per_mile"), 2)
 DAY_TYPE = "CASE WHEN is_weekend THEN 'Weekend' ELSE 'Weekday' END"
 
 BOROUGH_BASIC = f"""
@@ -243,7 +268,7 @@ FROM (
 QUARTILES = "\nUNION ALL\n".join(
     f"SELECT '{column}' AS column_name, quantile_disc({column}, 0.25) AS q1, "
     f"quantile_disc({column}, 0.75) AS q3 FROM featured"
-    for column in FENCE_COLUMNS
+    for column in FENCE_ORDER
 )
 
 
@@ -258,19 +283,15 @@ def _fence_row(step: int, column: str) -> str:
 
 
 FENCE_REPORT = "\nUNION ALL\n".join(
-    _fence_row(i, column) for i, column in enumerate(FENCE_COLUMNS, 1)
+    _fence_row(i, column) for i, column in enumerate(FENCE_ORDER, 1)
 )
 
-# What the catalog must show for the final table: columns, then the partition columns again.
-_SHOWN = [(f.name, f.dataType.simpleString(), f.metadata["comment"]) for f in FINAL_SCHEMA]
-_DESCRIBED = [
-    *_SHOWN,
-    ("# Partition Information", "", ""),
-    ("# col_name", "data_type", "comment"),
-    *(row for row in _SHOWN if row[0] in PARTITION_COLUMNS),
-]
-DESCRIBED = "SELECT * FROM (VALUES {}) AS d(col_name, data_type, comment)".format(
-    ", ".join(str(row) for row in _DESCRIBED)
+# What the catalog must show for the final table: its columns, and how many rows fill them.
+_COMMENTS = {row.name: row.metadata["comment"] for row in FINAL_SCHEMA}
+DESCRIBED = "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS col_name, '{kind}' AS data_type, '{_COMMENTS[name]}' AS comment, "
+    f"COUNT({name}) AS filled_rows FROM final"
+    for name, kind in FINAL_TYPES.items()
 )
 
 RAW_ROWS = on(RAW, "SELECT * FROM raw")
@@ -297,7 +318,7 @@ ORACLES = {
         "SELECT DISTINCT 'trip_year=' || trip_year || '/trip_month=' || trip_month AS partition "
         "FROM final",
     ),
-    "catalog_describe": DESCRIBED,
+    "catalog_describe": on(FINAL, DESCRIBED),
     "verify_monthly": on(FINAL, MONTHLY),
     "sink_warehouse": FINAL_ROWS,
     "observe_counts": on(
@@ -331,7 +352,7 @@ UNION ALL SELECT 'written', COUNT(*) FROM final""",
         "\nUNION ALL\n".join(
             f"SELECT '{column}' AS column_name, COUNT({column}) AS usable_rows, "
             "TRUE AS q1_holds, TRUE AS q3_holds FROM featured"
-            for column in FENCE_COLUMNS
+            for column in FENCE_ORDER
         ),
     ),
     "iqr_single": on(

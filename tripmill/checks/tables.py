@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tripmill.operators.features import engineer_features
 from tripmill.operators.quality import clean_trips
-from tripmill.plans.jobs import run_transform
+from tripmill.plans.jobs import Transformed, run_transform
 from tripmill.schemas import FINAL_SCHEMA, RAW_SCHEMA
 from tripmill.sources.files import scan_parquet, write_csv, write_partitioned
 from tripmill.sources.tripview import SOURCE_TABLES, trip_view
@@ -37,10 +37,17 @@ class TripTables:
         return path
 
     @cached_property
-    def clean_path(self) -> str:
+    def _staged(self) -> tuple[str, int]:
         path = workspace(self.spark).fresh_path("clean")
-        write_partitioned(clean_trips(self.raw), path)
-        return path
+        return path, write_partitioned(clean_trips(self.raw), path)
+
+    @property
+    def clean_path(self) -> str:
+        return self._staged[0]
+
+    @property
+    def rows_staged(self) -> int:
+        return self._staged[1]
 
     @property
     def clean(self) -> DataFrame:
@@ -57,10 +64,17 @@ class TripTables:
         return scan_parquet(self.spark, self.featured_path)
 
     @cached_property
-    def final_path(self) -> str:
+    def _final(self) -> tuple[str, Transformed]:
         path = workspace(self.spark).fresh_path("final")
-        run_transform(self.spark, self.clean_path, path, quantiles="exact")
-        return path
+        return path, run_transform(self.spark, self.clean_path, path, quantiles="exact")
+
+    @property
+    def final_path(self) -> str:
+        return self._final[0]
+
+    @property
+    def transformed(self) -> Transformed:
+        return self._final[1]
 
     @property
     def final(self) -> DataFrame:

@@ -1,8 +1,8 @@
 """KPI reports: grouped aggregates over the final trips, and the two anomaly lists.
 
 Each report names its keys, measures and order. All measures have partial aggregation, so only one
-row per group and task is shuffled. Orders end with the group keys, which makes top-k results
-deterministic where counts tie.
+row per group and task is shuffled. Sums and means do not depend on the order of rows. Orders end
+with the group keys, which makes top-k results deterministic where counts tie.
 """
 
 from __future__ import annotations
@@ -12,18 +12,18 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripmill.functions.sums import exact_mean, exact_sum
 from tripmill.functions.trip_columns import day_type, month_label
 
 
-
 def _mean(column: str, digits: int):
-    return lambda: F.round(F.avg(column), digits)
+    return lambda: F.round(exact_mean(column), digits)
 
 
 MEASURES = {
     "rows": lambda: F.count(F.lit(1)),
     "ids": lambda: F.count("trip_id"),
-    "revenue": lambda: F.round(F.sum("total_amount"), 2),
+    "revenue": lambda: F.round(exact_sum("total_amount"), 2),
     "fare": _mean("fare_amount", 2),
     "tip percent": _mean("tip_percentage", 1),
     "distance": _mean("trip_distance_miles", 2),

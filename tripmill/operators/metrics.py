@@ -12,14 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tripmill.sources.workspace import workspace
+from tripmill.functions.sums import exact_mean
+from tripmill.sources.workspace import Workspace, workspace
 
 
 def borough_averages(trips: DataFrame) -> DataFrame:
     """One row per pickup borough with its rounded mean fare and distance."""
     return trips.groupBy("pickup_borough").agg(
-        F.round(F.avg("fare_amount"), 2).alias("borough_avg_fare"),
-        F.round(F.avg("trip_distance_miles"), 2).alias("borough_avg_distance"),
+        F.round(exact_mean("fare_amount"), 2).alias("borough_avg_fare"),
+        F.round(exact_mean("trip_distance_miles"), 2).alias("borough_avg_distance"),
     )
 
 
@@ -37,12 +38,14 @@ def attach_averages(trips: DataFrame, averages: DataFrame) -> DataFrame:
     )
 
 
-def add_borough_metrics(trips: DataFrame) -> DataFrame:
-    averages = workspace(trips.sparkSession).stage(borough_averages(trips), "borough-averages")
+def add_borough_metrics(trips: DataFrame, space: Workspace | None = None) -> DataFrame:
+    """``space`` holds the staged averages; the caller's own can be closed when the result is read."""
+    space = space or workspace(trips.sparkSession)
+    averages = space.stage(borough_averages(trips), "borough-averages")
     return attach_averages(trips, averages)
 
 
-def add_borough_trip_rank(trips: DataFrame) -> DataFrame:
+def add_borough_trip_rank(trips: DataFrame, space: Workspace | None = None) -> DataFrame:
     """Append ``borough_trip_rank``: rank of the fare in its borough, highest first, nulls last.
 
     A fare's rank is one plus the number of higher fares. Equal fares are counted first, so a hot
@@ -50,9 +53,10 @@ def add_borough_trip_rank(trips: DataFrame) -> DataFrame:
     rank is the total of the borough's earlier slices plus the running total inside the slice. The
     slice number is staged with the counts, so both totals see the same slices.
     """
+    space = space or workspace(trips.sparkSession)
     counts = trips.groupBy("pickup_borough", "fare_amount").agg(F.count(F.lit(1)).alias("trips"))
     falling = F.col("fare_amount").desc_nulls_last()
-    sliced = workspace(trips.sparkSession).stage(
+    sliced = space.stage(
         counts.repartitionByRange(F.col("pickup_borough"), falling).withColumn(
             "slice", F.spark_partition_id()
         ),
@@ -73,5 +77,5 @@ def add_borough_trip_rank(trips: DataFrame) -> DataFrame:
         "fare_amount",
         (F.col("before_slice") + F.col("before_fare") + 1).alias("borough_trip_rank"),
     )
-    staged = workspace(trips.sparkSession).stage(ranks, "fare-ranks")
+    staged = space.stage(ranks, "fare-ranks")
     return _attach(trips, staged, ["pickup_borough", "fare_amount"])

@@ -1,13 +1,11 @@
-"""Discrete quantiles of one column, approximate or exact, in bounded memory.
+"""Discrete quantiles, approximate or exact, of one or several columns.
 
 Both modes return values that occur in the data and ignore null and NaN. The exact value for
 probability p is the least one whose cumulative share reaches p.
 
-The exact mode never holds more than ``limit`` distinct values in one place. A column with fewer
-distinct values goes through ``percentile_disc`` at once. For any other, a quantile sketch gives an
-interval that must hold the answer, and the rows inside it are searched again; each round shrinks
-them by a factor of thousands, and interval ends are resolved by counting, so a hot value cannot
-stall the search.
+The exact mode counts each value first, so a hot value is one row, and writes the counts in slices of
+a range partitioning. Slice totals tell which slice holds a rank, and a running count inside that slice
+finds the value. No task holds more than a slice, and the number of jobs is fixed.
 """
 
 from __future__ import annotations
@@ -18,10 +16,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from tripmill.sources.workspace import Workspace
 
 QUARTILES = (0.25, 0.75)
-DISTINCT_LIMIT = 100_000
-SKETCH_ACCURACY = 10_000
 
 
 @dataclass(frozen=True)
@@ -37,129 +36,107 @@ def usable(column: str) -> Column:
     return F.when(~F.isnan(F.col(column)), F.col(column).cast("double"))
 
 
-def distinct_estimates(table: DataFrame, columns: Sequence[str]) -> dict[str, int]:
-    """Distinct values per column in one pass; also bounds every filtered subset."""
-    estimates = [F.approx_count_distinct(usable(name)).alias(name) for name in columns]
-    return table.agg(*estimates).first().asDict()
-
-
-def approx_quantiles(
+def approx_quantiles_of(
     table: DataFrame,
-    column: str,
+    columns: Sequence[str],
     probabilities: Sequence[float] = QUARTILES,
     relative_error: float = 0.01,
-) -> ColumnQuantiles:
-    sketch = F.percentile_approx(
-        usable(column), list(probabilities), math.ceil(1 / relative_error)
-    )
-    found = table.agg(F.count(F.lit(1)).alias("rows"), sketch.alias("values")).first()
-    return ColumnQuantiles(found["rows"], tuple(found["values"] or ()))
+) -> dict[str, ColumnQuantiles]:
+    """Sketched quantiles of all columns in one aggregate."""
+    accuracy = math.ceil(1 / relative_error)
+    sketches = [
+        F.percentile_approx(usable(name), list(probabilities), accuracy).alias(f"q{n}")
+        for n, name in enumerate(columns)
+    ]
+    found = table.agg(F.count(F.lit(1)).alias("rows"), *sketches).first()
+    return {
+        name: ColumnQuantiles(found["rows"], tuple(found[f"q{n}"] or ()))
+        for n, name in enumerate(columns)
+    }
 
 
-def exact_quantiles(
+def approx_quantiles(
     table: DataFrame,
     column: str,
     probabilities: Sequence[float] = QUARTILES,
-    distinct: int | None = None,
-    limit: int = DISTINCT_LIMIT,
+    relative_error: float = 0.01,
 ) -> ColumnQuantiles:
-    """``distinct`` is an upper estimate of the column's distinct values, if the caller has one."""
-    if distinct is None:
-        distinct = distinct_estimates(table, [column])[column]
-    values = table.select(usable(column).alias("x"))
-    if distinct > limit:
-        return _searched_quantiles(values, probabilities, limit)
-    picks = [
-        F.expr(f"percentile_disc({p!r}) WITHIN GROUP (ORDER BY x)").alias(f"p{i}")
-        for i, p in enumerate(probabilities)
-    ]
-    found = values.agg(F.count(F.lit(1)).alias("rows"), F.count("x").alias("n"), *picks).first()
-    answers = tuple(found[f"p{i}"] for i in range(len(picks))) if found["n"] else ()
-    return ColumnQuantiles(found["rows"], answers)
-
+    return approx_quantiles_of(table, [column], probabilities, relative_error)[column]
 
-@dataclass
-class _Search:
-    """One probability: the answer has the given rank and should lie in [low, high].
 
-    ``outer`` is the last interval proven to hold it; ``margin`` widens the sketch's guess.
-    """
-
-    rank: int
-    low: float
-    high: float
-    outer: tuple[float, float]
-    margin: float = 2 / SKETCH_ACCURACY
-    answer: float | None = None
+def exact_quantiles_of(
+    table: DataFrame, columns: Sequence[str], probabilities: Sequence[float] = QUARTILES
+) -> dict[str, ColumnQuantiles]:
+    """Exact quantiles of all columns: count, slice, locate."""
+    pairs = [F.struct(F.lit(n).alias("number"), usable(name).alias("x")) for n, name in enumerate(columns)]
+    counts = (
+        table.select(F.inline(F.array(*pairs))).groupBy("number", "x").agg(F.count(F.lit(1)).alias("n"))
+    )
+    with Workspace(table.sparkSession) as space:
+        sliced = space.stage(
+            counts.repartitionByRange("number", "x").withColumn("slice", F.spark_partition_id()),
+            "value-counts",
+        )
+        # One row for each slice and column: bounded by the shuffle partitions.
+        totals = (
+            sliced.groupBy("number", "slice")
+            .agg(
+                F.sum("n").alias("rows"),
+                F.coalesce(F.sum(F.when(F.col("x").isNotNull(), F.col("n"))), F.lit(0)).alias("n"),
+            )
+            .orderBy("number", "slice")
+            .collect()
+        )
+        wanted = []  # (column, probability, slice, rank inside the slice)
+        for number in range(len(columns)):
+            own = [row for row in totals if row["number"] == number]
+            size = sum(row["n"] for row in own)
+            for p, probability in enumerate(probabilities if size else ()):
+                rank = max(1, math.ceil(probability * size))
+                for row in own:
+                    if rank <= row["n"]:
+                        wanted.append((number, p, row["slice"], rank))
+                        break
+                    rank -= row["n"]
+        running = F.sum("n").over(Window.partitionBy("number", "slice").orderBy("x"))
+        held = [
+            (F.col("number") == number) & (F.col("slice") == part)
+            for number, part in sorted({(number, part) for number, _, part, _ in wanted})
+        ]
+        picks = [
+            F.min(
+                F.when(
+                    (F.col("number") == number) & (F.col("slice") == part) & (F.col("upto") >= rank),
+                    F.col("x"),
+                )
+            ).alias(f"v{number}_{p}")
+            for number, p, part, rank in wanted
+        ]
+        found = {}
+        if wanted:
+            inside = sliced.where(F.col("x").isNotNull()).where(_any(held))
+            found = inside.withColumn("upto", running).agg(*picks).first().asDict()
+    return {
+        name: ColumnQuantiles(
+            sum(row["rows"] for row in totals if row["number"] == number),
+            tuple(
+                found[f"v{number}_{p}"]
+                for p in range(len(probabilities))
+                if f"v{number}_{p}" in found
+            ),
+        )
+        for number, name in enumerate(columns)
+    }
+
+
+def _any(conditions: Sequence[Column]) -> Column:
+    either = conditions[0]
+    for condition in conditions[1:]:
+        either = either | condition
+    return either
 
 
-def _searched_quantiles(
-    values: DataFrame, probabilities: Sequence[float], limit: int
+def exact_quantiles(
+    table: DataFrame, column: str, probabilities: Sequence[float] = QUARTILES
 ) -> ColumnQuantiles:
-    start = values.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count("x").alias("n"),
-        F.min("x").alias("low"),
-        F.max("x").alias("high"),
-    ).first()
-    if not start["n"]:
-        return ColumnQuantiles(start["rows"], ())
-    whole = (start["low"], start["high"])
-    searches = [
-        _Search(max(1, math.ceil(p * start["n"])), *whole, outer=whole) for p in probabilities
-    ]
-    while any(s.answer is None for s in searches):
-        _narrow(values, [s for s in searches if s.answer is None], limit)
-    return ColumnQuantiles(start["rows"], tuple(s.answer for s in searches))
-
-
-def _narrow(values: DataFrame, searches: list[_Search], limit: int) -> None:
-    """Two aggregates: count around every interval, then pick or shrink inside it."""
-    x = F.col("x")
-
-    def inside(s: _Search) -> Column:
-        return F.when((x > s.low) & (x < s.high), x)
-
-    counters = []
-    for i, s in enumerate(searches):
-        counters += [
-            F.count_if(x < s.low).alias(f"before{i}"),
-            F.count_if(x == s.low).alias(f"low{i}"),
-            F.count(inside(s)).alias(f"inside{i}"),
-            F.count_if(x == s.high).alias(f"high{i}"),
-            F.approx_count_distinct(inside(s)).alias(f"distinct{i}"),
-        ]
-    counts = values.agg(*counters).first()
-
-    columns, picks, pending = [], [], []
-    for i, s in enumerate(searches):
-        size = counts[f"inside{i}"]
-        rank = s.rank - counts[f"before{i}"] - counts[f"low{i}"]
-        upto_high = size + (counts[f"high{i}"] if s.high > s.low else 0)
-        if s.rank <= counts[f"before{i}"] or rank > upto_high:
-            (s.low, s.high), s.margin = s.outer, s.margin * 10
-            continue
-        s.outer = (s.low, s.high)
-        if rank <= 0:
-            s.answer = s.low
-        elif rank > size:
-            s.answer = s.high
-        else:
-            columns.append(inside(s).alias(f"x{i}"))
-            pending.append((i, s))
-            if counts[f"distinct{i}"] <= limit:
-                share = (rank - 0.5) / size
-                pick = F.expr(f"percentile_disc({share!r}D) WITHIN GROUP (ORDER BY x{i})")
-            else:
-                share = rank / size
-                ends = [max(0.0, share - s.margin), min(1.0, share + s.margin)]
-                pick = F.percentile_approx(f"x{i}", ends, SKETCH_ACCURACY)
-            picks.append(pick.alias(f"pick{i}"))
-    if not picks:
-        return
-    found = values.select(*columns).agg(*picks).first()
-    for i, s in pending:
-        if isinstance(found[f"pick{i}"], list):
-            s.low, s.high = found[f"pick{i}"]
-        else:
-            s.answer = found[f"pick{i}"]
+    return exact_quantiles_of(table, [column], probabilities)[column]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -67,14 +67,13 @@ def run_transform(
     folders, so that write needs no shuffle and makes no more files than the scan has splits.
     Without fences (``fenced=False``) all rows and all columns are kept.
 
-    The loaded rows are counted by an observation on the last pass. It also keeps the fences above
-    the feature projection; pushed below it, each comparison would parse the datetimes again.
+    The bounds of stored columns reach that pass's scan; those of duration and speed stay above the
+    features. The loaded rows are those that reached the first fence.
     """
     if output_path.rstrip("/") == staging_path.rstrip("/"):
         raise ValueError("the output must not overwrite the staged trips it is read from")
-    featured = engineer_features(scan_parquet(spark, staging_path, RAW_SCHEMA))
-    loaded = Observation()
-    observed = featured.observe(loaded, F.count(F.lit(1)).alias("rows"))
+    staged = scan_parquet(spark, staging_path, RAW_SCHEMA)
+    featured = engineer_features(staged)
     with Workspace(spark) as space:
         if fenced:
             measures = space.stage(featured.select("pickup_borough", *FENCE_COLUMNS), "measures")
@@ -83,20 +82,38 @@ def run_transform(
         else:
             fences, source = [], featured
         averages = space.stage(borough_averages(source), "borough-averages")
-        trips = attach_averages(apply_fences(observed, fences), averages)
+        trips = attach_averages(fenced_features(staged, fences), averages)
         if fenced:
             trips = final_columns(trips)
         rows_written = write_partitioned(trips, output_path, rebalance=False)
 
     written = scan_parquet(spark, output_path, trips.schema)
-    return Transformed(written, fences, loaded.get["rows"], rows_written)
+    rows_loaded = fences[0].rows_before if fences else rows_written
+    return Transformed(written, fences, rows_loaded, rows_written)
+
+
+def fenced_features(staged: DataFrame, fences: Sequence[Fence]) -> DataFrame:
+    """Featured trips inside the fences.
+
+    The observation is a barrier: below it, a comparison of a feature would parse the datetimes again.
+    Nothing reads its count.
+    """
+    stored = [fence for fence in fences if fence.column in staged.columns]
+    derived = [fence for fence in fences if fence.column not in staged.columns]
+    featured = engineer_features(apply_fences(staged, stored))
+    if derived:
+        featured = featured.observe(Observation(), F.count(F.lit(1)).alias("rows"))
+    return apply_fences(featured, derived)
 
 
 def run_register(
-    spark: SparkSession, database: str, table: str, location: str
+    spark: SparkSession, database: str, table: str, location: str, **options
 ) -> tuple[str, DataFrame]:
-    """Register the written trips; returns the table's name and its monthly verification."""
-    name = catalog.register_table(spark, database, table, location)
+    """Register the written trips; returns the table's name and its monthly verification.
+
+    ``options`` are those of ``register_table``: comment, properties, codec, database location, fallback.
+    """
+    name = catalog.register_table(spark, database, table, location, **options).name
     return name, catalog.verify_table(spark, name)
 
 

@@ -6,26 +6,16 @@ Being Parquet, it also gives later passes column pruning, and gives the planner
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_ROOTS: dict[str, str] = {}
-
-
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only in local mode."""
-    context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    """The cluster's checkpoint folder, else a folder beside the tables of the session's warehouse."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    app = context.applicationId
-    if app not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="tripmill-")
-    return _LOCAL_ROOTS[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged"
 
 
 class Workspace:
