@@ -105,7 +105,8 @@ def scanned_hits(blocks: DataFrame, table: DataFrame, block: int) -> DataFrame:
     first = F.greatest(F.lit(0), F.col("at") + block - F.col("length"))
     last = F.least(F.col("at"), F.size("item_words") - F.col("length"))
     start = F.col("n") * block - F.col("at") + F.col("from")
-    here = F.transform(F.slice("words", F.col("start") + 1, F.col("length")), lambda w: F.translate(w, UPPER, LOWER))
+    place = F.greatest(F.col("start"), F.lit(0)) + 1
+    here = F.transform(F.slice("words", place, F.col("length")), lambda w: F.translate(w, UPPER, LOWER))
     return (
         blocks.join(table, "hash")
         .select("*", F.explode(F.sequence(first, last)).alias("from"))
