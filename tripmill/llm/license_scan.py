@@ -127,7 +127,7 @@ def find_licenses(docs: DataFrame, templates=TEMPLATES, doc_id: str = "doc_id",
         .join(table, "anchor")
         .withColumn("at", F.col("place") - F.col("offset"))
         .filter((F.col("at") >= 0) & (F.col("at") + WIDTH <= F.size("words")))
-        .filter(F.xxhash64(F.lower(F.array_join(F.slice("words", F.col("at") + 1, WIDTH), " "))) == F.col("hash"))
+        .filter(F.xxhash64(F.lower(F.array_join(F.slice("words", F.greatest(F.col("at"), F.lit(0)) + 1, WIDTH), " "))) == F.col("hash"))
     )
     # Window starts are multiples of the step; these hold the shingle at ``at``.
     first = F.ceil(F.greatest(F.lit(0), F.col("at") - F.col("width") + 1) / F.col("step")).cast("int") * F.col("step")
