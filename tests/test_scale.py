@@ -292,7 +292,7 @@ def test_reports_come_in_order(tables, name):
     """By hand over the collected rows: the wanted columns, then the keys."""
     rows = kpis.kpi(tables.final, name).collect()
     report = kpis.REPORTS[name]
-    wanted = [c.strip() for c in report.order.split(",")]
+    wanted = report.order
 
     def place(row):
         return [-row[c[1:]] if c.startswith("-") else row[c] for c in wanted]

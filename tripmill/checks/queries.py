@@ -273,7 +273,7 @@ def long_form(reports: dict[str, DataFrame]) -> DataFrame:
     """All reports as one table: report, group, measure, value."""
     parts = []
     for name, result in reports.items():
-        keys = kpis.REPORTS[name].keys.split(", ")
+        keys = kpis.REPORTS[name].keys
         measures = [column for column in result.columns if column not in keys]
         group = F.concat_ws("|", *[F.col(key).cast("string") for key in keys])
         doubles = [F.col(column).cast("double").alias(column) for column in measures]

@@ -12,12 +12,12 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmill.checks.tripview import SOURCE_TABLES, trip_view
 from tripmill.operators.features import engineer_features
 from tripmill.operators.quality import clean_trips
 from tripmill.plans.jobs import Transformed, run_transform
 from tripmill.schemas import FINAL_SCHEMA, RAW_SCHEMA
-from tripmill.sources.files import scan_parquet, write_csv, write_partitioned
-from tripmill.sources.tripview import SOURCE_TABLES, trip_view
+from tripmill.sources.files import scan_parquet, write_partitioned
 from tripmill.sources.workspace import workspace
 
 
@@ -33,7 +33,7 @@ class TripTables:
     @cached_property
     def csv_path(self) -> str:
         path = workspace(self.spark).fresh_path("raw-csv")
-        write_csv(self.raw, path)
+        self.raw.write.option("header", True).csv(path)
         return path
 
     @cached_property

@@ -47,6 +47,7 @@ def percent_of(part: str, whole: str) -> Column:
 def day_part(hour: str) -> Column:
     """A null hour counts as Night."""
     h = F.col(hour)
+    # The hours and names of the parts of the day.
     return (
         F.when(h.between(6, 11), "Morning")
         .when(h.between(12, 16), "Afternoon")

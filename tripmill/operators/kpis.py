@@ -40,119 +40,223 @@ DERIVED = {
 
 @dataclass(frozen=True)
 class Report:
-    """Grouping keys, output columns (``name=measure``), sort columns and row limit.
+    """Grouping keys, output columns, sort columns and row limit.
 
-    ``output`` lists keys, derived columns and ``name=measure`` pairs in result order. A sort
-    column with a leading minus sorts downwards.
+    ``output`` lists keys, derived columns and (name, measure) pairs in result order. A sort column
+    with a leading minus sorts downwards.
     """
 
-    keys: str
-    output: str
-    order: str = ""
+    keys: tuple[str, ...]
+    output: tuple[str | tuple[str, str], ...]
+    order: tuple[str, ...] = ()
     limit: int | None = None
 
 
 # Result column names, rounding, orders and limits.
 REPORTS = {
     "kpi_borough": Report(
-        "pickup_borough",
-        "pickup_borough, total_trips=rows, total_revenue_usd=revenue, avg_fare_usd=fare, "
-        "avg_tip_pct=tip percent, avg_distance_miles=distance",
-        "-total_revenue_usd",
+        keys=("pickup_borough",),
+        output=(
+            "pickup_borough",
+            ("total_trips", "rows"),
+            ("total_revenue_usd", "revenue"),
+            ("avg_fare_usd", "fare"),
+            ("avg_tip_pct", "tip percent"),
+            ("avg_distance_miles", "distance"),
+        ),
+        order=("-total_revenue_usd",),
     ),
     "kpi_borough_basic": Report(
-        "pickup_borough",
-        "pickup_borough, total_trips=rows, total_revenue=revenue, avg_fare=fare, "
-        "avg_tip_pct=tip percent",
-        "-total_revenue",
+        keys=("pickup_borough",),
+        output=(
+            "pickup_borough",
+            ("total_trips", "rows"),
+            ("total_revenue", "revenue"),
+            ("avg_fare", "fare"),
+            ("avg_tip_pct", "tip percent"),
+        ),
+        order=("-total_revenue",),
     ),
     "kpi_borough_catalog": Report(
-        "pickup_borough",
-        "pickup_borough, total_trips=rows, total_revenue=revenue, avg_fare=fare",
-        "-total_revenue",
+        keys=("pickup_borough",),
+        output=(
+            "pickup_borough",
+            ("total_trips", "rows"),
+            ("total_revenue", "revenue"),
+            ("avg_fare", "fare"),
+        ),
+        order=("-total_revenue",),
     ),
     "borough_summary": Report(
-        "pickup_borough",
-        "pickup_borough, total_trips=ids, avg_fare=fare, avg_distance=distance, "
-        "avg_tip_pct=tip percent",
-        "-total_trips",
+        keys=("pickup_borough",),
+        output=(
+            "pickup_borough",
+            ("total_trips", "ids"),
+            ("avg_fare", "fare"),
+            ("avg_distance", "distance"),
+            ("avg_tip_pct", "tip percent"),
+        ),
+        order=("-total_trips",),
     ),
     "kpi_peak_hour": Report(
-        "pickup_hour, time_of_day",
-        "pickup_hour, time_of_day, trip_count=rows, avg_fare=fare, avg_duration_min=duration, "
-        "total_revenue=revenue",
-        "pickup_hour",
+        keys=("pickup_hour", "time_of_day"),
+        output=(
+            "pickup_hour",
+            "time_of_day",
+            ("trip_count", "rows"),
+            ("avg_fare", "fare"),
+            ("avg_duration_min", "duration"),
+            ("total_revenue", "revenue"),
+        ),
+        order=("pickup_hour",),
     ),
     "kpi_peak_hour_basic": Report(
-        "pickup_hour, time_of_day",
-        "pickup_hour, time_of_day, trip_count=rows, avg_fare=fare, avg_duration_min=duration",
-        "pickup_hour",
+        keys=("pickup_hour", "time_of_day"),
+        output=(
+            "pickup_hour",
+            "time_of_day",
+            ("trip_count", "rows"),
+            ("avg_fare", "fare"),
+            ("avg_duration_min", "duration"),
+        ),
+        order=("pickup_hour",),
     ),
     "kpi_time_of_day": Report(
-        "time_of_day",
-        "time_of_day, trips=rows, avg_fare=fare, avg_duration_min=duration",
-        "-trips",
+        keys=("time_of_day",),
+        output=(
+            "time_of_day",
+            ("trips", "rows"),
+            ("avg_fare", "fare"),
+            ("avg_duration_min", "duration"),
+        ),
+        order=("-trips",),
     ),
     "kpi_weekend": Report(
-        "is_weekend",
-        "is_weekend, day_type, total_trips=rows, avg_fare=fare, avg_distance=distance, "
-        "avg_tip_pct=tip percent, total_revenue=revenue",
-        "is_weekend",
+        keys=("is_weekend",),
+        output=(
+            "is_weekend",
+            "day_type",
+            ("total_trips", "rows"),
+            ("avg_fare", "fare"),
+            ("avg_distance", "distance"),
+            ("avg_tip_pct", "tip percent"),
+            ("total_revenue", "revenue"),
+        ),
+        order=("is_weekend",),
     ),
     "kpi_weekend_basic": Report(
-        "is_weekend",
-        "is_weekend, total_trips=rows, avg_fare=fare, avg_distance=distance, "
-        "avg_tip_pct=tip percent",
+        keys=("is_weekend",),
+        output=(
+            "is_weekend",
+            ("total_trips", "rows"),
+            ("avg_fare", "fare"),
+            ("avg_distance", "distance"),
+            ("avg_tip_pct", "tip percent"),
+        ),
     ),
     "kpi_day_type": Report(
-        "is_weekend", "day_type, trips=rows, avg_fare=fare, avg_tip_pct=tip percent"
+        keys=("is_weekend",),
+        output=(
+            "day_type",
+            ("trips", "rows"),
+            ("avg_fare", "fare"),
+            ("avg_tip_pct", "tip percent"),
+        ),
     ),
     "kpi_od_pairs": Report(
-        "pickup_borough, dropoff_borough",
-        "pickup_borough, dropoff_borough, trip_count=rows, avg_fare=fare, avg_tip_pct=tip percent",
-        "-trip_count",
-        15,
+        keys=("pickup_borough", "dropoff_borough"),
+        output=(
+            "pickup_borough",
+            "dropoff_borough",
+            ("trip_count", "rows"),
+            ("avg_fare", "fare"),
+            ("avg_tip_pct", "tip percent"),
+        ),
+        order=("-trip_count",),
+        limit=15,
     ),
     "kpi_od_pairs_top10": Report(
-        "pickup_borough, dropoff_borough",
-        "pickup_borough, dropoff_borough, trip_count=rows, avg_fare=fare",
-        "-trip_count",
-        10,
+        keys=("pickup_borough", "dropoff_borough"),
+        output=(
+            "pickup_borough",
+            "dropoff_borough",
+            ("trip_count", "rows"),
+            ("avg_fare", "fare"),
+        ),
+        order=("-trip_count",),
+        limit=10,
     ),
     "kpi_payment": Report(
-        "payment_type",
-        "payment_type, trip_count=rows, total_revenue=revenue, avg_tip=tip, "
-        "avg_tip_pct=tip percent",
-        "-trip_count",
+        keys=("payment_type",),
+        output=(
+            "payment_type",
+            ("trip_count", "rows"),
+            ("total_revenue", "revenue"),
+            ("avg_tip", "tip"),
+            ("avg_tip_pct", "tip percent"),
+        ),
+        order=("-trip_count",),
     ),
     "kpi_payment_basic": Report(
-        "payment_type",
-        "payment_type, trips=rows, avg_tip=tip, total_revenue=revenue",
-        "-trips",
+        keys=("payment_type",),
+        output=(
+            "payment_type",
+            ("trips", "rows"),
+            ("avg_tip", "tip"),
+            ("total_revenue", "revenue"),
+        ),
+        order=("-trips",),
     ),
     "verify_monthly": Report(
-        "trip_year, trip_month",
-        "trip_year, trip_month, total_trips=rows, avg_fare=fare, avg_distance=distance",
-        "trip_year, trip_month",
+        keys=("trip_year", "trip_month"),
+        output=(
+            "trip_year",
+            "trip_month",
+            ("total_trips", "rows"),
+            ("avg_fare", "fare"),
+            ("avg_distance", "distance"),
+        ),
+        order=("trip_year", "trip_month"),
     ),
     "kpi_monthly_catalog": Report(
-        "trip_year, trip_month",
-        "trip_year, trip_month, trips=rows, avg_fare=fare",
-        "trip_year, trip_month",
+        keys=("trip_year", "trip_month"),
+        output=(
+            "trip_year",
+            "trip_month",
+            ("trips", "rows"),
+            ("avg_fare", "fare"),
+        ),
+        order=("trip_year", "trip_month"),
     ),
     "kpi_monthly": Report(
-        "trip_year, trip_month",
-        "trip_year, trip_month, month_label, total_trips=rows, monthly_revenue=revenue, "
-        "avg_fare=fare",
-        "trip_year, trip_month",
+        keys=("trip_year", "trip_month"),
+        output=(
+            "trip_year",
+            "trip_month",
+            "month_label",
+            ("total_trips", "rows"),
+            ("monthly_revenue", "revenue"),
+            ("avg_fare", "fare"),
+        ),
+        order=("trip_year", "trip_month"),
     ),
     "kpi_fare_per_mile": Report(
-        "pickup_borough", "pickup_borough, avg_fare_per_mile=fare per mile", "-avg_fare_per_mile"
+        keys=("pickup_borough",),
+        output=(
+            "pickup_borough",
+            ("avg_fare_per_mile", "fare per mile"),
+        ),
+        order=("-avg_fare_per_mile",),
     ),
     "kpi_shift_revenue": Report(
-        "time_of_day",
-        "time_of_day, trips=rows, total_revenue=revenue, avg_fare=fare",
-        "-total_revenue",
+        keys=("time_of_day",),
+        output=(
+            "time_of_day",
+            ("trips", "rows"),
+            ("total_revenue", "revenue"),
+            ("avg_fare", "fare"),
+        ),
+        order=("-total_revenue",),
     ),
 }
 
@@ -166,10 +270,6 @@ SERVED_REPORTS = (
 )
 
 
-def _names(text: str) -> list[str]:
-    return [name.strip() for name in text.split(",") if name.strip()]
-
-
 def _sort_column(name: str) -> Column:
     return F.col(name[1:]).desc() if name.startswith("-") else F.col(name).asc()
 
@@ -177,18 +277,16 @@ def _sort_column(name: str) -> Column:
 def kpi(trips: DataFrame, name: str) -> DataFrame:
     """The named report over the final trips."""
     report = REPORTS[name]
-    keys = _names(report.keys)
     measures, columns = [], []
-    for item in _names(report.output):
-        column, _, measure = item.partition("=")
+    for item in report.output:
+        column, measure = item if isinstance(item, tuple) else (item, None)
         if measure:
             measures.append(MEASURES[measure]().alias(column))
         columns.append(DERIVED[column]().alias(column) if column in DERIVED else F.col(column))
-    grouped = trips.groupBy(*keys).agg(*measures)
-    order = _names(report.order)
-    if order:
-        ties = [key for key in keys if key not in order]
-        grouped = grouped.orderBy(*map(_sort_column, order + ties))
+    grouped = trips.groupBy(*report.keys).agg(*measures)
+    if report.order:
+        ties = [key for key in report.keys if key not in report.order]
+        grouped = grouped.orderBy(*map(_sort_column, [*report.order, *ties]))
     if report.limit is not None:
         grouped = grouped.limit(report.limit)
     return grouped.select(*columns)

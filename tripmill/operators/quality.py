@@ -14,10 +14,18 @@ from pyspark.sql.window import Window
 CRITICAL_COLUMNS = ("trip_id", "pickup_datetime", "fare_amount", "trip_distance_miles")
 
 
+def _survivor_order(trips: DataFrame, key: str) -> list[Column]:
+    """All other columns ascending, nulls last: what comes first survives.
+
+    Each column follows its null flag, so that a sort and a struct comparison agree.
+    """
+    others = [name for name in trips.columns if name != key]
+    return [part for name in others for part in (F.col(name).isNull().alias(f"no_{name}"), F.col(name))]
+
+
 def dedupe(trips: DataFrame, key: str = "trip_id") -> DataFrame:
     """One row per key; rows without a key collapse to one."""
-    others = [F.col(name).asc_nulls_last() for name in trips.columns if name != key]
-    order = Window.partitionBy(key).orderBy(*others)
+    order = Window.partitionBy(key).orderBy(*_survivor_order(trips, key))
     ranked = trips.withColumn("survivor_rank", F.row_number().over(order))
     return ranked.where(F.col("survivor_rank") == 1).drop("survivor_rank")
 
@@ -62,15 +70,9 @@ def quality_report(trips: DataFrame) -> DataFrame:
     """The whole report in one row and one shuffle.
 
     Grouping by id yields the counts, the number of distinct ids and each id's survivor at once.
-    The survivor is the least row in the order of ``dedupe``; each column is preceded by a null
-    flag, because a struct comparison would put nulls first.
+    The survivor is the least row in the order of ``dedupe``.
     """
-    ordered = [
-        part
-        for name in trips.columns
-        if name != "trip_id"
-        for part in (F.col(name).isNull().alias(f"no_{name}"), F.col(name))
-    ]
+    ordered = _survivor_order(trips, "trip_id")
     per_id = trips.groupBy("trip_id").agg(
         *_row_counts(), F.min(F.struct(*ordered)).alias("survivor")
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import (
     BooleanType,
+    DataType,
     DoubleType,
     IntegerType,
     StringType,
@@ -12,70 +13,58 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-# The thirteen raw columns, in file order.
-RAW_COLUMNS = """
-    trip_id              string
-    pickup_datetime      string
-    dropoff_datetime     string
-    pickup_borough       string
-    dropoff_borough      string
-    passenger_count      int
-    trip_distance_miles  double
-    fare_amount          double
-    tip_amount           double
-    total_amount         double
-    payment_type         string
-    trip_year            int
-    trip_month           int
-"""
-
-# The twenty-four final columns, in table order, with their catalog comments.
-FINAL_COLUMNS = """
-    trip_id                string     trip key
-    pickup_datetime        timestamp  start of the trip
-    dropoff_datetime       timestamp  end of the trip
-    pickup_borough         string     borough where the trip starts
-    dropoff_borough        string     borough where the trip ends
-    passenger_count        int        passengers on board
-    trip_distance_miles    double     miles driven
-    trip_duration_minutes  double     minutes between pickup and dropoff
-    avg_speed_mph          double     miles per hour over the whole trip
-    fare_amount            double     fare without tip and surcharges
-    tip_amount             double     tip
-    tip_percentage         double     tip as percent of the fare
-    total_amount           double     everything the rider paid
-    fare_per_mile          double     fare divided by miles
-    payment_type           string     how the trip was paid
-    pickup_hour            int        hour of the pickup, 0 to 23
-    time_of_day            string     Morning, Afternoon, Evening or Night
-    day_of_week            string     English name of the pickup day
-    is_weekend             boolean    pickup on Saturday or Sunday
-    borough_avg_fare       double     mean fare of the pickup borough
-    borough_avg_distance   double     mean miles of the pickup borough
-    fare_vs_borough_avg    double     fare minus the mean fare of the borough
-    trip_year              int        partition: year
-    trip_month             int        partition: month
-"""
-
 PARTITION_COLUMNS = ("trip_year", "trip_month")
 
-_TYPES = {
-    "string": StringType(),
-    "int": IntegerType(),
-    "double": DoubleType(),
-    "boolean": BooleanType(),
-    "timestamp": TimestampType(),
-}
+# The thirteen raw columns, in file order.
+RAW_SCHEMA = StructType(
+    [
+        StructField("trip_id", StringType()),
+        StructField("pickup_datetime", StringType()),
+        StructField("dropoff_datetime", StringType()),
+        StructField("pickup_borough", StringType()),
+        StructField("dropoff_borough", StringType()),
+        StructField("passenger_count", IntegerType()),
+        StructField("trip_distance_miles", DoubleType()),
+        StructField("fare_amount", DoubleType()),
+        StructField("tip_amount", DoubleType()),
+        StructField("total_amount", DoubleType()),
+        StructField("payment_type", StringType()),
+        StructField("trip_year", IntegerType()),
+        StructField("trip_month", IntegerType()),
+    ]
+)
 
 
-def _struct(text: str) -> StructType:
-    fields = []
-    for line in text.strip().splitlines():
-        name, type_name, *comment = line.split(None, 2)
-        metadata = {"comment": comment[0]} if comment else None
-        fields.append(StructField(name, _TYPES[type_name], True, metadata))
-    return StructType(fields)
+def _told(name: str, kind: DataType, comment: str) -> StructField:
+    return StructField(name, kind, True, {"comment": comment})
 
 
-RAW_SCHEMA = _struct(RAW_COLUMNS)
-FINAL_SCHEMA = _struct(FINAL_COLUMNS)
+# The twenty-four final columns, in table order, with their catalog comments.
+FINAL_SCHEMA = StructType(
+    [
+        _told("trip_id", StringType(), "trip key"),
+        _told("pickup_datetime", TimestampType(), "start of the trip"),
+        _told("dropoff_datetime", TimestampType(), "end of the trip"),
+        _told("pickup_borough", StringType(), "borough where the trip starts"),
+        _told("dropoff_borough", StringType(), "borough where the trip ends"),
+        _told("passenger_count", IntegerType(), "passengers on board"),
+        _told("trip_distance_miles", DoubleType(), "miles driven"),
+        _told("trip_duration_minutes", DoubleType(), "minutes between pickup and dropoff"),
+        _told("avg_speed_mph", DoubleType(), "miles per hour over the whole trip"),
+        _told("fare_amount", DoubleType(), "fare without tip and surcharges"),
+        _told("tip_amount", DoubleType(), "tip"),
+        _told("tip_percentage", DoubleType(), "tip as percent of the fare"),
+        _told("total_amount", DoubleType(), "everything the rider paid"),
+        _told("fare_per_mile", DoubleType(), "fare divided by miles"),
+        _told("payment_type", StringType(), "how the trip was paid"),
+        _told("pickup_hour", IntegerType(), "hour of the pickup, 0 to 23"),
+        _told("time_of_day", StringType(), "Morning, Afternoon, Evening or Night"),
+        _told("day_of_week", StringType(), "English name of the pickup day"),
+        _told("is_weekend", BooleanType(), "pickup on Saturday or Sunday"),
+        _told("borough_avg_fare", DoubleType(), "mean fare of the pickup borough"),
+        _told("borough_avg_distance", DoubleType(), "mean miles of the pickup borough"),
+        _told("fare_vs_borough_avg", DoubleType(), "fare minus the mean fare of the borough"),
+        _told("trip_year", IntegerType(), "partition: year"),
+        _told("trip_month", IntegerType(), "partition: month"),
+    ]
+)

@@ -32,10 +32,6 @@ def scan_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
     return reader.parquet(path)
 
 
-def write_csv(trips: DataFrame, path: str) -> None:
-    trips.write.mode("overwrite").option("header", True).csv(path)
-
-
 def write_partitioned(
     trips: DataFrame,
     path: str,
