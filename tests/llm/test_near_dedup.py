@@ -48,6 +48,22 @@ def test_groups_of_edited_copies(spark, seed):
     assert run(spark.createDataFrame(rows, "doc_id bigint, text string")) == want
 
 
+def test_large_buckets_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr("tripmill.llm.near_dedup.SMALL", 2)
+    monkeypatch.setattr("tripmill.llm.near_dedup.BLOCK", 4)
+    random.seed(11)
+    base = [f"w{n}" for n in range(150)]
+    rows = []
+    for i in range(90):  # edits around the threshold: many candidates, some links
+        words = list(base)
+        for _ in range(random.randint(2, 7)):
+            words[random.randrange(150)] = f"x{random.randint(0, 99)}"
+        rows.append((i, " ".join(words)))
+    want = sorted(brute.op3(rows), key=repr)
+    assert 5 < len({c for *_, c, _ in want}) < 85
+    assert run(spark.createDataFrame(rows, "doc_id bigint, text string")) == want
+
+
 def test_null_ids_and_repeated_rows(spark):
     rows = [(5, "a b c d"), (5, "a b c d"), (None, "a b c d"), (2, "A B\tC D"), (9, "")]
     out = run(spark.createDataFrame(rows, "doc_id bigint, text string"))

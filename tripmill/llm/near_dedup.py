@@ -2,14 +2,16 @@
 
 1. A scan turns each text into its set of word shingles: the set's size, a 128-bit digest and a MinHash
    signature. Texts with equal sets form a class; only its smallest id goes on, so copies cost one row each.
-2. Bands of the signature are bucket keys. With 32 bands of 6 rows a pair at the threshold 0.85 shares no
-   band with probability 3e-7.
+2. Bands of the signature are bucket keys. Their rows follow from the threshold: as many as leave a pair
+   at the threshold without a shared band with a chance of ``UNBANDED`` at most (6 at 0.85, 5 at 0.8).
 3. Candidates are pairs with the bucket's hub (the member with most bucket mates). Their signatures are
    compared batch by batch, and a pair is dropped as soon as the posterior chance that its similarity
    reaches the threshold is below ``MISS``. Survivors are verified on their full sets.
-4. Links are contracted to stars, alternating around large and small neighbours. Where a bucket still
-   holds several components, its untested pairs across components follow in the same way; members of one
-   component need no pairs among them, so a group of copies stays linear in its size.
+4. Links are contracted to stars, alternating around large and small neighbours. A bucket whose members
+   are one component is done, so a group of copies stays linear in its size. In the others, pairs across
+   components follow: in small buckets by a join, in large ones block against block inside tasks. There the
+   texts are at hand, survivors are measured at once, the likeliest first, and two components that got a
+   link need no other; so a cloud of texts around the threshold gives a task work, but few rows.
 
 Nothing is collected but counts. Hot classes are reduced before they are shuffled, and joins back to them
 have exchanges on both sides, which adaptive execution splits.
@@ -22,6 +24,7 @@ are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -34,12 +37,15 @@ from pyspark.sql import functions as F
 from tripmill.llm.pieces import WorkerCache
 from tripmill.llm.shared import ship_code, stage
 
-BANDS, ROWS = 32, 6
+#: Hash functions, and the chance that a pair at the threshold shares no band.
+HASHES, UNBANDED = 192, 1e-6
 #: Signature rows compared at a time, and the chance of a link below which a pair is dropped.
 BATCH, MISS = 32, 1e-7
+#: Buckets up to this size are joined with themselves; larger ones are compared in blocks of so many members.
+SMALL, BLOCK = 16, 256
 _BLANK = b" \t\n\x0b\x0c\r"
 _TO_SPACE = bytes.maketrans(_BLANK, b" " * len(_BLANK))
-_SEEDS = np.random.default_rng(20).integers(1, 1 << 63, size=(2, BANDS * ROWS), dtype=np.uint64)
+_SEEDS = np.random.default_rng(20).integers(1, 1 << 63, size=(2, HASHES), dtype=np.uint64)
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -74,17 +80,22 @@ def shingle_hashes(text: str, width: int) -> np.ndarray:
 
 def signature(shingles: np.ndarray) -> bytes:
     """Least 16-bit values of the hash functions; long sets go block by block."""
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    least = np.full(HASHES, np.iinfo(np.uint64).max, dtype=np.uint64)
     for at in range(0, len(shingles), 512):
         block = shingles[at : at + 512, None] * (_SEEDS[0] | np.uint64(1)) + _SEEDS[1]
         least = np.minimum(least, block.min(axis=0))
     return ((least * _MIX[1]) >> np.uint64(48)).astype("<u2").tobytes()
 
 
+def band_rows(threshold: float) -> int:
+    """The most rows in a band under which a pair at the threshold is surely enough a candidate."""
+    return max(r for r in range(1, 17) if (1 - threshold**r) ** (HASHES // r) <= UNBANDED)
+
+
 def least_matches(threshold: float) -> list[int]:
     """By batch: the fewest equal rows that keep the posterior chance of a link at ``MISS`` or more."""
     out = []
-    for n in range(BATCH, BANDS * ROWS + 1, BATCH):
+    for n in range(BATCH, HASHES + 1, BATCH):
         tail, m = 0.0, -1  # under a uniform prior: P(similarity >= t | m of n) = P(Bin(n + 1, t) <= m)
         while tail < MISS:
             m += 1
@@ -144,6 +155,76 @@ def _probable(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFra
     return sized.select("a", "b", "s_a", "s_b").mapInArrow(compare, f"a {id_type}, b {id_type}")
 
 
+def _alive(one: np.ndarray, many: np.ndarray, wanted: list[int]) -> np.ndarray:
+    """Rows of ``many`` that sequential comparison with ``one`` does not rule out."""
+    alive, matches = np.arange(len(many)), np.zeros(len(many), dtype=np.int64)
+    for step, least in enumerate(wanted):
+        part = slice(step * BATCH, (step + 1) * BATCH)
+        matches = matches + (many[alive, part] == one[part]).sum(axis=1)
+        good = matches >= least
+        alive, matches = alive[good], matches[good]
+    return alive
+
+
+def _block_pairs(members: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links across components in large buckets: ``key, band, rep, label, size`` → ``a, b``.
+
+    A bucket's members are dealt to blocks, and each pair of blocks is a group of bounded size. A pair is
+    looked at by the first band it shares only. Of the links between two components a group reports one.
+    """
+    threshold = percent / 100
+    wanted, rows = least_matches(threshold), band_rows(threshold)
+    used = HASHES // rows * rows
+    id_type = members.schema["rep"].dataType.simpleString()
+
+    def compare(table: pa.Table) -> pa.Table:
+        rep, label = table["rep"].to_numpy(), table["label"].to_numpy()
+        block, sizes = table["block"].to_numpy(), table["n_shingles"].to_numpy()
+        signatures = np.frombuffer(b"".join(table["signature"].to_pylist()), dtype="<u2").reshape(len(rep), -1)
+        band, low, high = table["band"][0].as_py(), table["low"][0].as_py(), table["high"][0].as_py()
+        left = np.flatnonzero(block == low)
+        right = left if low == high else np.flatnonzero(block == high)
+        found, parent, sets = [[], []], {}, {}
+
+        def root(x):
+            while x in parent:
+                x = parent[x]
+            return x
+
+        def shingles(row: int) -> np.ndarray:
+            if row not in sets:
+                sets[row] = shingle_hashes(table["text"][row].as_py(), width)
+            return sets[row]
+
+        for x in left:
+            others = right[(label[right] != label[x]) & ((rep[right] > rep[x]) | (low != high))]
+            others = others[np.minimum(sizes[others], sizes[x]) >= threshold * np.maximum(sizes[others], sizes[x])]
+            others = others[_alive(signatures[x], signatures[others], wanted)]
+            equal = signatures[others, :used] == signatures[x, :used]
+            bands = equal.reshape(len(others), used // rows, rows).all(axis=2)
+            here = bands.argmax(axis=1) == band
+            for y in others[here][np.argsort(-equal[here].sum(axis=1), kind="stable")]:
+                one, two = root(label[x]), root(label[y])
+                if one == two:
+                    continue
+                common = len(np.intersect1d(shingles(x), shingles(y), assume_unique=True))
+                if 100 * common >= percent * (sizes[x] + sizes[y] - common):
+                    parent[two] = one
+                    found[0].append(min(rep[x], rep[y]))
+                    found[1].append(max(rep[x], rep[y]))
+        return pa.table([pa.array(v, table.schema.field("rep").type) for v in found], ["a", "b"])
+
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    cells = (
+        members.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
+        .select("*", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+        .withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+        .join(classes.select("rep", "n_shingles", "signature"), "rep")
+        .join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep")
+    )
+    return cells.groupBy("key", "low", "high").applyInArrow(compare, f"a {id_type}, b {id_type}").distinct()
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs whose full shingle sets reach the threshold."""
 
@@ -212,7 +293,7 @@ def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
     named = members.join(roots.withColumnRenamed("v", "rep"), "rep", "left").withColumn(
         "label", F.coalesce("root", "rep")
     )
-    named = stage(named.select("key", "rep", "label"), "named")
+    named = stage(named.select("key", "band", "rep", "label", "size"), "named")
     open_keys = stage(
         named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("key"),
         "open",
@@ -238,11 +319,12 @@ def near_dedup(
         ),
         "classes",
     )
+    rows = band_rows(threshold)
     keys = F.transform(
-        F.sequence(F.lit(0), F.lit(BANDS - 1)),
-        lambda n: F.xxhash64(n, F.substring(F.col("signature"), n * 2 * ROWS + 1, F.lit(2 * ROWS))),
+        F.sequence(F.lit(0), F.lit(HASHES // rows - 1)),
+        lambda n: F.xxhash64(n, F.substring(F.col("signature"), n * 2 * rows + 1, F.lit(2 * rows))),
     )
-    banded = classes.select("rep", F.explode(keys).alias("key"))
+    banded = classes.select("rep", F.posexplode(keys).alias("band", "key"))
     shared = stage(banded.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "buckets")
     members = stage(banded.join(shared, "key"), "members")
     degrees = members.groupBy("rep").agg(F.sum("size").alias("degree"))
@@ -253,25 +335,27 @@ def near_dedup(
     involved = members.select(F.col("rep").alias("doc_id")).distinct()
     texts = stage(read.join(involved, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
 
-    def links(pairs: DataFrame) -> DataFrame:
-        probable = stage(_probable(pairs, classes, threshold), "probable")
-        return stage(_verified(probable, texts, width, percent), "links")
+    def links(*probable: DataFrame) -> DataFrame:
+        pairs = functools.reduce(DataFrame.unionByName, probable)
+        return stage(_verified(stage(pairs, "probable"), texts, width, percent), "links")
 
     first = stage(
         members.join(hubs, "key").filter("rep <> hub")
         .select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct(),
         "pairs",
     )
-    found = links(first)
+    found = links(_probable(first, classes, threshold))
     roots = stars(found)
     left = _labelled(members, roots)
-    one = left.select("key", F.col("rep").alias("a"), F.col("label").alias("la"))
-    two = left.select("key", F.col("rep").alias("b"), F.col("label").alias("lb"))
+    small = left.filter(F.col("size") <= SMALL)
+    one = small.select("key", F.col("rep").alias("a"), F.col("label").alias("la"))
+    two = small.select("key", F.col("rep").alias("b"), F.col("label").alias("lb"))
     rest = (
         one.join(two, "key").filter("a < b and la <> lb").select("a", "b").distinct()
         .join(first, ["a", "b"], "left_anti")
     )
-    more = links(rest)
+    large = _block_pairs(left.filter(F.col("size") > SMALL), classes, texts, width, percent)
+    more = links(_probable(rest, classes, threshold), large)
     if not more.isEmpty():
         roots = stars(found.unionByName(more))
 
