@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -116,12 +117,14 @@ def _groups(sorted_keys: np.ndarray) -> np.ndarray:
 
 
 def _least_of(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Order by (key, doc); then for each sorted entry its group's number, and the groups' first and last doc."""
-    order = np.lexsort((docs, keys))
+    """Order by key; for each sorted entry its group's number; the groups' least and largest doc."""
+    order = np.argsort(keys)
     starts = _groups(keys[order])
     numbers = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(keys))))
-    sorted_docs = docs[order]
-    return order, numbers, sorted_docs[starts], sorted_docs[np.append(starts[1:], len(keys)) - 1] if len(keys) else sorted_docs
+    held = docs[order]
+    if not len(starts):
+        return order, numbers, held, held
+    return order, numbers, np.minimum.reduceat(held, starts), np.maximum.reduceat(held, starts)
 
 
 def _five(hashes: np.ndarray) -> bytes:
@@ -139,11 +142,11 @@ def _packed_anchors(docs: DataFrame, buckets: int) -> DataFrame:
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)[rows]
             order, group, first, last = _least_of(hashes, ids)
             ids, places, hashes = ids[order], places[order], hashes[order]
-            starts = _groups(hashes)
             shared = (first < last)[group]
-            # Of a shared anchor only its least id asks the bucket; of others, every place does.
+            # Of a shared anchor only one place of its least id asks the bucket; of others, every place does.
             asks = ~shared
-            asks[starts] = True
+            least = np.flatnonzero(ids == first[group])
+            asks[least[_groups(group[least])]] = True
             bucket = (hashes >> np.uint64(40)) % np.uint64(buckets)
             out = [[], [], [], []]
 
@@ -212,19 +215,26 @@ def suffix_order(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     key = np.zeros(n, dtype=np.uint64)
     for at in range(7):
         key = (key << np.uint64(9)) | padded[at : at + n]
+    order = np.argsort(key)
+    places, keys = np.arange(n), key[order]
+    rank = np.empty(n, dtype=np.int64)  # the row where a suffix's class of equals begins
     span, by_28 = 7, None
     while True:
-        order = np.argsort(key, kind="stable")
-        fresh = np.concatenate([[0], (key[order][1:] != key[order][:-1]).astype(np.int64)])
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = np.cumsum(fresh)
+        fresh = np.concatenate([[True], keys[1:] != keys[:-1]])
+        rank[order[places]] = np.maximum.accumulate(np.where(fresh, places, 0))
         if span == 28:
-            by_28 = rank
-        if rank[order[-1]] == n - 1:
+            by_28 = rank.copy()
+        # Only suffixes that still equal a neighbour are sorted again.
+        alone = fresh & np.concatenate([fresh[1:], [True]])
+        places = places[~alone]
+        if not len(places):
             return order, rank if by_28 is None else by_28
-        behind = np.zeros(n, dtype=np.int64)
-        behind[:-span] = rank[span:] + 1
-        key = rank.astype(np.uint64) * np.uint64(n + 1) + behind.astype(np.uint64)
+        tied = order[places]
+        ahead = tied + span
+        behind = np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
+        keys = rank[tied].astype(np.uint64) * np.uint64(n + 1) + behind.astype(np.uint64)
+        by_key = np.argsort(keys)
+        order[places], keys = tied[by_key], keys[by_key]
         span *= 2
 
 
@@ -289,6 +299,7 @@ def _packed_snippets(placed: DataFrame, buckets: int) -> DataFrame:
     """``bucket, hashes, docs, bases, lengths, bytes``: packed snippets; in buckets below 0 the marks known already."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             ids, hashes, bases, lengths, parts = [], [], [], [], []
             for doc, value, places in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
@@ -310,10 +321,7 @@ def _packed_snippets(placed: DataFrame, buckets: int) -> DataFrame:
             ids, hashes, bases, lengths, parts = (np.concatenate(x) for x in (ids, hashes, bases, lengths, parts))
             content = _row_hashes(parts) ^ lengths.astype(np.uint64) ^ (hashes * _MULTIPLIERS[1])
             order, group, first, last = _least_of(content, ids)
-            starts = _groups(content[order])
             known = ids[order] > first[group]
-            asks = np.zeros(len(order), dtype=bool)
-            asks[starts] = True
             out = [[], [], [], [], [], []]
 
             def emit(number: int, where: np.ndarray, with_bytes: bool) -> None:
@@ -322,12 +330,15 @@ def _packed_snippets(placed: DataFrame, buckets: int) -> DataFrame:
                 out[2].append(ids[where].astype("<i8").tobytes())
                 out[3].append(bases[where].astype("<u4").tobytes())
                 out[4].append(lengths[where].astype(np.uint8).tobytes())
-                out[5].append(parts[where].tobytes() if with_bytes else b"")
+                out[5].append(packer.compress(parts[where].tobytes()) if with_bytes else b"")
 
-            asking = order[asks | ~known]
+            asking = order[~known]
+            # By bucket, then by anchor: snippets that differ little stand side by side and pack well.
+            asking = asking[np.argsort(hashes[asking])]
             bucket = (hashes[asking] >> np.uint64(20)) % np.uint64(buckets)
-            asking = asking[np.argsort(bucket, kind="stable")]
-            cuts = _groups(np.sort(bucket, kind="stable"))
+            by_bucket = np.argsort(bucket, kind="stable")
+            asking = asking[by_bucket]
+            cuts = _groups(bucket[by_bucket])
             for part in np.split(asking, cuts[1:]):
                 emit(int((hashes[part[0]] >> np.uint64(20)) % np.uint64(buckets)), part, True)
             if known.any():
@@ -366,7 +377,8 @@ def _marks(packed: DataFrame) -> DataFrame:
             bits = whole
         else:
             hashes = np.frombuffer(b"".join(table["hashes"].to_pylist()), dtype="<u8")
-            parts = np.frombuffer(b"".join(table["bytes"].to_pylist()), dtype=np.uint8).reshape(-1, SNIPPET)
+            unpacked = b"".join(map(zstandard.ZstdDecompressor().decompress, table["bytes"].to_pylist()))
+            parts = np.frombuffer(unpacked, dtype=np.uint8).reshape(-1, SNIPPET)
             content = _row_hashes(parts) ^ lengths.astype(np.uint64) ^ (hashes * _MULTIPLIERS[1])
             order, group, first, _ = _least_of(content, ids)
             ids, bases, lengths, whole = ids[order], bases[order], lengths[order], whole[order]
