@@ -33,7 +33,11 @@ def _as_documents(changed: DataFrame, docs: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; kept ones lose the lines that fail the rules."""
-    return _as_documents(quality_rules(docs).filter("kept"), docs)
+    judged = quality_rules(docs)
+    # A generator between the verdict and its filter: pushed below, the filter would judge each text twice,
+    # with the words split anew for every comparison.
+    judged = judged.select(F.inline(F.array(F.struct(*judged.columns))))
+    return _as_documents(judged.filter("kept"), docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
