@@ -87,3 +87,21 @@ def test_index_steps_and_marks():
 
 def test_empty(empty_docs):
     assert R.dedup_strings(empty_docs).collect() == []
+
+
+def test_different_texts_under_one_id_do_not_crash(spark):
+    rows = [(1, "p" * 30 + "a passage that is certainly longer than fifty bytes in all"), (2, "short"),
+            (2, "a passage that is certainly longer than fifty bytes in all, and more")]
+    out = run(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert [r[:2] for r in out] == [(1, 88), (2, 5), (2, 68)] and out[0][2] == 0 and out[1][2] == 0
+
+
+def test_texts_are_exchanged_once(spark, small_docs):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as large marks are
+    try:
+        frame = R.dedup_strings(small_docs[1])
+        frame.collect()
+        assert "ReusedExchange" in frame._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
