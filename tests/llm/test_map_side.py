@@ -93,6 +93,18 @@ def test_quality_verdict(spark):
     assert out[2].text == prose and out[2].n_lines_removed == 2
 
 
+def test_quality_removes_read_more_and_long_short_lines(spark):
+    prose = "The quick brown fox jumps over the lazy dog and then it runs far away from the old mill by the river."
+    link = "https://example.org/" + "section/" * 10
+    gone = ["Read more...", "Read more »", "Read more at our site today.", link, f"News {link} x{'y' * 70} more", "Home" + " " * 70,
+            "one two three four" + " " * 70]
+    stay = ["They read moreover a book today.", f"see the page {link} now then", f"See {link}.", " " * 80, "one two three four five"]
+    rows = [(n, f"{prose}\n{line}\n{prose} Again.") for n, line in enumerate(gone + stay)]
+    out = {r.doc_id: r for r in quality_rules(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert [out[n].n_lines_removed for n, _ in rows] == [1] * len(gone) + [0] * len(stay)
+    assert all(out[n].text == f"{prose}\n{prose} Again." for n in range(len(gone)))
+
+
 def test_quality_agrees_with_labels(spark, small_docs):
     labels = spark.read.parquet(small_docs[1].inputFiles()[0].replace("documents", "labels"))
     out = quality_rules(small_docs[1]).filter("n_words >= 20")

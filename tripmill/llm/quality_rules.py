@@ -8,7 +8,7 @@ Line rules (an empty line never fails):
   symbols      more than a tenth of the characters are ``#*$%&|<>``
   punctuation  more than half of the words end in ``!!`` or ``??``
   navigation   at least three menu separators, one for every three words; or a menu entry by name; or at
-               most four words and 60 characters without closing punctuation next to other lines
+               most four words, however long, without closing punctuation next to other lines
   boilerplate  a stock phrase of web pages
   stutter      more than half of the words repeat the word before them
 What a rule looks for is first sought in the whole text, so most lines are judged by a flag.
@@ -29,20 +29,22 @@ from pyspark.sql import functions as F
 
 from tripmill.llm.shared import SPACE_CLASS, let
 
-#: Fixed values.
+#: Fixed values; the phrases are sought in lower case.
 SYMBOLS = r"[#*$%&|<>]"
 BOILERPLATE = (
     "all rights reserved", "privacy policy", "cookie policy", "terms of use", "terms of service", "click here",
-    "read more about", "subscribe to our", "subscribe to the", "sign up for", "enable javascript", "lorem ipsum",
+    r"read more\b", "subscribe to our", "subscribe to the", "sign up for", "enable javascript", "lorem ipsum",
     "share this page", "share this article", "share this post", "skip to content", "skip to main content", "back to top",
 )
 MENU = r"(?i)^(?:home|menu|login|log ?in|log ?out|sign in|register|contact(?: us)?|about(?: us)?|next|previous|search|sitemap|faq)$"
 SEPARATOR_CHARS, SEPARATORS = "|»›•·>", r"[|»›•·>]"
+#: One to four words; menu entries have at most two.
+FEW_WORDS = r"^[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++(?:[\x20\x09-\x0D]++|$)){1,4}+$"
 CLOSING = r"[.!?…:;\"')\]»]$"
 BLANKS = " \t\n\x0b\x0c\r"
 STUTTER = r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]+)(?=[\x20\x09-\x0D]+\1(?:[\x20\x09-\x0D]|$))"
 
-MIN_WORDS, WINDOW, SHORT_LINE = 20, 8, 60
+MIN_WORDS, WINDOW = 20, 8
 MAX_REPEAT, MAX_LOST, MAX_SYMBOLS, MAX_EMPHASIS, MAX_STUTTER = 0.3, 0.5, 0.1, 0.5, 0.5
 
 
@@ -97,7 +99,7 @@ def rule_flags(text: Column, lines: Column, words: Column, n_symbols: Column) ->
         (n_symbols > 0).alias("symbols"),
         any_of(text, ("!!", "??")).alias("emphasis"),
         any_of(text, SEPARATOR_CHARS).alias("separators"),
-        any_of(lowered, BOILERPLATE).alias("boilerplate"),
+        any_of(lowered, [x.removesuffix(r"\b") for x in BOILERPLATE]).alias("boilerplate"),
         (F.size(repeats) > 1).alias("stutter"),
     )
 
@@ -108,14 +110,12 @@ def line_fails(line: Column, flags: Column) -> Column:
     n_words = F.size(F.split(bare, SPACE_CLASS + "+"))
     count = lambda pattern: F.regexp_count(bare, F.lit(pattern))
     symbols = F.length(line) - F.length(F.regexp_replace(line, SYMBOLS, ""))
-    short = (F.length(line) <= SHORT_LINE) & (F.length(bare) > 0)
     return (
         (flags["symbols"] & (symbols > F.lit(MAX_SYMBOLS) * F.length(line)))
         | (flags["emphasis"] & (count(r"(?:!!|\?\?)(?=[\x20\x09-\x0D]|$)") > F.lit(MAX_EMPHASIS) * n_words))
         | (flags["separators"] & (count(SEPARATORS) >= 3) & (count(SEPARATORS) * 3 >= n_words))
         | (flags["stutter"] & (count(STUTTER) > F.lit(MAX_STUTTER) * n_words))
-        | (short & bare.rlike(MENU))
-        | (short & flags["others"] & (n_words <= 4) & ~bare.rlike(CLOSING))
+        | (line.rlike(FEW_WORDS) & (bare.rlike(MENU) | (flags["others"] & ~bare.rlike(CLOSING))))
         | (flags["boilerplate"] & F.lower(line).rlike("|".join(BOILERPLATE)))
     )
 
