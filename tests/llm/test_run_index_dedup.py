@@ -105,3 +105,28 @@ def test_texts_are_exchanged_once(spark, small_docs):
         assert "ReusedExchange" in frame._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_frequent_anchors_leave_the_buckets(spark, monkeypatch):
+    """A short line in changing surroundings, and a passage's edges: one content a document, no common bucket."""
+    random.seed(7)
+    noise = lambda n: "".join(random.choices("uvwxyz ", k=n))
+    line, passage = "Licensed for anyone to read, 2024", "a passage that is certainly longer than fifty bytes in all, é and more"
+    rows = [(n, f"{noise(60)}{line}{noise(60)}{passage if n % 2 else passage[5:]}{noise(40 + n % 9)}") for n in range(300)]
+    rows += [(1000 + n, rows[n][1][20:150]) for n in range(40)] + [(2000, "q" * 60), (2001, "q" * 55)]
+    random.shuffle(rows)
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    monkeypatch.setattr(R, "FREQUENT", 50)
+    monkeypatch.setattr(R, "SAMPLE", 1)
+    seen, most = [], []
+    find, pack = R._frequent_anchors, R._packed_snippets
+
+    def packed(*given):
+        out = pack(*given)
+        most.extend(len(h) // 8 for h, n in ((r.hashes, r.bucket) for r in out.collect()) if n >= 0)
+        return out
+
+    monkeypatch.setattr(R, "_frequent_anchors", lambda placed: seen.append(find(placed)) or seen[-1])
+    monkeypatch.setattr(R, "_packed_snippets", packed)
+    assert run(frame) == sorted(brute.op4(rows), key=repr)
+    assert len(seen[0]) >= 2 and max(most) < 50

@@ -9,10 +9,15 @@
    positions sampled at run ends. Every content is streamed through it backwards, all contents in lockstep:
    a step of the last-to-first mapping finds its run by binary search. Where the matching statistic reaches
    ``WIDTH``, the row lies in an interval of equal strings, and the interval's least document id decides.
-4. Marks come back to their documents, where covered bytes are cut out.
+4. Frequent anchors. An anchor whose contents differ from document to document (the edge of a passage, a short
+   line in changing surroundings) would make one bucket as large as the corpus. Anchors of ``FREQUENT`` contents
+   or more, as a sample of the documents shows, go another way: each of their strings is keyed by 128 bits of
+   hash, and the least document of a key decides. Both ways give the same marks.
+5. Marks come back to their documents, where covered bytes are cut out.
 
 Map tasks collapse what they can decide alone: of the copies of an anchor or of a content in one batch only
-the least id travels to the bucket, so a passage in a third of all documents costs a bucket one row a batch.
+the least id travels to the bucket, so the inside of a passage in a third of all documents costs a bucket one
+row a batch, and so does each string of a frequent anchor that many documents share.
 Buckets follow the bytes of the corpus. Exchanged are about 6 % of the positions as packed hashes, the snippets
 of shared anchors, and each text once.
 
@@ -30,7 +35,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmill.llm.shared import ship_code, stage
@@ -40,6 +45,8 @@ SLIDE = WIDTH - GRAM  # bytes that a string can reach beyond its anchor on eithe
 SNIPPET = WIDTH + SLIDE
 #: Bytes hashed at a time, and bytes of text behind a bucket of anchors.
 CHUNK, BUCKET_BYTES = 1 << 20, 4 << 20
+#: Contents from which an anchor counts as frequent, and one document in how many is looked at for that.
+FREQUENT, SAMPLE = 1 << 14, 64
 _TABLE = np.random.default_rng(4).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
 _LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -296,35 +303,109 @@ def repeated_strings(contents: np.ndarray, lengths: np.ndarray, docs: np.ndarray
     return bits
 
 
-def _packed_snippets(placed: DataFrame, buckets: int) -> DataFrame:
-    """``bucket, hashes, docs, bases, lengths, bytes``: packed snippets; in buckets below 0 the marks known already."""
+def _snippets(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """Document, anchor hash, base, length and padded bytes of the snippet around each place of the batch."""
+    ids, hashes, bases, lengths = (np.empty(0, dtype=k) for k in (np.int64, np.uint64, np.int64, np.int64))
+    found = [[ids], [hashes], [bases], [lengths], [np.empty((0, SNIPPET), dtype=np.uint8)]]
+    for doc, value, places in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+        if not places.is_valid or not value.is_valid:
+            continue
+        data = np.frombuffer(value.as_py().encode(), dtype=np.uint8)
+        at = np.unique(places.values.to_numpy().astype(np.int64))
+        at = at[at + GRAM <= len(data)]
+        if not len(at):
+            continue
+        base = np.maximum(0, at - SLIDE)
+        stop = np.minimum(len(data), at + WIDTH)
+        padded = np.concatenate([data, np.zeros(SNIPPET, dtype=np.uint8)])
+        rows = padded[base[:, None] + np.arange(SNIPPET)]
+        rows[np.arange(SNIPPET) >= (stop - base)[:, None]] = 0
+        grams = padded[at[:, None] + np.arange(GRAM)]
+        for column, x in zip(found, (np.full(len(at), doc), _row_hashes(grams), base, stop - base, rows)):
+            column.append(x)
+    return tuple(np.concatenate(x) for x in found)
+
+
+def _frequent_anchors(placed: DataFrame) -> np.ndarray:
+    """Hashes of the anchors that have about ``FREQUENT`` contents or more, from the documents of a sample."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, hashes, _, lengths, parts = _snippets(batch)
+            content = _row_hashes(parts) ^ lengths.astype(np.uint64) ^ (hashes * _MULTIPLIERS[1])
+            _, one = np.unique(content, return_index=True)
+            anchor, n = np.unique(hashes[one], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(n, pa.int64())], ["anchor", "n"])
+
+    sampled = placed.filter(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0).filter("places is not null")
+    counted = sampled.mapInArrow(count, "anchor bigint, n bigint").groupBy("anchor").agg(F.sum("n").alias("n"))
+    rows = counted.filter(F.col("n") * SAMPLE >= FREQUENT).select("anchor").collect()
+    return np.array(sorted(r.anchor for r in rows), dtype=np.int64).view(np.uint64)
+
+
+def _frequent_marks(placed: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """``doc_id, base, bits`` for the strings of frequent anchors, by the least document of each string.
+
+    Of the copies of a string in a batch only those of the least document ask; the others are known repeats.
+    """
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, hashes, bases, lengths, parts = _snippets(batch)
+            wanted = np.isin(hashes, frequent) & (lengths >= WIDTH)
+            ids, bases, lengths, parts = (x[wanted] for x in (ids, bases, lengths, parts))
+            if not len(ids):
+                continue
+            which, shifts, ones, twos = [], [], [], []
+            for n in range(SLIDE + 1):
+                long = np.flatnonzero(lengths >= WIDTH + n)
+                strings = np.ascontiguousarray(parts[long, n : n + WIDTH])
+                which.append(long)
+                shifts.append(np.full(len(long), n))
+                ones.append(_row_hashes(strings))
+                twos.append(_row_hashes(strings[:, ::-1]))
+            which, shifts, ones, twos = (np.concatenate(x) for x in (which, shifts, ones, twos))
+            order = np.lexsort((ids[which], twos, ones))
+            which, shifts, ones, twos = which[order], shifts[order], ones[order], twos[order]
+            fresh = np.concatenate([[True], (ones[1:] != ones[:-1]) | (twos[1:] != twos[:-1])])
+            first = ids[which][np.maximum.accumulate(np.where(fresh, np.arange(len(which)), 0))]
+            known = ids[which] > first
+            bits = np.zeros(len(ids), dtype=np.int64)
+            np.bitwise_or.at(bits, which[known], np.int64(1) << shifts[known])
+            marked, asks = np.flatnonzero(bits), np.flatnonzero(~known)
+            # Known marks take along keys of their own, which spread them.
+            own = np.stack([ids[marked], bases[marked]], axis=1).astype("<i8").view(np.uint8)
+            columns = (
+                np.concatenate([ones[asks], _row_hashes(own)]).view(np.int64),
+                np.concatenate([twos[asks], _row_hashes(own[:, ::-1])]).view(np.int64),
+                np.concatenate([ids[which[asks]], ids[marked]]),
+                np.concatenate([bases[which[asks]], bases[marked]]).astype(np.int32),
+                np.concatenate([np.int64(1) << shifts[asks], bits[marked]]),
+                np.arange(len(asks) + len(marked)) >= len(asks),
+            )
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["h1", "h2", "doc_id", "base", "bits", "known"])
+
+    asked = placed.mapInArrow(ask, "h1 bigint, h2 bigint, doc_id bigint, base int, bits bigint, known boolean")
+    # A key has a row or so for each batch.
+    least = F.min("doc_id").over(Window.partitionBy("h1", "h2", "known"))
+    return asked.withColumn("least", least).filter("known or doc_id > least").select("doc_id", "base", "bits")
+
+
+def _packed_snippets(placed: DataFrame, buckets: int, frequent: np.ndarray) -> DataFrame:
+    """``bucket, hashes, docs, bases, lengths, bytes``: packed snippets; in buckets below 0 the marks known already.
+
+    Those of frequent anchors are left out.
+    """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            ids, hashes, bases, lengths, parts = [], [], [], [], []
-            for doc, value, places in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                if not places.is_valid or not value.is_valid:
-                    continue
-                data = np.frombuffer(value.as_py().encode(), dtype=np.uint8)
-                at = np.unique(places.values.to_numpy().astype(np.int64))
-                at = at[at + GRAM <= len(data)]
-                if not len(at):
-                    continue
-                base = np.maximum(0, at - SLIDE)
-                stop = np.minimum(len(data), at + WIDTH)
-                padded = np.concatenate([data, np.zeros(SNIPPET, dtype=np.uint8)])
-                rows = padded[base[:, None] + np.arange(SNIPPET)]
-                rows[np.arange(SNIPPET) >= (stop - base)[:, None]] = 0
-                grams = padded[at[:, None] + np.arange(GRAM)]
-                ids.append(np.full(len(at), doc))
-                hashes.append(_row_hashes(grams))
-                bases.append(base)
-                lengths.append(stop - base)
-                parts.append(rows)
-            if not ids:
+            ids, hashes, bases, lengths, parts = _snippets(batch)
+            if len(frequent):
+                rare = ~np.isin(hashes, frequent)
+                ids, hashes, bases, lengths, parts = (x[rare] for x in (ids, hashes, bases, lengths, parts))
+            if not len(ids):
                 continue
-            ids, hashes, bases, lengths, parts = (np.concatenate(x) for x in (ids, hashes, bases, lengths, parts))
             content = _row_hashes(parts) ^ lengths.astype(np.uint64) ^ (hashes * _MULTIPLIERS[1])
             order, group, first, last = _least_of(content, ids)
             known = ids[order] > first[group]
@@ -429,7 +510,11 @@ def dedup_strings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     by_doc = shared.groupBy("doc_id").agg(F.collect_list("place").alias("places"))
     # Both joins of the texts are left joins of the same columns in one query: they share one exchange.
     placed = read.join(by_doc, "doc_id", "left").select("doc_id", "text", "places")
-    marks = _marks(_packed_snippets(placed, buckets))
+    # Fewer bytes hold no frequent anchor.
+    frequent = _frequent_anchors(placed) if total >= FREQUENT else np.empty(0, dtype=np.uint64)
+    marks = _marks(_packed_snippets(placed, buckets, frequent))
+    if len(frequent):
+        marks = marks.unionByName(_frequent_marks(placed, frequent))
     marked = marks.groupBy("doc_id").agg(F.collect_list(F.struct("base", "bits")).alias("marks"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
