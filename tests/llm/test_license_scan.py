@@ -4,7 +4,7 @@ import random
 import re
 
 from tests.llm.conftest import rows_of
-from tripmill.llm.license_scan import CONTAINMENT, OVERLAP, TEMPLATES, WIDTH, WINDOW_FACTOR, miss_probability, scan_licenses
+from tripmill.llm.license_scan import CONTAINMENT, OVERLAP, SIBLINGS, TEMPLATES, WIDTH, WINDOW_FACTOR, miss_probability, scan_licenses
 
 
 def tokens(text):
@@ -65,3 +65,21 @@ def test_planted(spark):
 def test_guarantee_and_empty(empty_docs):
     assert miss_probability() < 1e-5 and miss_probability(1.0) < 1e-8
     assert scan_licenses(empty_docs).collect() == []
+
+
+def test_siblings_are_told_apart(spark):
+    noise = " ".join(f"w{n}" for n in range(90))
+    known = [*TEMPLATES, *SIBLINGS]
+    strange = [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License as published by the Free Software Foundation, either version 4 of the License, or (at your option) any later version.",
+        "This work is licensed under the GNU General Public License, version 4.",
+        "you may not use this file except in compliance with the License. You may obtain a copy of the License at "
+        "http://www.apache.org/licenses/LICENSE-1.1",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1.",
+    ]
+    texts = [text for _, text in known] + strange + [f"{known[4][1]} {noise} {SIBLINGS[1][1]}"]
+    rows = [(n, f"{noise}\n{text} {noise}") for n, text in enumerate(texts)]
+    out = {r.doc_id: r.licenses for r in scan_licenses(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    want = [name for name, _ in known] + [""] * len(strange) + ["GPL-2.0,GPL-3.0"]
+    assert [out[n] for n in range(len(rows))] == want

@@ -6,7 +6,8 @@ windows overlap by seven eighths. A window and a template share a band if the le
 probes a broadcast table of these shingles (at most ``BANDS`` a template) with every word, by each shingle's
 longest word, and only windows around a probe hit have their least shingles computed. Retrieved windows are
 then verified: the share of the template's distinct shingles in the window, and one step around it, must
-reach ``CONTAINMENT``.
+reach ``CONTAINMENT``. Sibling notices differ in a few words only (GPL-2.0, LGPL and AGPL hold more than 0.8 of the
+GPL-3.0 notice), so the window must also hold the words of the template that name license and version (``NAMING``).
 
 ``miss_probability`` bounds what the bands miss: a window of w shingles that holds the share c of the m
 template shingles has similarity c m / (w + (1 - c) m), and all ``BANDS`` hash functions must disagree.
@@ -56,6 +57,61 @@ TEMPLATES = (
 )
 
 
+def _gnu(program: str, license: str, version: str) -> tuple[str, ...]:
+    """The short and the long notice of a GNU license, and the one for this version only."""
+    opening = f"This {program} is free software: you can redistribute it and/or modify it under the terms of the GNU {license}"
+    return (
+        f"This work is licensed under the GNU {license}, version {version}.",
+        f"{opening} as published by the Free Software Foundation, either version {version} of the License, or (at your "
+        "option) any later version.",
+        f"{opening} version {version} as published by the Free Software Foundation.",
+        f"{opening} as published by the Free Software Foundation, version {version}.",
+    )
+
+
+_GNU = (
+    ("GPL-2.0", "program", "General Public License", "2"),
+    ("GPL-3.0", "program", "General Public License", "3"),
+    ("LGPL-2.0", "library", "Library General Public License", "2"),
+    ("LGPL-2.1", "library", "Lesser General Public License", "2.1"),
+    ("LGPL-3.0", "program", "Lesser General Public License", "3"),
+    ("AGPL-3.0", "program", "Affero General Public License", "3"),
+)
+
+#: Notices that resemble those above.
+SIBLINGS = tuple(
+    (name, text) for name, *parts in _GNU for text in _gnu(*parts) if (name, text) not in TEMPLATES
+) + (
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC0-1.0", "Licensed under CC0 1.0."),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights "
+                "to this work."),
+    ("EPL-1.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+                "License v1.0 which accompanies this distribution"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+                "License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0"),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+                     "promote products derived from this software without specific prior written permission."),
+)
+
+#: Words that name a license and its version: those that a template has, its windows must have as well.
+NAMING = {
+    name: tuple(
+        phrase.format(license=license.lower(), public=license.lower().removesuffix(" license"), version=version.replace(".", " "))
+        for phrase in ("under the gnu {license} version {version}", "either version {version} of", "terms of the gnu {public}",
+                       "license version {version} as", "foundation version {version}")
+    )
+    for name, _, license, version in _GNU
+} | {
+    "Apache-2.0": ("apache license version 2 0", "licenses license 2 0"),
+    "MPL-2.0": ("mozilla public license v 2 0",),
+    "EPL-1.0": ("eclipse public license v1 0",),
+    "EPL-2.0": ("eclipse public license 2 0",),
+}
+
+
 def miss_probability(containment: float = CONTAINMENT, bands: int = BANDS) -> float:
     """Chance that no band retrieves an aligned window with this containment; one step off adds an eighth."""
     held = containment - 1 / OVERLAP
@@ -86,16 +142,25 @@ def _shingles(words: Column) -> Column:
     return F.when(last >= 1, F.array_distinct(let(lowered, joined))).otherwise(F.array().cast("array<string>"))
 
 
-def template_table(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
-    """``anchor, offset, hash, template, license, shingles, width, step, bands``: each template's least shingles.
+def _spaced(words: Column) -> Column:
+    """The words as text between blanks, A-Z lower-cased."""
+    return F.concat(F.lit(" "), F.translate(F.array_join(words, " "), UPPER, LOWER), F.lit(" "))
+
+
+def _holds(text: Column, phrase: Column) -> Column:
+    return F.contains(text, F.concat(F.lit(" "), phrase, F.lit(" ")))
+
+
+def template_table(spark: SparkSession, templates=TEMPLATES + SIBLINGS) -> DataFrame:
+    """``anchor, offset, hash, template, license, shingles, naming, width, step, bands``: each template's least shingles.
 
     ``anchor`` is the hash of the shingle's longest word, ``offset`` that word's place in it.
     """
-    rows = [(n, name, text) for n, (name, text) in enumerate(templates)]
-    read = spark.createDataFrame(rows, "template int, license string, text string").select(
-        "template", "license", words_of(ascii_lower(F.col("text"))).alias("words")
-    )
-    sized = read.select("template", "license", "words", _shingle_hashes(F.col("words")).alias("hashes"), _shingles(F.col("words")).alias("shingles"))
+    rows = [(n, name, text, list(NAMING.get(name, ()))) for n, (name, text) in enumerate(templates)]
+    read = spark.createDataFrame(rows, "template int, license string, text string, naming array<string>").select(
+        "template", "license", words_of(ascii_lower(F.col("text"))).alias("words"), "naming"
+    ).withColumn("naming", let(_spaced(F.col("words")), lambda t: F.filter("naming", lambda p: _holds(t, p))))
+    sized = read.select("template", "license", "naming", "words", _shingle_hashes(F.col("words")).alias("hashes"), _shingles(F.col("words")).alias("shingles"))
     width = F.ceil(F.size("hashes") * WINDOW_FACTOR).cast("int")
     least = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")
     return (
@@ -103,19 +168,19 @@ def template_table(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
         .withColumn("hash", _least(F.col("hashes"), F.col("band")).bitwiseXOR(_mask(F.col("band"))))
         .groupBy("hash", "template")
         .agg(
-            *(F.first(c).alias(c) for c in ("license", "shingles", "width", "step", "words", "hashes")),
+            *(F.first(c).alias(c) for c in ("license", "shingles", "naming", "width", "step", "words", "hashes")),
             F.collect_list("band").alias("bands"),
         )
         .withColumn("own", F.slice("words", F.array_position("hashes", F.col("hash")).cast("int"), WIDTH))
         .withColumn("longest", F.array_max(F.transform("own", lambda w, n: F.struct(F.length(w), -n, F.lower(w).alias("w"), n.alias("n")))))
         .select(
             F.xxhash64("longest.w").alias("anchor"), F.col("longest.n").alias("offset"),
-            "hash", "template", "license", "shingles", "width", "step", "bands",
+            "hash", "template", "license", "shingles", "naming", "width", "step", "bands",
         )
     )
 
 
-def find_licenses(docs: DataFrame, templates=TEMPLATES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def find_licenses(docs: DataFrame, templates=TEMPLATES + SIBLINGS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, text_hash, license, template, containment, start, end``: verified windows, in words."""
     table = F.broadcast(stage(template_table(docs.sparkSession, templates), "templates"))
     read = docs.select(
@@ -140,15 +205,18 @@ def find_licenses(docs: DataFrame, templates=TEMPLATES, doc_id: str = "doc_id",
     )
     low = F.greatest(F.lit(0), F.col("start") - F.col("step"))
     high = F.least(F.size("words"), F.col("start") + F.col("width") + F.col("step") + WIDTH - 1)
-    held = F.size(F.array_intersect("shingles", _shingles(F.slice("words", low + 1, high - low)))) / F.size("shingles")
+    part = F.slice("words", low + 1, high - low)
+    held = F.size(F.array_intersect("shingles", _shingles(part))) / F.size("shingles")
+    named = let(_spaced(part), lambda t: F.forall("naming", lambda p: _holds(t, p)))
     return (
-        retrieved.select("doc_id", "text_hash", "license", "template", held.alias("containment"), low.alias("start"), high.alias("end"))
+        retrieved.filter(named)
+        .select("doc_id", "text_hash", "license", "template", held.alias("containment"), low.alias("start"), high.alias("end"))
         .filter(F.col("containment") >= CONTAINMENT)
         .distinct()
     )
 
 
-def scan_licenses(docs: DataFrame, templates=TEMPLATES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def scan_licenses(docs: DataFrame, templates=TEMPLATES + SIBLINGS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_words, n_matches, licenses, containment`` of every document; licenses sorted, comma-joined."""
     found = (
         find_licenses(docs, templates, doc_id, text)
