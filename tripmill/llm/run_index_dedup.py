@@ -7,8 +7,9 @@
    cover (at most ``2 * WIDTH - GRAM``) go to the anchor's bucket; equal snippets are one content.
 3. Index. The contents of a bucket make a text whose Burrows-Wheeler transform is kept as runs, with suffix
    positions sampled at run ends. Every content is streamed through it backwards, all contents in lockstep:
-   a step of the last-to-first mapping finds its run by binary search. Where the matching statistic reaches
-   ``WIDTH``, the row lies in an interval of equal strings, and the interval's least document id decides.
+   a step of the last-to-first mapping finds its run by binary search. From ``WIDTH`` steps on, the row may lie
+   in an interval of equal strings, and the interval's least document id decides. Intervals and least ids come
+   from the suffix array of the build; the samples at run ends are not read.
 4. Frequent anchors. An anchor whose contents differ from document to document (the edge of a passage, a short
    line in changing surroundings) would make one bucket as large as the corpus. Anchors of ``FREQUENT`` contents
    or more, as a sample of the documents shows, go another way: each of their strings is keyed by 128 bits of
