@@ -22,6 +22,10 @@ CONTRACTS = {
     8: "doc_id bigint, held_out boolean, score double, predicted int",
     9: "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean",
     10: "doc_id bigint, size bigint, text_crc32 bigint, law string, shard int, slot bigint, grown_shard int",
+    11: "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, "
+        "groups_sha256 string",
+    12: "page_id bigint, url string, text string, n_chars bigint",
+    13: "anchor_id bigint, positive_id bigint, rank int, negative_id bigint, positive_score bigint, negative_score bigint",
 }
 
 
@@ -34,8 +38,8 @@ def test_one_query_for_each_operator():
 def test_contract(name, spark, small_docs):
     out = QUERIES[name](spark, TESTDATA)
     assert ", ".join(f"{c} {t}" for c, t in out.dtypes) == CONTRACTS[int(name[2:].split("_")[0])]
-    ids = {r.doc_id for r in out.select("doc_id").collect()}
-    assert ids == {i for i, _ in small_docs[0]}
+    if "doc_id" in out.columns:
+        assert {r.doc_id for r in out.select("doc_id").collect()} == {i for i, _ in small_docs[0]}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.llm.decontaminate import decontamination_report
+from tripmill.llm.hard_negatives import hard_negatives
+from tripmill.llm.html_wrappers import extract_main_text
 from tripmill.llm.license_scan import scan_licenses
 from tripmill.llm.line_dedup import line_dedup
 from tripmill.llm.near_dedup import near_dedup
@@ -16,6 +18,8 @@ from tripmill.llm.packing import pack
 from tripmill.llm.quality_rules import quality_rules
 from tripmill.llm.run_index_dedup import dedup_strings
 from tripmill.llm.sharding import shard
+from tripmill.llm.shared import stage
+from tripmill.llm.token_alignment import align_tokens, vocabularies, weigh_links
 from tripmill.llm.token_counts import token_counts
 from tripmill.llm.toxicity import score_toxicity
 
@@ -79,6 +83,28 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(_documents(spark, sf_dir), shards=16)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    aligned = align_tokens(_documents(spark, sf_dir), *paths).select(
+        "doc_id", "n_a", "n_b", F.size("links").cast("bigint").alias("n_groups"), digest.alias("groups_sha256"), "links"
+    )
+    size_b = len(vocabularies(*paths)[1].token_bytes)
+    return weigh_links(stage(aligned, "links"), size_b).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -90,4 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_token_counts": op9_token_counts,
     "op10_sharding": op10_sharding,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_html_extraction": op12_html_extraction,
+    "op13_hard_negatives": op13_hard_negatives,
 }
