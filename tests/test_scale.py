@@ -2,6 +2,8 @@
 
 import math
 import random
+import re
+import struct
 from collections import Counter
 
 import pytest
@@ -52,10 +54,29 @@ def test_dedupe_prunes_before_the_shuffle(tables):
     assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
 
 
-def test_quality_report_shuffles_once_by_id(tables):
+def test_quality_report_sorts_no_whole_rows_but_those_of_mixed_ids(tables):
+    per_id = plan_of(tables.clean.groupBy("trip_id").agg(*quality._row_counts()))
+    assert "SortAggregate" not in per_id and per_id.count("Exchange hashpartitioning") == 1
     plan = plan_of(quality.quality_report(tables.clean))
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert plan.count("Exchange SinglePartition") == 1
+    assert "SortAggregate" not in plan and plan.count("Exchange hashpartitioning(trip_id") == 1
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan and "Sort [" not in plan[plan.index("LeftSemi") :]
+
+
+def test_quality_report_of_mixed_ids(spark, tables):
+    """Ids with valid and invalid rows: the first row in the dedupe's order decides."""
+    columns = tables.raw.columns
+    base = {name: None for name in columns}
+    rows = [
+        base | {"trip_id": i, "pickup_datetime": t, "fare_amount": fare, "trip_distance_miles": 1.0}
+        for i, t, fare in (("a", "1", 5.0), ("a", "2", -5.0), ("b", "1", -5.0), ("b", "2", 5.0), ("c", "1", None), ("c", None, 5.0),
+                           ("d", "1", 1.0), ("d", "1", 1.0), (None, "1", 5.0), (None, "2", -5.0), ("e", "1", float("nan")))
+    ]
+    raw = spark.createDataFrame([tuple(r[c] for c in columns) for r in rows], tables.raw.schema)
+    report = quality.quality_report(raw).first()
+    assert report.clean_records == quality.clean_trips(raw).count() == 3
+    assert (report.total_records, report.duplicate_ids, report.rejected_records) == (11, 5, 8)
+    empty = quality.quality_report(raw.limit(0)).first()
+    assert set(empty) == {0}
 
 
 @pytest.mark.parametrize("kind", ["spread", "hot", "two", "constant", "powers", "infinite"])
@@ -86,21 +107,54 @@ def jobs_of(spark, name, work):
     return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
 
 
-def test_quantile_jobs_do_not_depend_on_the_values(spark):
-    """Adaptive execution starts a job for each exchange and scan; values and columns add none beyond."""
-    few = spark.range(4000).select((F.col("id") % 3).cast("double").alias("x"), F.col("id").cast("double").alias("y"))
-    few = few.repartition(4)
-    counts = {
-        jobs_of(spark, f"exact-{n}", lambda c=c: quantiles.exact_quantiles_of(few, c))
-        for n, c in enumerate((["x"], ["y"], ["x", "y"]))
-    }
-    assert max(counts) - min(counts) <= 2
-    assert jobs_of(spark, "sketch-2", lambda: quantiles.approx_quantiles_of(few, ["x", "y"])) == jobs_of(
-        spark, "sketch-1", lambda: quantiles.approx_quantiles_of(few, ["x"])
+def test_keys_are_the_bits_in_order(spark):
+    rng = random.Random(1)
+    values = [struct.unpack("<d", struct.pack("<Q", rng.getrandbits(64)))[0] for _ in range(4000)]
+    for power in range(-1074, 1024):
+        at = math.ldexp(1.0, power)
+        values += [at, math.nextafter(at, 0.0), math.nextafter(at, math.inf), -at]
+    values += [0.0, -0.0, math.inf, -math.inf, 5e-324, 1.7976931348623157e308, 19.99, 0.1]
+    values = [v for v in values if v == v]
+    frame = spark.createDataFrame([(v,) for v in values], "x double")
+    for row in quantiles.order_keys(frame, "x").collect():
+        bits = struct.unpack("<q", struct.pack("<d", abs(row.x)))[0]
+        assert row.key == (-bits if row.x < 0 else bits) and quantiles.value_of(row.key) == row.x
+    nan = quantiles.order_keys(spark.createDataFrame([(math.nan,), (None,)], "x double"), "x")
+    assert {row.key for row in nan.collect()} == {None}
+
+
+def test_quantile_jobs(spark):
+    """Adaptive execution starts two jobs for a pass; columns share the passes."""
+    frame = spark.range(4000).select(
+        (F.col("id") % 3).cast("double").alias("few"),
+        (F.col("id") / 100).alias("cents"),
+        (F.pow(F.lit(1.5), F.col("id") % 1000) * 1.1).alias("wide"),
+    ).repartition(4)
+    counts = [
+        jobs_of(spark, f"exact-{n}", lambda c=c: quantiles.exact_quantiles_of(frame, c))
+        for n, c in enumerate((["few"], ["cents"], ["wide"], ["few", "cents", "wide"]))
+    ]
+    source = 1  # the repartition of the test's own frame
+    assert counts[0] <= 2 + source and max(counts) <= 6 + 3 * source
+    assert counts[3] <= max(counts[:3])
+    assert jobs_of(spark, "sketch-2", lambda: quantiles.approx_quantiles_of(frame, ["few", "wide"])) == jobs_of(
+        spark, "sketch-1", lambda: quantiles.approx_quantiles_of(frame, ["few"])
     )
 
 
-def test_quantiles_across_many_slices(spark):
+def test_digits_that_agree_for_long(spark):
+    """Values that differ in their last bits only: every pass is needed."""
+    values, x = [], 1.0
+    for _ in range(999):
+        values.append(x)
+        x = math.nextafter(x, 2.0)
+    frame = spark.createDataFrame([(v,) for v in values + [-v for v in values]], "x double")
+    shares = (0.1, 0.25, 0.5, 0.9)
+    found = quantiles.exact_quantiles(frame, "x", shares)
+    assert found.values == tuple(by_cume_dist(values + [-v for v in values], share) for share in shares)
+
+
+def test_quantiles_over_many_partitions(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         rng = random.Random(7)
@@ -145,6 +199,11 @@ def test_sums_of_special_amounts(spark):
         assert math.isnan(row.a) and math.isnan(row.b)
 
 
+def test_many_large_amounts_do_not_overflow(spark):
+    frame = spark.range(20_000_000).select(F.when(F.col("id") % 2 == 0, 9.5e11).otherwise(1.07e9).alias("total_amount"))
+    assert frame.agg(kpis.MEASURES["revenue"]().alias("a")).first().a == pytest.approx(1e7 * (9.5e11 + 1.07e9))
+
+
 def test_approx_quantiles_keep_their_rank_bound(spark):
     rng = random.Random(3)
     values = sorted(rng.expovariate(1) for _ in range(5000))
@@ -270,6 +329,10 @@ def test_stored_fences_reach_the_scan_of_the_last_pass(spark, tables):
     assert "CollectMetrics" in plan
     upper = plan[: plan.index("CollectMetrics")]
     assert "trip_duration_minutes" in upper and "pickup_datetime" not in upper.split("Filter")[1].split("+-")[0]
+    # Each datetime is cast once; a filter below the barrier would cast both again for each comparison.
+    for column in ("pickup_datetime", "dropoff_datetime"):
+        parsed = [line for line in plan.splitlines() if re.search(rf"cast\({column}#\d+ as timestamp\)", line)]
+        assert len(parsed) == 1 and "Filter" not in parsed[0]
 
 
 def test_approximate_transform_lies_between_wider_and_narrower_fences(spark, tables, tmp_path):

@@ -7,7 +7,6 @@ prefix it needs. Spark rounds the decimal text of a double half up; ``rnd`` does
 from __future__ import annotations
 
 from tripmill.checks.queries import MONTH, PREVIEW_COLUMNS
-from tripmill.schemas import FINAL_SCHEMA  # for the comments, which are this repository's own
 
 # Written out, so that a wrong order in the code under test cannot pass on both sides.
 RAW_NAMES = (
@@ -287,7 +286,32 @@ FENCE_REPORT = "\nUNION ALL\n".join(
 )
 
 # What the catalog must show for the final table: its columns, and how many rows fill them.
-_COMMENTS = {row.name: row.metadata["comment"] for row in FINAL_SCHEMA}
+_COMMENTS = {
+    "trip_id": "trip key",
+    "pickup_datetime": "start of the trip",
+    "dropoff_datetime": "end of the trip",
+    "pickup_borough": "borough where the trip starts",
+    "dropoff_borough": "borough where the trip ends",
+    "passenger_count": "passengers on board",
+    "trip_distance_miles": "miles driven",
+    "trip_duration_minutes": "minutes between pickup and dropoff",
+    "avg_speed_mph": "miles per hour over the whole trip",
+    "fare_amount": "fare without tip and surcharges",
+    "tip_amount": "tip",
+    "tip_percentage": "tip as percent of the fare",
+    "total_amount": "everything the rider paid",
+    "fare_per_mile": "fare divided by miles",
+    "payment_type": "how the trip was paid",
+    "pickup_hour": "hour of the pickup, 0 to 23",
+    "time_of_day": "Morning, Afternoon, Evening or Night",
+    "day_of_week": "English name of the pickup day",
+    "is_weekend": "pickup on Saturday or Sunday",
+    "borough_avg_fare": "mean fare of the pickup borough",
+    "borough_avg_distance": "mean miles of the pickup borough",
+    "fare_vs_borough_avg": "fare minus the mean fare of the borough",
+    "trip_year": "partition: year",
+    "trip_month": "partition: month",
+}
 DESCRIBED = "\nUNION ALL\n".join(
     f"SELECT '{name}' AS col_name, '{kind}' AS data_type, '{_COMMENTS[name]}' AS comment, "
     f"COUNT({name}) AS filled_rows FROM final"

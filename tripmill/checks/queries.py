@@ -153,7 +153,7 @@ def sink_warehouse(t: TripTables) -> DataFrame:
 def observe_counts(t: TripTables) -> DataFrame:
     """What the writes and the load of the shared tables counted."""
     counts = [
-        ("ingested", files.scan_csv(t.spark, t.csv_path).count()),
+        ("ingested", t.rows_ingested),
         ("staged", t.rows_staged),
         ("loaded", t.transformed.rows_loaded),
         ("written", t.transformed.rows_written),

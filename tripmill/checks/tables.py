@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.checks.tripview import SOURCE_TABLES, trip_view
@@ -31,10 +31,20 @@ class TripTables:
         return trip_view(self.spark, self.sf_dir)
 
     @cached_property
+    def _ingested(self) -> tuple[str, int]:
+        path, counted = workspace(self.spark).fresh_path("raw-csv"), Observation()
+        rows = self.raw.observe(counted, F.count(F.lit(1)).alias("rows"))
+        rows.write.option("header", True).csv(path)
+        return path, counted.get["rows"]
+
+    @property
     def csv_path(self) -> str:
-        path = workspace(self.spark).fresh_path("raw-csv")
-        self.raw.write.option("header", True).csv(path)
-        return path
+        return self._ingested[0]
+
+    @property
+    def rows_ingested(self) -> int:
+        """Counted by the write of the raw trips, not by another scan."""
+        return self._ingested[1]
 
     @cached_property
     def _staged(self) -> tuple[str, int]:

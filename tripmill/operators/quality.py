@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tripmill.sources.workspace import Workspace, workspace
+
 CRITICAL_COLUMNS = ("trip_id", "pickup_datetime", "fare_amount", "trip_distance_miles")
 
 
@@ -66,21 +68,17 @@ def raw_counts(trips: DataFrame) -> DataFrame:
     return counted.withColumn("duplicate_ids", F.col("total_records") - ids).drop("distinct_ids")
 
 
-def quality_report(trips: DataFrame) -> DataFrame:
-    """The whole report in one row and one shuffle.
+def quality_report(trips: DataFrame, space: Workspace | None = None) -> DataFrame:
+    """The whole report in one row.
 
-    Grouping by id yields the counts, the number of distinct ids and each id's survivor at once.
-    The survivor is the least row in the order of ``dedupe``.
+    Grouping by id yields the counts and the number of distinct ids. An id whose rows are all valid, or
+    none, needs no survivor to tell whether it is kept; only the rows of ids with both kinds are deduped.
+    ``space`` holds the staged counts; the caller's own can be closed when the report is read.
     """
-    ordered = _survivor_order(trips, "trip_id")
-    per_id = trips.groupBy("trip_id").agg(
-        *_row_counts(), F.min(F.struct(*ordered)).alias("survivor")
-    )
-    kept = (
-        F.col("trip_id").isNotNull()
-        & (F.col("survivor.fare_amount") > 0)
-        & (F.col("survivor.trip_distance_miles") > 0)
-    )
+    space = space or workspace(trips.sparkSession)
+    valid = F.count_if(is_valid())
+    per_id = space.stage(trips.groupBy("trip_id").agg(*_row_counts(), valid.alias("valid")), "id-counts")
+    has_id = F.col("trip_id").isNotNull()
     sums = [
         F.coalesce(F.sum(name), F.lit(0)).cast("long").alias(name)
         for name in (
@@ -90,9 +88,20 @@ def quality_report(trips: DataFrame) -> DataFrame:
             "invalid_distance",
         )
     ]
-    report = per_id.agg(
-        *sums, F.count(F.lit(1)).alias("ids"), F.count_if(kept).alias("clean_records")
+    counted = per_id.agg(
+        *sums,
+        F.count(F.lit(1)).alias("ids"),
+        F.count_if(has_id & (F.col("valid") == F.col("total_records"))).alias("clean_records"),
+    )
+    mixed = space.stage(
+        per_id.where(has_id & (F.col("valid") > 0) & (F.col("valid") < F.col("total_records"))).select("trip_id"),
+        "mixed-ids",
+    )
+    survivors = dedupe(trips.join(mixed, "trip_id", "left_semi")).agg(
+        *(F.lit(0).cast("long").alias(name) for name in counted.columns if name != "clean_records"),
+        F.count_if(is_valid()).alias("clean_records"),
     )
+    report = counted.unionByName(survivors).agg(*(F.sum(name).alias(name) for name in counted.columns))
     return report.select(
         *[column for column in report.columns if column not in ("ids", "clean_records")],
         (F.col("total_records") - F.col("ids")).alias("duplicate_ids"),
