@@ -48,22 +48,52 @@ def test_groups_of_edited_copies(spark, seed):
     assert run(spark.createDataFrame(rows, "doc_id bigint, text string")) == want
 
 
-def test_large_buckets_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr("tripmill.llm.near_dedup.SMALL", 2)
-    monkeypatch.setattr("tripmill.llm.near_dedup.BLOCK", 4)
-    random.seed(11)
-    base = [f"w{n}" for n in range(150)]
+def cloud(n, low, high, seed=11, size=150):
+    """Edits of one text: their similarities lie around the threshold."""
+    random.seed(seed)
     rows = []
-    for i in range(90):  # edits around the threshold: many candidates, some links
-        words = list(base)
-        for _ in range(random.randint(2, 7)):
-            words[random.randrange(150)] = f"x{random.randint(0, 99)}"
+    for i in range(n):
+        words = [f"w{k}" for k in range(size)]
+        for _ in range(random.randint(low, high)):
+            words[random.randrange(size)] = f"x{random.randint(0, 10_000)}"
         rows.append((i, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("shingles", [1 << 21, 600])
+def test_large_buckets_in_cells(spark, monkeypatch, shingles):
+    for name, value in (("SMALL", 2), ("BLOCK", 4), ("BLOCK_SHINGLES", shingles)):
+        monkeypatch.setattr(f"tripmill.llm.near_dedup.{name}", value)
+    rows = cloud(90, 2, 7)
     want = sorted(brute.op3(rows), key=repr)
     assert 5 < len({c for *_, c, _ in want}) < 85
     assert run(spark.createDataFrame(rows, "doc_id bigint, text string")) == want
 
 
+def test_rows_of_a_cloud_grow_with_its_members(spark, monkeypatch):
+    """Most pairs just below the threshold: no component to hide behind."""
+    from tripmill.llm import near_dedup as module
+
+    dealt, cells = [], module._cells
+
+    def counted(*tables):
+        dealt.append(cells(*tables).count())
+        return cells(*tables)
+
+    monkeypatch.setattr(module, "_cells", counted)
+    for n in (250, 500):
+        out = run(spark.createDataFrame(cloud(n, 3, 4), "doc_id bigint, text string"))
+        assert len({c for *_, c, _ in out}) > n / 2
+    assert 500 < dealt[0] < dealt[1] <= 2.4 * dealt[0]
+
+
+def test_recall_of_edited_copies(spark):
+    rows = [(1000 * seed + i, t) for seed in range(7) for i, t in copies(seed, 140)] + [(9000 + i, t) for i, t in cloud(300, 1, 4)]
+    rows = [(i, t.replace("w", f"v{i // 1000}")) for i, t in rows]  # sets of different groups share nothing
+    want = [r for seed in range(10) for r in brute.op3([x for x in rows if x[0] // 1000 == seed])]
+    assert run(spark.createDataFrame(rows, "doc_id bigint, text string")) == sorted(want, key=repr)
+
+
 def test_null_ids_and_repeated_rows(spark):
     rows = [(5, "a b c d"), (5, "a b c d"), (None, "a b c d"), (2, "A B\tC D"), (9, "")]
     out = run(spark.createDataFrame(rows, "doc_id bigint, text string"))
@@ -81,6 +111,7 @@ def test_stars_of_paths_and_hubs(spark):
 def test_posterior_bounds():
     bounds = least_matches(0.85)
     assert bounds == sorted(bounds) and 0 < bounds[0] < 32 * 0.85 and bounds[-1] < 192 * 0.85
+    assert bounds[-1] / 192 < least_matches(0.85, 1024, 1024)[0] / 1024 < 0.85
 
 
 def test_empty(empty_docs):

@@ -9,17 +9,18 @@
    reaches the threshold is below ``MISS``. Survivors are verified on their full sets.
 4. Links are contracted to stars, alternating around large and small neighbours. A bucket whose members
    are one component is done, so a group of copies stays linear in its size. In the others, pairs across
-   components follow: in small buckets by a join, in large ones block against block inside tasks. There the
-   texts are at hand, survivors are measured at once, the likeliest first, and two components that got a
-   link need no other; so a cloud of texts around the threshold gives a task work, but few rows.
+   components follow: in small buckets by a join, in large ones inside tasks, where the members outside the
+   bucket's largest component are held against all. There the texts are at hand, survivors are measured at
+   once, the likeliest first, and two components that got a link need no other; so a cloud of texts around the
+   threshold gives a task work, but no more rows than it has members and stragglers, block by block.
 
 Nothing is collected but counts. Hot classes are reduced before they are shuffled, and joins back to them
 have exchanges on both sides, which adaptive execution splits.
 
 Defined results: texts without words have the empty set and are linked with nothing; texts with fewer
 words than a shingle are one shingle; repeated rows are copies of each other; a row with a null id is
-never linked and has a null component; ids are expected to be unique up to repeated rows; other columns
-are ignored; an empty table gives an empty result.
+never linked and has a null component; an id with several texts is linked by each of them, whose sets the
+greatest text in order stands for when it is verified; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -41,11 +42,13 @@ from tripmill.llm.shared import ship_code, stage
 HASHES, UNBANDED = 192, 1e-6
 #: Signature rows compared at a time, and the chance of a link below which a pair is dropped.
 BATCH, MISS = 32, 1e-7
-#: Buckets up to this size are joined with themselves; larger ones are compared in blocks of so many members.
-SMALL, BLOCK = 16, 256
+#: Buckets up to this size are joined with themselves; larger ones are dealt to cells, with blocks of at most so many
+#: members and shingles. Hash functions for what the signature leaves open there.
+SMALL, BLOCK, BLOCK_SHINGLES, DEEP = 16, 4096, 1 << 21, 1024
 _BLANK = b" \t\n\x0b\x0c\r"
 _TO_SPACE = bytes.maketrans(_BLANK, b" " * len(_BLANK))
 _SEEDS = np.random.default_rng(20).integers(1, 1 << 63, size=(2, HASHES), dtype=np.uint64)
+_DEEP_SEEDS = np.random.default_rng(21).integers(1, 1 << 63, size=(2, DEEP), dtype=np.uint64)
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -78,11 +81,11 @@ def shingle_hashes(text: str, width: int) -> np.ndarray:
     return np.unique(mixed)
 
 
-def signature(shingles: np.ndarray) -> bytes:
+def signature(shingles: np.ndarray, seeds: np.ndarray = _SEEDS) -> bytes:
     """Least 16-bit values of the hash functions; long sets go block by block."""
-    least = np.full(HASHES, np.iinfo(np.uint64).max, dtype=np.uint64)
+    least = np.full(seeds.shape[1], np.iinfo(np.uint64).max, dtype=np.uint64)
     for at in range(0, len(shingles), 512):
-        block = shingles[at : at + 512, None] * (_SEEDS[0] | np.uint64(1)) + _SEEDS[1]
+        block = shingles[at : at + 512, None] * (seeds[0] | np.uint64(1)) + seeds[1]
         least = np.minimum(least, block.min(axis=0))
     return ((least * _MIX[1]) >> np.uint64(48)).astype("<u2").tobytes()
 
@@ -92,14 +95,15 @@ def band_rows(threshold: float) -> int:
     return max(r for r in range(1, 17) if (1 - threshold**r) ** (HASHES // r) <= UNBANDED)
 
 
-def least_matches(threshold: float) -> list[int]:
+def least_matches(threshold: float, hashes: int = HASHES, batch: int = BATCH) -> list[int]:
     """By batch: the fewest equal rows that keep the posterior chance of a link at ``MISS`` or more."""
     out = []
-    for n in range(BATCH, HASHES + 1, BATCH):
+    for n in range(batch, hashes + 1, batch):
         tail, m = 0.0, -1  # under a uniform prior: P(similarity >= t | m of n) = P(Bin(n + 1, t) <= m)
         while tail < MISS:
             m += 1
-            tail += math.comb(n + 1, m) * threshold**m * (1 - threshold) ** (n + 1 - m)
+            log = math.lgamma(n + 2) - math.lgamma(m + 1) - math.lgamma(n + 2 - m)
+            tail += math.exp(log + m * math.log(threshold) + (n + 1 - m) * math.log1p(-threshold))
         out.append(m)
     return out
 
@@ -166,25 +170,57 @@ def _alive(one: np.ndarray, many: np.ndarray, wanted: list[int]) -> np.ndarray:
     return alive
 
 
-def _block_pairs(members: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links across components in large buckets: ``key, band, rep, label, size`` → ``a, b``.
+def _cells(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Large buckets dealt to cells: ``key, band, rep, label, size`` → a row for each member of a cell.
 
-    A bucket's members are dealt to blocks, and each pair of blocks is a group of bounded size. A pair is
-    looked at by the first band it shares only. Of the links between two components a group reports one.
+    A bucket's largest component needs no comparison inside. Its other members, the stragglers, ask (``asks``) all
+    members of the bucket: a cell holds a block of stragglers and a block of members, both of bounded
+    size, so a bucket of up to ``BLOCK`` members makes a row for each member and one for each straggler.
+    """
+    weighed = members.join(classes.select("rep", "n_shingles"), "rep")
+    parts = weighed.groupBy("key", "label").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("weight"))
+    main = F.max(F.struct("n", "weight", "label"))
+    blocks = lambda n, w: F.ceil(F.greatest(n / BLOCK, w / BLOCK_SHINGLES)).cast("bigint")
+    buckets = stage(
+        parts.groupBy("key").agg(main.alias("main"), F.sum("n").alias("n"), F.sum("weight").alias("weight")).select(
+            "key",
+            F.col("main.label").alias("main"),
+            blocks(F.col("n"), F.col("weight")).alias("blocks"),
+            blocks(F.col("n") - F.col("main.n"), F.col("weight") - F.col("main.weight")).alias("asking"),
+        ),
+        "blocks",
+    )
+    marked = weighed.join(buckets, "key").withColumn("straggler", F.col("label") != F.col("main"))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    kept = ["key", "band", "rep", "label", "n_shingles", "straggler"]
+    held = marked.withColumn("high", F.pmod(F.xxhash64("rep"), "blocks")).select(*kept, "high", each("asking").alias("low"))
+    asks = marked.filter("straggler").withColumn("low", F.pmod(F.xxhash64(F.lit("asks"), "rep"), "asking"))
+    asks = asks.select(*kept, each("blocks").alias("high"), "low")
+    return (
+        held.withColumn("asks", F.lit(False)).unionByName(asks.withColumn("asks", F.lit(True)))
+        .join(classes.select("rep", "signature"), "rep")
+        .join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep")
+    )
+
+
+def _straggler_links(cells: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links across components in large buckets, found inside the cells: ``a, b``.
+
+    A pair is looked at by the first band it shares only. Pairs that the signature leaves open are compared by
+    ``DEEP`` hash functions more, then on their full sets, the likeliest first. Of the links between two
+    components a cell reports one.
     """
     threshold = percent / 100
-    wanted, rows = least_matches(threshold), band_rows(threshold)
+    wanted, rows, least = least_matches(threshold), band_rows(threshold), least_matches(threshold, DEEP, DEEP)[0]
     used = HASHES // rows * rows
-    id_type = members.schema["rep"].dataType.simpleString()
+    id_type = cells.schema["rep"].dataType.simpleString()
 
     def compare(table: pa.Table) -> pa.Table:
-        rep, label = table["rep"].to_numpy(), table["label"].to_numpy()
-        block, sizes = table["block"].to_numpy(), table["n_shingles"].to_numpy()
+        rep, label, sizes = (table[name].to_numpy() for name in ("rep", "label", "n_shingles"))
+        asks, straggler = (table[name].to_numpy(zero_copy_only=False).astype(bool) for name in ("asks", "straggler"))
         signatures = np.frombuffer(b"".join(table["signature"].to_pylist()), dtype="<u2").reshape(len(rep), -1)
-        band, low, high = table["band"][0].as_py(), table["low"][0].as_py(), table["high"][0].as_py()
-        left = np.flatnonzero(block == low)
-        right = left if low == high else np.flatnonzero(block == high)
-        found, parent, sets = [[], []], {}, {}
+        band, right = table["band"][0].as_py(), np.flatnonzero(~asks)
+        found, parent, sets, deep = [[], []], {}, {}, {}
 
         def root(x):
             while x in parent:
@@ -196,8 +232,13 @@ def _block_pairs(members: DataFrame, classes: DataFrame, texts: DataFrame, width
                 sets[row] = shingle_hashes(table["text"][row].as_py(), width)
             return sets[row]
 
-        for x in left:
-            others = right[(label[right] != label[x]) & ((rep[right] > rep[x]) | (low != high))]
+        def more(row: int) -> np.ndarray:
+            if row not in deep:
+                deep[row] = np.frombuffer(signature(shingles(row), _DEEP_SEEDS), dtype="<u2")
+            return deep[row]
+
+        for x in np.flatnonzero(asks):
+            others = right[(label[right] != label[x]) & (~straggler[right] | (rep[right] > rep[x]))]
             others = others[np.minimum(sizes[others], sizes[x]) >= threshold * np.maximum(sizes[others], sizes[x])]
             others = others[_alive(signatures[x], signatures[others], wanted)]
             equal = signatures[others, :used] == signatures[x, :used]
@@ -205,7 +246,7 @@ def _block_pairs(members: DataFrame, classes: DataFrame, texts: DataFrame, width
             here = bands.argmax(axis=1) == band
             for y in others[here][np.argsort(-equal[here].sum(axis=1), kind="stable")]:
                 one, two = root(label[x]), root(label[y])
-                if one == two:
+                if one == two or np.count_nonzero(more(x) == more(y)) < least:
                     continue
                 common = len(np.intersect1d(shingles(x), shingles(y), assume_unique=True))
                 if 100 * common >= percent * (sizes[x] + sizes[y] - common):
@@ -214,14 +255,6 @@ def _block_pairs(members: DataFrame, classes: DataFrame, texts: DataFrame, width
                     found[1].append(max(rep[x], rep[y]))
         return pa.table([pa.array(v, table.schema.field("rep").type) for v in found], ["a", "b"])
 
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    cells = (
-        members.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
-        .select("*", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-        .withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-        .join(classes.select("rep", "n_shingles", "signature"), "rep")
-        .join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep")
-    )
     return cells.groupBy("key", "low", "high").applyInArrow(compare, f"a {id_type}, b {id_type}").distinct()
 
 
@@ -333,7 +366,7 @@ def near_dedup(
         ranked.groupBy("key").agg(F.max_by("rep", F.struct("degree", F.hash("rep"), "rep")).alias("hub")), "hubs"
     )
     involved = members.select(F.col("rep").alias("doc_id")).distinct()
-    texts = stage(read.join(involved, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    texts = stage(read.join(involved, "doc_id", "left_semi").groupBy("doc_id").agg(F.max("text").alias("text")), "texts")
 
     def links(*probable: DataFrame) -> DataFrame:
         pairs = functools.reduce(DataFrame.unionByName, probable)
@@ -354,7 +387,7 @@ def near_dedup(
         one.join(two, "key").filter("a < b and la <> lb").select("a", "b").distinct()
         .join(first, ["a", "b"], "left_anti")
     )
-    large = _block_pairs(left.filter(F.col("size") > SMALL), classes, texts, width, percent)
+    large = _straggler_links(_cells(left.filter(F.col("size") > SMALL), classes, texts), width, percent)
     more = links(_probable(rest, classes, threshold), large)
     if not more.isEmpty():
         roots = stars(found.unionByName(more))
