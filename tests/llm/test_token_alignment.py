@@ -13,11 +13,12 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from tests.llm.conftest import rows_of
+from tripmill.llm.pieces import PLAIN_LIMIT
 from tripmill.llm.token_alignment import (
     align_tokens,
     common_ends,
     gallop,
-    group_text,
+    group_texts,
     possible_pairs,
     vocabularies,
     weigh_links,
@@ -110,7 +111,7 @@ def test_edges(edges, edge_docs, brute):
 
 def test_special_strings_and_odd_characters(spark, brute):
     texts = ["<|endoftext|>", "a<|endoftext|> b", "<s>x</s> <unk>", "▁low line", "a\x00b", "ﬁ Ａ　z", "tab\tnew\nline  two   three",
-             "👩‍👩‍👧 emoji", "퟿", "<0x41>", " lead", "trail ", "é é", None, "", "e" * 5000]
+             "👩‍👩‍👧 emoji", "퟿", "<0x41>", " lead", "trail ", "é é", None, "", "e" * 5000, "<|" * 300, "\t \n" * 200, "it's 'RE 's 12 ½", "a\u02ffb\u0300c"]
     docs = list(enumerate(texts)) + [(None, "null id"), (3, "repeated"), (3, "repeated")]
     assert run(spark.createDataFrame(docs, "doc_id bigint, text string")) == sorted(brute(docs), key=repr)
 
@@ -146,17 +147,28 @@ def test_gallop_finds_what_bisection_finds():
 
 
 def test_groups_of_ranges():
-    assert group_text(["1", "2", "3"], ["4", "5", "6"], [1, 2], [0, 2]) == "1,2|4;3|5,6"
-    assert group_text([], [], [], []) == ""
+    ints = lambda *x: np.array(x, dtype=np.int64)
+    found = group_texts(ints(1, 20, 300, 7), ints(4, 50, 6, 48000), ints(1, 2, 3), ints(0, 2, 3), ints(0, 2, 0, 1, 0))
+    assert found.to_pylist() == ["", "1,20|4;300|50,6", "", "7|48000", ""]
+    assert group_texts(ints(), ints(), ints(), ints(), ints(0, 0)).to_pylist() == ["", ""]
 
 
 def test_broadcast_bound():
-    a, b, _ = vocabularies(*PATHS)
+    a, b = vocabularies(*PATHS)
     bound = possible_pairs(a.token_bytes, b.token_bytes)
     assert 50_000 < bound < 1_000_000
     assert possible_pairs([b"ab", b"b"], [b"b", b"cb", b"x"]) == 3
 
 
+def test_plain_merges_are_the_librarys():
+    a, _ = vocabularies(*PATHS)
+    assert a.plain is not None
+    plain = [chr(c) for c in range(PLAIN_LIMIT)] + ["\u2010", "\u2027"]
+    rng = random.Random(8)
+    for text in [f"a{c}b {c}{c} {c}" for c in plain] + ["".join(rng.choices(plain, k=60)) for _ in range(2000)]:
+        assert a.encode(text) == a.whole.encode(text, add_special_tokens=False).ids
+
+
 def test_other_operators_keep_their_special_tokens(spark):
     from tripmill.llm.pieces import load
 

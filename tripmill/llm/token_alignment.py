@@ -21,31 +21,42 @@ names; an empty table gives an empty result. Texts are encoded whole. Tokens hav
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
+from tokenizers import Tokenizer
 
-from tripmill.llm.pieces import _ALPHABET, PieceTokenizer, WorkerCache
+from tripmill.llm.pieces import _ALPHABET, PLAIN_LIMIT
 from tripmill.llm.shared import ship_code
 
-#: Driving ends that gallop side by side; tokens after which a task hands its rows on.
-LANES, FLUSH = 1024, 1_000_000
+#: Driving ends that gallop side by side; tokens, and links, that a task handles at a time.
+LANES, FLUSH = 8192, 500_000
+#: The public piece pattern of byte-level vocabularies (fixed value), and what it is trusted with.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_NOT_PLAIN = re.compile(rf"[^\x00-{chr(PLAIN_LIMIT - 1)}‐-‧]")
 
 
 class ByteVocabulary:
-    """A byte-level BPE file; strings of special tokens in a text are plain text."""
+    """A byte-level BPE file; strings of special tokens in a text are plain text.
+
+    Where ids follow the order of merges, tiktoken merges plain texts; the tokenizer's own library, which is
+    slower, encodes texts with characters on which Unicode tables could disagree.
+    """
 
     def __init__(self, path: str):
-        self.pieces = PieceTokenizer(path)  # its own: the setting below must not reach other operators
-        self.whole = self.pieces.tokenizer
+        self.whole = Tokenizer.from_file(path)
+        self.whole.no_truncation()
+        self.whole.no_padding()
         self.whole.encode_special_tokens = True
-        self.cache = WorkerCache({}, self.pieces.piece_ids)
         back = {char: byte for byte, char in _ALPHABET.items()}
         tokens = {number: token for token, number in self.whole.get_vocab(with_added_tokens=True).items()}
         self.token_bytes = [
@@ -53,12 +64,24 @@ class ByteVocabulary:
             for token in (tokens.get(number, "") for number in range(max(tokens) + 1))
         ]
         self.lengths = np.array([len(token) for token in self.token_bytes], dtype=np.int64)
+        self.plain = self._ranked(json.loads(self.whole.to_str()))
+
+    def _ranked(self, file: dict) -> tiktoken.Encoding | None:
+        vocabulary = file["model"]["vocab"]
+        merges = [x if isinstance(x, list) else x.split(" ") for x in file["model"]["merges"]]
+        kind = file["pre_tokenizer"] or {}
+        if (
+            file["normalizer"] is not None or kind.get("type") != "ByteLevel" or kind.get("add_prefix_space")
+            or [vocabulary[one + two] for one, two in merges] != list(range(256, 256 + len(merges)))
+        ):
+            return None
+        ranks = {self.token_bytes[number]: number for number in vocabulary.values() if number < 256 + len(merges)}
+        return tiktoken.Encoding("plain", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> list[int]:
-        found = self.pieces.pieces(text)
-        if found is None:
+        if self.plain is None or _NOT_PLAIN.search(text):
             return self.whole.encode(text, add_special_tokens=False).ids
-        return [number for piece in found for number in self.cache[piece]]
+        return self.plain.encode_ordinary(text)
 
 
 class PieceVocabulary:
@@ -79,10 +102,9 @@ class PieceVocabulary:
 
 
 @lru_cache(maxsize=2)
-def vocabularies(path_a: str, path_b: str) -> tuple[ByteVocabulary, PieceVocabulary, list[str]]:
-    """Both vocabularies and the decimal names of their ids, once in each worker process."""
-    a, b = ByteVocabulary(path_a), PieceVocabulary(path_b)
-    return a, b, [str(n) for n in range(max(len(a.token_bytes), len(b.token_bytes)))]
+def vocabularies(path_a: str, path_b: str) -> tuple[ByteVocabulary, PieceVocabulary]:
+    """Both vocabularies, once in each worker process."""
+    return ByteVocabulary(path_a), PieceVocabulary(path_b)
 
 
 def possible_pairs(a: list[bytes], b: list[bytes]) -> int:
@@ -135,16 +157,47 @@ def common_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (shared, at[shared]) if short is a else (at[shared], shared)
 
 
-def group_text(a: list[str], b: list[str], a_last: list[int], b_last: list[int]) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the ranges between consecutive common indices."""
-    out, i, j = [], 0, 0
-    for x, y in zip(a_last, b_last):
-        if x == i and y == j:
-            out.append(f"{a[i]}|{b[j]}")
-        else:
-            out.append(f"{','.join(a[i : x + 1])}|{','.join(b[j : y + 1])}")
-        i, j = x + 1, y + 1
-    return ";".join(out)
+def _decimals(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Decimal digits of each number, from the left, and how many there are."""
+    sizes = np.ones(len(numbers), dtype=np.int64)
+    for power in range(1, 10):
+        sizes += numbers >= 10**power
+    width = int(sizes.max(initial=1))
+    places = np.maximum(sizes[:, None] - 1 - np.arange(width), 0)
+    return (numbers[:, None] // 10**places % 10 + 48).astype(np.uint8), sizes
+
+
+def group_texts(
+    a: np.ndarray, b: np.ndarray, a_last: np.ndarray, b_last: np.ndarray, groups: np.ndarray
+) -> pa.Array:
+    """``a1,a2|b1;a3|b2,b3`` for each document.
+
+    ``a_last`` and ``b_last`` hold the common indices, ``groups`` how many of them each document has.
+    """
+    a_sizes, b_sizes = np.diff(a_last, prepend=-1), np.diff(b_last, prepend=-1)
+    place = np.empty(len(a) + len(b), dtype=np.int64)  # a group's A tokens come before its B tokens
+    place[np.arange(len(a)) + np.repeat(b_last + 1 - b_sizes, a_sizes)] = np.arange(len(a))
+    place[np.arange(len(b)) + np.repeat(a_last + 1, b_sizes)] = len(a) + np.arange(len(b))
+    marks = np.full(len(place), ord(","), dtype=np.uint8)
+    marks[a_last] = ord("|")
+    marks[len(a) + b_last] = ord(";")
+    ends = np.cumsum(groups)
+    last = len(a) + b_last[ends[groups > 0] - 1]
+    digits, sizes = _decimals(np.concatenate([a, b])[place])
+    marks, closed = marks[place], np.ones(len(place), dtype=np.int64)
+    closed[(a_last + b_last + 1)[ends[groups > 0] - 1]] = 0  # no mark behind a document's last group
+    assert (place[closed == 0] == last).all()
+    starts = np.concatenate([[0], np.cumsum(sizes + closed)])
+    out = np.empty(starts[-1], dtype=np.uint8)
+    for digit in range(digits.shape[1]):
+        held = np.flatnonzero(sizes > digit)
+        out[starts[held] + digit] = digits[held, digit]
+    held = np.flatnonzero(closed)
+    out[starts[held] + sizes[held]] = marks[held]
+    tokens = np.concatenate([[0], (a_last + b_last + 2)])[np.concatenate([[0], ends])]
+    return pa.StringArray.from_buffers(
+        len(groups), pa.py_buffer(starts[tokens].astype(np.int32)), pa.py_buffer(out)
+    )
 
 
 def align_tokens(
@@ -154,56 +207,58 @@ def align_tokens(
     ship_code(docs.sparkSession)
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b, names = vocabularies(path_a, path_b)
-        schema = pa.schema(
-            [("doc_id", id_arrow), ("n_a", pa.int64()), ("n_b", pa.int64()), ("groups", pa.string()),
-             ("links", pa.list_(pa.int64()))]
-        )
-
-        def rows(ids, counts, groups, links, sizes):
-            offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int32)
-            flat = np.concatenate([np.empty(0, dtype=np.int64), *links])
-            pairs = np.array(counts, dtype=np.int64).reshape(-1, 2)
+        a, b = vocabularies(path_a, path_b)
+
+        def rows(ids: pa.Array, a_lists: list[list[int]], b_lists: list[list[int]]) -> pa.RecordBatch:
+            # The documents' tokens one behind the other: as both spell the same bytes, ends of different
+            # documents never meet, and each document's last ends do.
+            n_a, n_b = (np.array(list(map(len, lists)), dtype=np.int64) for lists in (a_lists, b_lists))
+            a_ids, b_ids = (
+                np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=int(n.sum()))
+                for lists, n in ((a_lists, n_a), (b_lists, n_b))
+            )
+            a_last, b_last = common_ends(np.cumsum(a.lengths[a_ids]), np.cumsum(b.lengths[b_ids]))
+            upto = np.searchsorted(a_last, np.cumsum(n_a))
+            groups = np.diff(upto, prepend=0)
+            links = a_ids[a_last] * len(b.token_bytes) + b_ids[b_last]
+            offsets = np.concatenate([[0], upto]).astype(np.int32)
             return pa.RecordBatch.from_arrays(
-                [ids.cast(id_arrow), pa.array(np.ascontiguousarray(pairs[:, 0])),
-                 pa.array(np.ascontiguousarray(pairs[:, 1])), pa.array(groups, pa.string()),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                schema=schema,
+                [ids, pa.array(n_a), pa.array(n_b), group_texts(a_ids, b_ids, a_last, b_last, groups),
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(links))],
+                ["doc_id", "n_a", "n_b", "groups", "links"],
             )
 
         for batch in batches:
-            counts, groups, links, sizes, since, tokens = [], [], [], [], 0, 0
+            a_lists, b_lists, since, tokens = [], [], 0, 0
             for row, value in enumerate(batch.column(1)):
-                text_of = value.as_py() or ""
-                a_ids, b_ids = (a.encode(" " + text_of), b.encode(text_of)) if text_of else ([], [])
-                spelled = (" " + text_of).encode() if text_of else b""
-                if (
-                    b"".join(map(a.token_bytes.__getitem__, a_ids)) != spelled
-                    or b"".join(map(b.token_bytes.__getitem__, b_ids)) != spelled
-                ):
-                    a_ids, b_ids = [], []
-                a_array, b_array = np.array(a_ids, dtype=np.int64), np.array(b_ids, dtype=np.int64)
-                a_last, b_last = common_ends(np.cumsum(a.lengths[a_array]), np.cumsum(b.lengths[b_array]))
-                name = names.__getitem__
-                groups.append(group_text(list(map(name, a_ids)), list(map(name, b_ids)), a_last.tolist(), b_last.tolist()))
-                links.append(a_array[a_last] * len(b.token_bytes) + b_array[b_last])
-                sizes.append(len(a_last))
-                counts.append((len(a_ids), len(b_ids)))
+                a_ids, b_ids = _spelled(a, b, value.as_py() or "")
+                a_lists.append(a_ids)
+                b_lists.append(b_ids)
                 tokens += len(a_ids) + len(b_ids)
                 if tokens >= FLUSH:
-                    yield rows(batch.column(0).slice(since, row + 1 - since), counts, groups, links, sizes)
-                    counts, groups, links, sizes, since, tokens = [], [], [], [], row + 1, 0
+                    yield rows(batch.column(0).slice(since, row + 1 - since), a_lists, b_lists)
+                    a_lists, b_lists, since, tokens = [], [], row + 1, 0
             if since < batch.num_rows:
-                yield rows(batch.column(0).slice(since), counts, groups, links, sizes)
+                yield rows(batch.column(0).slice(since), a_lists, b_lists)
 
     read = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
-    id_arrow = to_arrow_type(read.schema["doc_id"].dataType)
     id_type = read.schema["doc_id"].dataType.simpleString()
     return read.mapInArrow(
         align, f"doc_id {id_type}, n_a bigint, n_b bigint, groups string, links array<bigint>"
     )
 
 
+def _spelled(a: ByteVocabulary, b: PieceVocabulary, text: str) -> tuple[list[int], list[int]]:
+    """The ids of both; none where the tokens do not spell the space and the text."""
+    if not text:
+        return [], []
+    a_ids, b_ids, spelled = a.encode(" " + text), b.encode(text), (" " + text).encode()
+    for vocabulary, ids in ((b, b_ids), (a, a_ids)):
+        if b"".join(map(vocabulary.token_bytes.__getitem__, ids)) != spelled:
+            return [], []
+    return a_ids, b_ids
+
+
 def weigh_links(aligned: DataFrame, size_b: int) -> DataFrame:
     """Replaces ``links`` of a stored table by ``n_links, n_best, count_sum``.
 
@@ -223,19 +278,21 @@ def weigh_links(aligned: DataFrame, size_b: int) -> DataFrame:
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, n, best = known.value
-        for batch in batches:
-            links = batch.column(len(kept))
-            sizes = links.value_lengths().to_numpy(zero_copy_only=False)
-            at = np.searchsorted(pairs, links.flatten().to_numpy(zero_copy_only=False))
-            ends = np.cumsum(sizes)
-            sums = [
-                np.concatenate([[0], np.cumsum(values[at], dtype=np.int64)]) for values in (best, n)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in range(len(kept))), pa.array(sizes.astype(np.int64)),
-                 *(pa.array(total[ends] - total[ends - sizes]) for total in sums)],
-                [*kept, "n_links", "n_best", "count_sum"],
-            )
+        for whole in batches:
+            upto = np.cumsum(whole.column(len(kept)).value_lengths().to_numpy(zero_copy_only=False))
+            cuts = np.unique(np.concatenate([np.flatnonzero(np.diff(upto // FLUSH, append=-1)) + 1, [whole.num_rows]]))
+            for since, end in zip([0, *cuts], cuts):
+                batch = whole.slice(since, end - since)
+                links = batch.column(len(kept))
+                sizes = links.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+                at = np.searchsorted(pairs, links.flatten().to_numpy(zero_copy_only=False))
+                ends = np.cumsum(sizes)
+                sums = [np.concatenate([[0], np.cumsum(values[at], dtype=np.int64)]) for values in (best, n)]
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(k) for k in range(len(kept))), pa.array(sizes),
+                     *(pa.array(total[ends] - total[ends - sizes]) for total in sums)],
+                    [*kept, "n_links", "n_best", "count_sum"],
+                )
 
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in aligned.schema if f.name != "links")
     return aligned.select(*kept, "links").mapInArrow(
