@@ -32,7 +32,7 @@ def op1(docs, min_chars=20, min_docs=3):
     for i, lines in split:
         gone = [
             len(key(x)) >= min_chars
-            and len(holders[key(x)]) >= min_docs
+            and len(set(holders[key(x)])) >= min_docs
             and i != max((h for h in holders[key(x)] if h is not None), default=None)
             for x in lines
         ]

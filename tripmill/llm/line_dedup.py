@@ -7,9 +7,9 @@ the documents by a join, whose hot keys adaptive execution splits, and the texts
 
 Shuffles: one small row a line for the counts, one for the join, and each text once to meet its positions.
 
-Defined results: a null or empty text is one empty line; each row is a document, so repeated rows count
-as several documents, and all rows that carry the keeper's id keep the line; a null id is smaller than
-every other id; columns besides id and text ride along in ``rest`` and may have any name; an empty table
+Defined results: a null or empty text is one empty line; rows with one id are one document when
+documents are counted, and all rows that carry the keeper's id keep the line; rows with a null id count as one
+document, whose id is smaller than every other id; columns besides id and text ride along in ``rest`` and may have any name; an empty table
 gives an empty result. Lines shorter than ``min_chars`` code points always stay.
 """
 
@@ -84,7 +84,10 @@ def line_dedup(
     # Staged, so that the join below has an exchange of its own on both sides and hot lines can be split.
     repeated = stage(
         lines.groupBy("h1", "h2")
-        .agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper"))
+        .agg(
+            (F.count_distinct("doc_id") + F.max(F.col("doc_id").isNull().cast("bigint"))).alias("n_docs"),
+            F.max("doc_id").alias("keeper"),
+        )
         .filter(F.col("n_docs") >= min_docs)
         .select("h1", "h2", "keeper"),
         "repeated",
