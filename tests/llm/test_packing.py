@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from bisect import bisect_left, insort
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -9,7 +10,8 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tripmill.llm.packing import bin_completion, pack
+from tripmill.llm.packing import _plan_rows, best_fit, bin_completion, pack, tightest
+from tripmill.llm.pieces import load
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -94,3 +96,92 @@ def test_bin_completion_on_hot_and_tiny_sizes():
     assert sum(t for _, t in bin_completion({1: 10**9}, 2048)) == -(-(10**9) // 2048)
     assert sum(t for _, t in bin_completion({2048: 10**6, 1024: 3, 1: 1024}, 2048)) == 10**6 + 2
     assert bin_completion({}, 2048) == []
+
+
+def plain_best_fit(items, capacity):
+    rooms = []
+    for size in sorted(items, reverse=True):
+        at = bisect_left(rooms, size)
+        room = rooms.pop(at) if at < len(rooms) else capacity
+        insort(rooms, room - size)
+    return len(rooms)
+
+
+def split_bins(rng, bins, parts, capacity, least):
+    """Sequences cut at random into full parts: the optimum is known."""
+    out = []
+    for _ in range(bins):
+        while True:
+            cuts = sorted(rng.sample(range(1, capacity), parts - 1))
+            sizes = [b - a for a, b in zip([0, *cuts], [*cuts, capacity])]
+            if min(sizes) >= least:
+                break
+        out += sizes
+    return out
+
+
+HARD = {
+    "between 600 and 1100": (lambda r: [r.randint(600, 1100) for _ in range(20_000)], None),
+    "triplets": (lambda r: split_bins(r, 400, 3, 2048, 400), 415),
+    "quadruples": (lambda r: split_bins(r, 500, 4, 2048, 200), 505),
+    "any size": (lambda r: [r.randint(1, 2048) for _ in range(10_000)], None),
+}
+
+
+@pytest.mark.parametrize("kind", HARD)
+def test_never_worse_than_best_fit_decreasing(kind):
+    make, most = HARD[kind]
+    items = make(random.Random(kind))
+    plan = bin_completion(Counter(items), 2048)
+    packed = Counter()
+    for chosen, times in plan:
+        assert sum(size * copies for size, copies in chosen.items()) <= 2048
+        for size, copies in chosen.items():
+            packed[size] += copies * times
+    used = sum(times for _, times in plan)
+    assert packed == Counter(items) and used <= plain_best_fit(items, 2048)
+    assert most is None or used <= most
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_best_fit_by_counts_is_best_fit(seed):
+    rng = random.Random(seed)
+    items = [rng.choice([3, 7, 11, 20, 33, 40, 51, 64, 90]) for _ in range(rng.randint(1, 300))]
+    plan = best_fit(Counter(items), 100)
+    packed = Counter()
+    for chosen, times in plan:
+        for size, copies in chosen.items():
+            packed[size] += copies * times
+    assert packed == Counter(items) and sum(t for _, t in plan) == plain_best_fit(items, 100)
+
+
+def test_tightest_filling_wastes_least():
+    rng = random.Random(2)
+    for _ in range(200):
+        left = {rng.randint(2, 30): rng.randint(1, 3) for _ in range(4)}
+        room = rng.randint(1, 60)
+        sums = {0}
+        for size, copies in left.items():
+            sums = {s + k * size for s in sums for k in range(copies + 1) if s + k * size <= room}
+        chosen = tightest(room, left)
+        assert sum(s * k for s, k in chosen.items()) == max(sums) and all(k <= left[s] for s, k in chosen.items())
+
+
+def test_plan_rows_of_many_tiny_pieces():
+    plan = bin_completion({1: 10**8, 700: 3000, 900: 2000, 1300: 500}, 2048)
+    spans, rows = _plan_rows(plan)
+    assert len(rows) <= 2 * sum(len(chosen) for chosen, _ in plan) + len(spans)
+    per_chunk = Counter((length, chunk) for length, chunk, *_ in rows)
+    assert max(per_chunk.values()) <= len(plan)
+
+
+def test_every_plain_character(spark):
+    library = Tokenizer.from_file(WORD_BPE)
+    for code in range(0x300):
+        for text in (f"a{chr(code)}b", f"{chr(code)} {chr(code)}{chr(code)}"):
+            pieces = load(WORD_BPE).pieces(text)
+            if pieces is not None:
+                ids = [i for piece in pieces for i in load(WORD_BPE).piece_ids(piece)]
+                assert ids == library.encode(text, add_special_tokens=False).ids, hex(code)
+    rows = [(n, f"a{chr(c)}b") for n, c in enumerate((0x23A, 0x23E, 0x130))]
+    check(rows, pack(spark.createDataFrame(rows, "doc_id bigint, text string"), WORD_BPE).collect(), 2048)

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import struct
 import zlib
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -77,6 +77,67 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, closing_id: int = 0)
     return docs.mapInArrow(cut, f"doc_id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint")
 
 
+def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Best-fit decreasing over counts: equal sequences are filled together, so the work is by size."""
+    open_bins: dict[int, list[tuple[dict[int, int], int]]] = {}  # room -> fillings and their uses
+    rooms: list[int] = []
+
+    def put(filling: dict[int, int], times: int) -> None:
+        room = capacity - sum(size * copies for size, copies in filling.items())
+        if room not in open_bins:
+            open_bins[room] = []
+            insort(rooms, room)
+        open_bins[room].append((filling, times))
+
+    for size in sorted(counts, reverse=True):
+        left = counts[size]
+        while left:
+            at = bisect_left(rooms, size)
+            if at == len(rooms):
+                each = capacity // size
+                if left // each:
+                    put({size: each}, left // each)
+                if left % each:
+                    put({size: left % each}, 1)
+                break
+            room = rooms[at]
+            filling, times = open_bins[room].pop()
+            if not open_bins[room]:
+                del open_bins[room], rooms[at]
+            # The tightest sequences stay the tightest until they are full.
+            each = min(room // size, left)
+            used = min(times, left // each)
+            if used < times:
+                put(filling, times - used)
+            put(filling | {size: filling.get(size, 0) + each}, used)
+            left -= each * used
+    plan = [entry for entries in open_bins.values() for entry in entries]
+    return sorted(plan, key=lambda entry: sorted(entry[0], reverse=True), reverse=True)
+
+
+def tightest(room: int, left: dict[int, int]) -> dict[int, int]:
+    """A filling of ``room`` with the least waste there is; larger pieces first. Sums are sets of bits."""
+    reach, sizes = [1], [size for size in sorted(left) if size <= room]
+    mask = (1 << (room + 1)) - 1
+    for size in sizes:
+        sums, copies, part = reach[-1], min(left[size], room // size), 1
+        while copies:
+            step = min(part, copies)
+            sums |= sums << (step * size) & mask
+            copies, part = copies - step, part * 2
+        reach.append(sums)
+    target, chosen = reach[-1].bit_length() - 1, {}
+    for at in range(len(sizes) - 1, -1, -1):
+        size = sizes[at]
+        for copies in range(min(left[size], target // size), -1, -1):
+            if reach[at] >> (target - copies * size) & 1:
+                break
+        if copies:
+            chosen[size] = copies
+            target -= copies * size
+    return chosen
+
+
 def fillings(room: int, sizes: list[int], left: dict[int, int]) -> list[dict[int, int]]:
     """Undominated fillings (size → copies) of ``room``, least waste first; ``sizes`` ascend.
 
@@ -124,7 +185,8 @@ def bin_completion(counts: dict[int, int], capacity: int) -> list[tuple[dict[int
         """Each completion of the largest piece: the filling, its uses, its waste."""
         head = max(state)
         rest = {size: n - (size == head) for size, n in state.items() if n > (size == head)}
-        for filling in fillings(capacity - head, sorted(rest), rest):
+        best = tightest(capacity - head, rest)
+        for filling in [best, *(x for x in fillings(capacity - head, sorted(rest), rest) if x != best)]:
             chosen = filling | {head: filling.get(head, 0) + 1}
             times = min(state[size] // copies for size, copies in chosen.items())
             yield chosen, times, (capacity - sum(size * copies for size, copies in chosen.items())) * times
@@ -135,14 +197,16 @@ def bin_completion(counts: dict[int, int], capacity: int) -> list[tuple[dict[int
     def used(plan: list[tuple[dict[int, int], int]]) -> int:
         return sum(times for _, times in plan)
 
+    waste = lambda chosen: capacity - sum(size * copies for size, copies in chosen.items())
+    plain = [(chosen, times, waste(chosen) * times) for chosen, times in best_fit(start, capacity)]
     incumbent, state = [], dict(start)
-    while state:
-        chosen, times, lost = next(options(state))
-        incumbent.append((chosen, times, lost))
-        for size, copies in chosen.items():
-            state[size] -= times * copies
-            if not state[size]:
-                del state[size]
+    if sum(times for _, times, _ in plain) > bound:  # else nothing can be better
+        while state:
+            chosen, times, lost = next(options(state))
+            incumbent.append((chosen, times, lost))
+            state = without(state, chosen, times)
+    if not incumbent or sum(x[1] for x in plain) <= sum(x[1] for x in incumbent):
+        incumbent, state = plain, {}
 
     # Branches reopen from the incumbent's last decisions backwards, as depth-first search would.
     stack, spent = [], sum(lost for *_, lost in incumbent)
@@ -170,19 +234,30 @@ def bin_completion(counts: dict[int, int], capacity: int) -> list[tuple[dict[int
     return incumbent
 
 
-def _plan_rows(plan: list[tuple[dict[int, int], int]]) -> list[tuple[int, int, int, int, int, int]]:
-    """(length, first number, last number, first sequence, times, offset) for each slot of the plan."""
-    rows, numbered, sequence = [], {}, 0
+def _plan_rows(plan: list[tuple[dict[int, int], int]]) -> tuple[list[tuple[int, int]], list[tuple[int, ...]]]:
+    """Two tables: (length, span), and (length, chunk, first, last, sequence, times, offset).
+
+    The second has a row for each size of a filling, whose copies are numbered one run of ``times`` after the
+    other. Numbers are cut into chunks of ``span``, the mean run of a length, so that a piece meets a few rows
+    of its chunk whatever the length of the plan.
+    """
+    runs, numbered, sequence = {}, {}, 0
     for chosen, times in plan:
         offset = 0
         for size, copies in sorted(chosen.items(), reverse=True):
-            for _ in range(copies):
-                first = numbered.get(size, 0)
-                rows.append((size, first, first + times - 1, sequence, times, offset))
-                numbered[size] = first + times
-                offset += size
+            first = numbered.get(size, 0)
+            numbered[size] = first + times * copies
+            runs.setdefault(size, []).append((first, numbered[size] - 1, sequence, times, offset))
+            offset += size * copies
         sequence += times
-    return rows
+    spans = {size: -(-numbered[size] // len(own)) for size, own in runs.items()}
+    rows = [
+        (size, chunk, *run)
+        for size, own in runs.items()
+        for run in own
+        for chunk in range(run[0] // spans[size], run[1] // spans[size] + 1)
+    ]
+    return list(spans.items()), rows
 
 
 def pack(
@@ -204,17 +279,21 @@ def pack(
         (F.sum("n").over(Window.partitionBy("length").orderBy("bucket")) - F.col("n")).alias("before"),
     )
     counts = {r.length: r.n for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    rows = _plan_rows(bin_completion(counts, capacity))
+    spans, rows = _plan_rows(bin_completion(counts, capacity))
     plan = spark.createDataFrame(
-        rows, "length bigint, first bigint, last bigint, sequence bigint, times bigint, offset bigint"
+        rows, "length bigint, chunk bigint, first bigint, last bigint, sequence bigint, times bigint, offset bigint"
     )
+    offsets = offsets.join(F.broadcast(spark.createDataFrame(spans, "length bigint, span bigint")), "length")
     inside = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "start", "ids_crc32")
-    numbered = salted.join(offsets, ["length", "bucket"]).withColumn(
-        "number", F.col("before") + F.row_number().over(inside) - 1
+    numbered = (
+        salted.join(offsets, ["length", "bucket"])
+        .withColumn("number", F.col("before") + F.row_number().over(inside) - 1)
+        .withColumn("chunk", F.floor(F.col("number") / F.col("span")))
     )
-    # The plan has at most a few rows for each possible length.
+    place = F.col("number") - F.col("first")
+    # The plan has at most two rows for each size of each filling: a few for each possible length.
     return (
-        numbered.join(F.broadcast(plan), "length")
+        numbered.join(F.broadcast(plan), ["length", "chunk"])
         .filter((F.col("number") >= F.col("first")) & (F.col("number") <= F.col("last")))
         .select(
             "doc_id",
@@ -222,7 +301,7 @@ def pack(
             "start",
             "length",
             "ids_crc32",
-            (F.col("sequence") + F.col("number") - F.col("first")).alias("sequence_id"),
-            "offset",
+            (F.col("sequence") + place % F.col("times")).alias("sequence_id"),
+            (F.col("offset") + F.floor(place / F.col("times")) * F.col("length")).alias("offset"),
         )
     )

@@ -33,8 +33,10 @@ BYTE_PIECES = re.compile(
     rf"{CONTRACTIONS}| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?{OTHER}+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+"
 )
 WORD_PIECES = re.compile(rf"{CONTRACTIONS}|[{LETTERS}]+|[{NUMBERS}]|{OTHER}+")
+#: Characters whose lower case is not plain.
+_LEAVING = "".join(chr(c) for c in range(PLAIN_LIMIT) if any(ord(x) >= PLAIN_LIMIT for x in chr(c).lower()))
 #: Not plain, or the start of a special token.
-NOT_PLAIN = re.compile(rf"[^\x00-{chr(PLAIN_LIMIT - 1)}‐-‧]|<\|(?:start|end)oftext\|>")
+NOT_PLAIN = re.compile(rf"[^\x00-{chr(PLAIN_LIMIT - 1)}‐-‧]|[{_LEAVING}]|<\|(?:start|end)oftext\|>")
 
 
 def _byte_alphabet() -> dict[int, str]:
