@@ -34,11 +34,16 @@ def test_line_dedup_carries_other_columns(edge_docs):
     assert rows_of(out, "doc_id", "kept", "n_lines") == rows_of(edge_docs, "doc_id", "kept", "n_lines")
 
 
-def test_line_dedup_counts_repeated_rows_and_null_ids(spark):
+def test_line_dedup_counts_ids_and_not_rows(spark):
     line = "a line that is long enough to count"
     rows = [(7, line), (7, line), (None, line + "\nother")]
     out = lined(spark.createDataFrame(rows, "doc_id bigint, text string"))
-    assert [r[:3] for r in out] == [(7, 1, 0), (7, 1, 0), (None, 2, 1)]
+    assert [r[:3] for r in out] == [(7, 1, 0), (7, 1, 0), (None, 2, 0)]
+    rows = [(7, line), (7, line), (9, line)]
+    assert [r[:3] for r in lined(spark.createDataFrame(rows, "doc_id bigint, text string"))] == [(7, 1, 0), (7, 1, 0), (9, 1, 0)]
+    rows = [(7, line), (7, line), (9, line), (None, line)]
+    out = lined(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert [r[:3] for r in out] == [(7, 1, 1), (7, 1, 1), (9, 1, 0), (None, 1, 1)]
 
 
 def hits(frame, items):
@@ -167,3 +172,20 @@ def test_empty_tables_of_benchmark(spark, empty_docs, edge_docs):
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert decontamination_report(empty_docs, none).collect() == []
     assert not any(r.contaminated for r in decontamination_report(edge_docs, none).collect())
+
+
+def test_decontamination_without_broadcast(spark, edges, edge_docs, small_docs, monkeypatch):
+    """A benchmark beyond the bound is joined by a shuffle: same rows, and no text or words in it."""
+    from tripmill.llm import decontaminate
+
+    frame = spark.read.parquet(small_docs[1].inputFiles()[0].replace("documents", "benchmark"))
+    items = [(1, "it runs FAR away from the old mill by the river now"), (4, "one two"), (5, "ÉTUDE"),
+             (None, "w5x5 w6x6 w7x7 w8x8 w9x9 w10x10 w11x11 w12x12 w13x13 w14x14 w15x15")]
+    short = spark.createDataFrame(items, "item_id bigint, text string")
+    want = hits(small_docs[1], frame)
+    monkeypatch.setattr(decontaminate, "MAX_BROADCAST", 0)
+    assert hits(small_docs[1], frame) == want
+    assert hits(edge_docs, short) == expect(brute.op6(edges, items))
+    # What is exchanged by hash:
+    probes = decontaminate.probes(decontaminate.read_words(small_docs[1], "doc_id", "text"), [5])
+    assert probes.columns == ["doc_id", "text_hash", "block", "n", "hash"]

@@ -69,15 +69,15 @@ def find_hits(
     """``doc_id, text_hash, spans, n_hit, items`` of the documents with hits; spans: merged word ranges."""
     grams = stage(benchmark_grams(benchmark, window, item_id, item_text), "grams")
     sizes = grams.groupBy("block").agg(F.count("*").alias("n")).collect()  # at most ``window`` / 2 rows
-    table = F.broadcast(grams) if sum(row.n for row in sizes) <= MAX_BROADCAST else grams
-    read = docs.select(
-        docs[doc_id].alias("doc_id"), F.xxhash64(docs[text]).alias("text_hash"), words_of(docs[text]).alias("words")
-    )
-    found = None
-    for block in sorted(row.block for row in sizes) or [1]:
-        blocks = F.posexplode(_block_hashes(F.col("words"), block, block)).alias("n", "hash")
-        hits = scanned_hits(read.select("*", blocks), table.filter(F.col("block") == block), block)
-        found = hits if found is None else found.unionByName(hits)
+    read = read_words(docs, doc_id, text)
+    if sum(row.n for row in sizes) <= MAX_BROADCAST:
+        found = None
+        for block in sorted(row.block for row in sizes) or [1]:
+            blocks = F.posexplode(_block_hashes(F.col("words"), block, block)).alias("n", "hash")
+            hits = scanned_hits(read.select("*", blocks), F.broadcast(grams).filter(F.col("block") == block), block)
+            found = hits if found is None else found.unionByName(hits)
+    else:
+        found = shuffled_hits(read, grams, sorted(row.block for row in sizes))
 
     def merge(spans: Column, span: Column) -> Column:
         last = F.element_at(spans, -1)
@@ -99,6 +99,50 @@ def find_hits(
     )
 
 
+def read_words(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return docs.select(
+        docs[doc_id].alias("doc_id"), F.xxhash64(docs[text]).alias("text_hash"), words_of(docs[text]).alias("words")
+    )
+
+
+def probes(read: DataFrame, blocks: list[int]) -> DataFrame:
+    """``doc_id, text_hash, block, n, hash`` of the aligned blocks of all sizes: one scan, no words."""
+
+    def placed(size: int) -> Column:
+        row = lambda h, n: F.struct(F.lit(size).alias("block"), n.alias("n"), h.alias("hash"))
+        return F.transform(_block_hashes(F.col("words"), size, size), row)
+
+    return read.select("doc_id", "text_hash", F.inline(F.concat(*map(placed, blocks))))
+
+
+def shuffled_hits(read: DataFrame, grams: DataFrame, blocks: list[int]) -> DataFrame:
+    """Verified windows where the table is too large to broadcast.
+
+    Only hashes and places of blocks meet the table. What they find, as windows of at most ``length`` words, is
+    gathered by document and meets the document's words once.
+    """
+    first = F.greatest(F.lit(0), F.col("at") + F.col("block") - F.col("length"))
+    last = F.least(F.col("at"), F.size("item_words") - F.col("length"))
+    windows = (
+        probes(read, blocks).join(grams, ["block", "hash"])
+        .select("*", F.explode(F.sequence(first, last)).alias("from"))
+        .withColumn("start", F.col("n") * F.col("block") - F.col("at") + F.col("from"))
+        .filter("start >= 0")
+        .groupBy("doc_id", "text_hash")
+        .agg(F.collect_set(F.struct("start", "length", F.slice("item_words", F.col("from") + 1, F.col("length")).alias("gram"), "items")).alias("windows"))
+        .withColumnsRenamed({"doc_id": "at_id", "text_hash": "at_hash"})
+    )
+    here = lambda w: F.transform(
+        F.slice("words", w["start"] + 1, w["length"]), lambda x: F.translate(x, UPPER, LOWER)
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("text_hash") == F.col("at_hash"))
+    held = F.filter("windows", lambda w: (w["start"] + w["length"] <= F.size("words")) & (here(w) == w["gram"]))
+    return (
+        read.join(windows, same).select("doc_id", "text_hash", F.explode(held).alias("w"))
+        .select("doc_id", "text_hash", F.struct(F.col("w.start").alias("at"), (F.col("w.start") + F.col("w.length")).alias("end")).alias("span"), F.col("w.items").alias("items"))
+    )
+
+
 def scanned_hits(blocks: DataFrame, table: DataFrame, block: int) -> DataFrame:
     """Verified windows around the blocks whose hash is in the table."""
     # Item windows that contain the n-gram at ``at``, and where they would start in the document.
