@@ -78,10 +78,11 @@ class ByteVocabulary:
         ranks = {self.token_bytes[number]: number for number in vocabulary.values() if number < 256 + len(merges)}
         return tiktoken.Encoding("plain", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> tuple[list[int], bool]:
+        """The ids, and whether they are merges of the text's own bytes, which spell it."""
         if self.plain is None or _NOT_PLAIN.search(text):
-            return self.whole.encode(text, add_special_tokens=False).ids
-        return self.plain.encode_ordinary(text)
+            return self.whole.encode(text, add_special_tokens=False).ids, False
+        return self.plain.encode_ordinary(text), True
 
 
 class PieceVocabulary:
@@ -157,13 +158,12 @@ def common_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (shared, at[shared]) if short is a else (at[shared], shared)
 
 
-def _decimals(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Decimal digits of each number, from the left, and how many there are."""
-    sizes = np.ones(len(numbers), dtype=np.int64)
-    for power in range(1, 10):
-        sizes += numbers >= 10**power
-    width = int(sizes.max(initial=1))
-    places = np.maximum(sizes[:, None] - 1 - np.arange(width), 0)
+@lru_cache(maxsize=4)
+def _decimals(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Decimal digits of the numbers below ``size``, from the left, and how many there are."""
+    numbers = np.arange(size)
+    sizes = np.array([len(str(n)) for n in range(size)], dtype=np.int64)
+    places = np.maximum(sizes[:, None] - 1 - np.arange(sizes.max(initial=1)), 0)
     return (numbers[:, None] // 10**places % 10 + 48).astype(np.uint8), sizes
 
 
@@ -183,7 +183,8 @@ def group_texts(
     marks[len(a) + b_last] = ord(";")
     ends = np.cumsum(groups)
     last = len(a) + b_last[ends[groups > 0] - 1]
-    digits, sizes = _decimals(np.concatenate([a, b])[place])
+    ids = np.concatenate([a, b])[place]
+    digits, sizes = (x[ids] for x in _decimals(1 << int(ids.max(initial=0)).bit_length()))
     marks, closed = marks[place], np.ones(len(place), dtype=np.int64)
     closed[(a_last + b_last + 1)[ends[groups > 0] - 1]] = 0  # no mark behind a document's last group
     assert (place[closed == 0] == last).all()
@@ -252,10 +253,12 @@ def _spelled(a: ByteVocabulary, b: PieceVocabulary, text: str) -> tuple[list[int
     """The ids of both; none where the tokens do not spell the space and the text."""
     if not text:
         return [], []
-    a_ids, b_ids, spelled = a.encode(" " + text), b.encode(text), (" " + text).encode()
-    for vocabulary, ids in ((b, b_ids), (a, a_ids)):
-        if b"".join(map(vocabulary.token_bytes.__getitem__, ids)) != spelled:
-            return [], []
+    spelled, b_ids = (" " + text).encode(), b.encode(text)
+    if b"".join(map(b.token_bytes.__getitem__, b_ids)) != spelled:
+        return [], []
+    a_ids, exact = a.encode(" " + text)
+    if not exact and b"".join(map(a.token_bytes.__getitem__, a_ids)) != spelled:
+        return [], []
     return a_ids, b_ids
 
 
