@@ -35,6 +35,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -487,17 +488,26 @@ def _marks(packed: DataFrame) -> DataFrame:
     return packed.groupBy("bucket").applyInArrow(index, "doc_id bigint, base int, bits bigint")
 
 
-def cut(data: bytes, bases: np.ndarray, bits: np.ndarray) -> tuple[bytes, int, int]:
-    """What is left of a text, the bytes removed and their runs."""
-    change = np.zeros(len(data) + 1, dtype=np.int32)
+def cut_texts(texts: list[bytes], which: np.ndarray, bases: np.ndarray, bits: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """What is left of each text, the bytes removed and their runs; ``which`` names the text of each mark."""
+    lengths = np.array([len(text) for text in texts], dtype=np.int64)
+    ends = np.cumsum(lengths)
+    starts = ends - lengths
+    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    begins = np.zeros(len(data) + WIDTH - 1, dtype=bool)  # shifted by the pad that the sliding window needs
     for n in range(SLIDE + 1):
-        starts = bases[(bits >> n) & 1 == 1] + n
-        starts = starts[starts + WIDTH <= len(data)]
-        np.add.at(change, starts, 1)
-        np.add.at(change, starts + WIDTH, -1)
-    gone = np.cumsum(change[:-1]) > 0
-    runs = int(np.count_nonzero(gone & ~np.concatenate([[False], gone[:-1]])))
-    return np.frombuffer(data, dtype=np.uint8)[~gone].tobytes(), int(gone.sum()), runs
+        some = ((bits >> n) & 1 == 1) & (bases + n + WIDTH <= lengths[which])
+        begins[starts[which[some]] + bases[some] + (n + WIDTH - 1)] = True
+    # Strings end inside their texts, so no cover reaches the next text.
+    gone = _sliding(begins, WIDTH, np.logical_or)
+    edges = gone & ~np.concatenate([[False], gone[:-1]])
+    full = starts[lengths > 0]
+    edges[full] = gone[full]  # a run that opens a text is its own, also behind a text cut at its end
+    runs = np.bincount(np.searchsorted(ends, np.flatnonzero(edges), side="right"), minlength=len(texts))
+    removed = np.bincount(np.searchsorted(ends, np.flatnonzero(gone), side="right"), minlength=len(texts))
+    kept = data[~gone].tobytes()
+    stops = np.cumsum(lengths - removed)
+    return [kept[a:b] for a, b in zip(stops - lengths + removed, stops)], removed, runs
 
 
 def dedup_strings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -520,20 +530,22 @@ def dedup_strings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [[], [], [], []]
-            for value, found in zip(batch.column(1), batch.column(2)):
-                data = (value.as_py() or "").encode()
-                row = data, 0, 0
-                if found.is_valid:
-                    structs = found.values
-                    row = cut(data, structs.field("base").to_numpy().astype(np.int64), structs.field("bits").to_numpy())
-                for column, x in zip(columns, (len(data), row[1], row[2], row[0])):
-                    column.append(x)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
-            )
+            texts = [(value.as_py() or "").encode() for value in batch.column(1)]
+            kept, removed, runs = list(texts), np.zeros(len(texts), dtype=np.int64), np.zeros(len(texts), dtype=np.int64)
+            owner = pc.list_parent_indices(batch.column(2)).to_numpy()
+            found = pc.list_flatten(batch.column(2))
+            bases, bits = (found.field(name).to_numpy().astype(np.int64) for name in ("base", "bits"))
+            marked = np.unique(owner)
+            # Texts are cut together in groups of about CHUNK bytes.
+            sizes = np.cumsum([len(texts[row]) for row in marked]) // CHUNK
+            for rows in np.split(marked, _groups(sizes)[1:]) if len(marked) else []:
+                first, last = np.searchsorted(owner, [rows[0], rows[-1] + 1])
+                which = np.searchsorted(rows, owner[first:last])
+                left, removed[rows], runs[rows] = cut_texts([texts[r] for r in rows], which, bases[first:last], bits[first:last])
+                for row, text in zip(rows, left):
+                    kept[row] = text
+            columns = [pa.array([len(text) for text in texts], pa.int64()), pa.array(removed), pa.array(runs), pa.array(kept, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
     return read.join(marked, "doc_id", "left").select("doc_id", "text", "marks").mapInArrow(
         remove, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
