@@ -64,20 +64,60 @@ def test_long_texts_are_cut_in_chunks(monkeypatch):
         assert any(start <= p <= start + R.SLIDE for p in whole)
 
 
-def test_index_steps_and_marks():
-    random.seed(6)
-    texts = ["".join(random.choices("ab", k=random.randint(50, 76))).encode() for _ in range(40)]
-    texts += [texts[n][:60] + b"q" * 5 for n in range(10) if len(texts[n]) >= 60]
+def padded(texts):
     lengths = np.array([len(t) for t in texts])
     contents = np.zeros((len(texts), R.SNIPPET), dtype=np.uint8)
     for n, t in enumerate(texts):
         contents[n, : len(t)] = np.frombuffer(t, dtype=np.uint8)
-    docs = np.array(random.sample(range(1000), len(texts)))
-    index, order = R.build_index(contents, lengths)
-    assert len(index.run_starts) < len(order) and len(index.run_ends) == len(index.run_starts)
+    return contents, lengths
+
+
+def snippets(letters, seed, n=40):
+    """Contents of 50 to 76 bytes, some that share most of another, one long run and some bytes of value 0 and 255."""
+    random.seed(seed)
+    texts = ["".join(random.choices(letters, k=random.randint(50, 76))).encode("latin-1") for _ in range(n)]
+    texts += [(b"q" * (k % 9) + texts[k][: 50 + k % 9] + b"r" * 17)[:76] for k in range(n)] + [b"a" * 76, b"a" * 60, b"\xff\x00" * 30]
+    random.shuffle(texts)
+    return texts
+
+
+@pytest.mark.parametrize("letters", ["ab", "abcdefgh ", "a"])
+def test_index_steps_and_matching_statistics(letters):
+    texts = snippets(letters, 6)
+    held, streamed = texts[:40], texts[40:]
+    index, order, _, ends = R.build_index(*padded(held))
+    text = b"\x01".join(held)  # what no pattern holds parts the contents here
     where = {p: row for row, p in enumerate(order)}
     for row, position in enumerate(order):
         assert index.step(np.array([row]))[0] == where[(position - 1) % len(order)]
+    assert len(index.run_starts) < len(order)
+    for run, (first, n) in enumerate(zip(index.run_starts, index.run_lengths)):
+        assert index.first_samples[run] == order[first] and index.last_samples[run] == order[first + n - 1]
+    contents, lengths = padded(streamed)
+    for active, read, matched, places in R.matching_statistics(index, contents, lengths):
+        for n, length, place in zip(active, matched, places):
+            rest = streamed[n][len(streamed[n]) - read :]
+            assert rest[:length] in text and (length == len(rest) or rest[: length + 1] not in text)
+            assert text[place : place + length] == rest[:length]
+
+
+def test_samples_at_run_ends_decide(monkeypatch):
+    """Streamed marks come from the sampled positions: with wrong samples they change."""
+    texts = snippets("ab", 8)
+    held, streamed = padded(texts[:40]), padded(texts[40:])
+    index = R.build_index(*held)[0]
+    right = R.held_strings(index, *streamed)
+    assert right.any()
+    index.first_samples[1:] = index.first_samples[0]
+    index.last_samples[1:] = index.first_samples[0]
+    assert (R.held_strings(index, *streamed) != right).any()
+
+
+@pytest.mark.parametrize("letters, ids", [("ab", 1000), ("a", 1000), ("abc", 7), ("ab", 1)])
+def test_marks(letters, ids):
+    texts = snippets(letters, 9)
+    contents, lengths = padded(texts)
+    docs = np.array([random.randrange(ids) for _ in texts])
     bits = R.repeated_strings(contents, lengths, docs)
     for n, t in enumerate(texts):
         for start in range(len(t) - R.WIDTH + 1):
@@ -85,6 +125,19 @@ def test_index_steps_and_marks():
             assert bool(bits[n] >> start & 1) == want
 
 
+@pytest.mark.parametrize("kind", ["string", "int", "decimal(20,0)"])
+def test_ids_keep_their_type(spark, kind):
+    rows = [(i, t) for i, t in pieces(4, 60)] + [(None, "n" * 60)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    frame = frame.withColumn("doc_id", F.col("doc_id").cast(kind)).repartition(5)
+    assert R.dedup_strings(frame).schema["doc_id"].dataType == frame.schema["doc_id"].dataType
+    named = sorted(((str(i), t) for i, t in rows if i is not None)) if kind == "string" else sorted(rows[:-1])
+    number = {i: n for n, (i, _) in enumerate(named)}
+    want = sorted(brute.op4([(n, t) for n, (_, t) in enumerate(named)]))
+    out = [r for r in run(frame) if r[0] is not None]
+    assert sorted((number[r[0] if kind == "string" else int(r[0])], *r[1:]) for r in out) == want
+
+
 def test_empty(empty_docs):
     assert R.dedup_strings(empty_docs).collect() == []
 

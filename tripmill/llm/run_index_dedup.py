@@ -5,11 +5,13 @@
    in a single document rules out every string that it anchors.
 2. Snippets. For the anchors that several documents share, the bytes that strings around the anchor can
    cover (at most ``2 * WIDTH - GRAM``) go to the anchor's bucket; equal snippets are one content.
-3. Index. The contents of a bucket make a text whose Burrows-Wheeler transform is kept as runs, with suffix
-   positions sampled at run ends. Every content is streamed through it backwards, all contents in lockstep:
-   a step of the last-to-first mapping finds its run by binary search. From ``WIDTH`` steps on, the row may lie
-   in an interval of equal strings, and the interval's least document id decides. Intervals and least ids come
-   from the suffix array of the build; the samples at run ends are not read.
+3. Index. Of a bucket's contents, those of the smaller half of its documents make a text whose Burrows-Wheeler
+   transform is kept as runs, with suffix positions sampled at both ends of each. The others are streamed
+   through it backwards, all in lockstep, for their matching statistics: a step of the last-to-first mapping
+   finds its run by binary search; where the symbol differs, the next run of the symbol above or below goes on,
+   whichever sampled suffix shares more. A match of ``WIDTH`` bytes marks a repeat, as every indexed document
+   is smaller. Contents with an unmatched string go on to another round alike, so rounds together cost about
+   one pass. Repeats among the indexed contents themselves are read off the suffix array of the build.
 4. Frequent anchors. An anchor whose contents differ from document to document (the edge of a passage, a short
    line in changing surroundings) would make one bucket as large as the corpus. Anchors of ``FREQUENT`` contents
    or more, as a sample of the documents shows, go another way: each of their strings is keyed by 128 bits of
@@ -25,7 +27,7 @@ of shared anchors, and each text once.
 Defined results: a null text has no bytes; texts shorter than ``WIDTH`` lose nothing; a row with a null id is
 never cut and never a source; rows with one id are no sources for each other (ids are expected to be unique up
 to repeated rows: different texts under one id are each cut at the places of both); other columns are
-ignored; an empty table gives an empty result.
+ignored; an empty table gives an empty result. Ids of any type that sorts: "smaller" is Spark's order.
 """
 
 from __future__ import annotations
@@ -39,6 +41,7 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tripmill.llm.shared import ship_code, stage
 
@@ -51,7 +54,8 @@ CHUNK, BUCKET_BYTES = 1 << 20, 4 << 20
 FREQUENT, SAMPLE = 1 << 14, 64
 _TABLE = np.random.default_rng(4).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
-_LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: Where a packed word of seven symbols of nine bits begins to differ in its last symbol but 1, 2, ... 6.
+_WORD_STEPS = np.uint64(1) << np.arange(9, 63, 9, dtype=np.uint64)
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -203,30 +207,51 @@ def _shared_places(packed: DataFrame) -> DataFrame:
 
 @dataclass
 class RunIndex:
-    """A run-compressed Burrows-Wheeler transform."""
+    """A run-compressed Burrows-Wheeler transform with suffix positions sampled at both ends of each run."""
 
+    words: np.ndarray  # the seven symbols from each position of the text on, packed
     run_starts: np.ndarray  # row where each run begins
+    run_symbols: np.ndarray
     run_heads: np.ndarray  # row that the run's first row maps to
-    run_ends: np.ndarray  # suffix position sampled at the last row of each run
-    intervals: np.ndarray  # rows where a class of equal strings of WIDTH bytes begins, for classes of several rows
-    interval_ends: np.ndarray
-    end_rows: np.ndarray  # row of the suffix behind each content
+    run_lengths: np.ndarray
+    first_samples: np.ndarray  # suffix position at the first row of each run
+    last_samples: np.ndarray  # and at the last one
+    by_symbol: np.ndarray  # runs by symbol, then by place
+    symbol_keys: np.ndarray  # symbol and place of these, as one sorted number
+
+    def run_of(self, rows: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.run_starts, rows, side="right") - 1
 
     def step(self, rows: np.ndarray) -> np.ndarray:
         """Last-to-first mapping: the rows of the suffixes one byte longer."""
-        run = np.searchsorted(self.run_starts, rows, side="right") - 1
+        run = self.run_of(rows)
         return self.run_heads[run] + rows - self.run_starts[run]
 
+    def shared(self, one: np.ndarray, two: np.ndarray, limit: np.ndarray) -> np.ndarray:
+        """Symbols that the suffixes at ``one`` and ``two``, which differ, have in common, up to ``limit``."""
+        out, todo = np.zeros(len(one), dtype=np.int64), np.flatnonzero(limit > 0)
+        while len(todo):
+            apart = self.words[one[todo] + out[todo]] ^ self.words[two[todo] + out[todo]]
+            same = np.where(apart == 0, 7, 6 - np.searchsorted(_WORD_STEPS, apart, side="right"))
+            out[todo] += same
+            todo = todo[(same == 7) & (out[todo] < limit[todo])]
+        return np.minimum(out, limit)
 
-def suffix_order(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix array, and ranks by the first 28 symbols, by doubling from 7 symbols on. The last symbol is unique."""
-    n = len(symbols)
+
+def packed_words(symbols: np.ndarray) -> np.ndarray:
+    """The seven symbols from each position on as one number; behind the text come zeros."""
     padded = np.concatenate([symbols.astype(np.uint64), np.zeros(7, dtype=np.uint64)])
-    key = np.zeros(n, dtype=np.uint64)
+    words = np.zeros(len(symbols), dtype=np.uint64)
     for at in range(7):
-        key = (key << np.uint64(9)) | padded[at : at + n]
-    order = np.argsort(key)
-    places, keys = np.arange(n), key[order]
+        words = (words << np.uint64(9)) | padded[at : at + len(symbols)]
+    return words
+
+
+def suffix_order(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Suffix array, and ranks by the first 28 symbols, by doubling from 7 symbols on. The last symbol is unique."""
+    n = len(words)
+    order = np.argsort(words)
+    places, keys = np.arange(n), words[order]
     rank = np.empty(n, dtype=np.int64)  # the row where a suffix's class of equals begins
     span, by_28 = 7, None
     while True:
@@ -248,8 +273,9 @@ def suffix_order(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         span *= 2
 
 
-def build_index(contents: np.ndarray, lengths: np.ndarray) -> tuple[RunIndex, np.ndarray]:
-    """Index of the contents (rows padded to one width), and the suffix array the build needed.
+def build_index(contents: np.ndarray, lengths: np.ndarray) -> tuple[RunIndex, np.ndarray, np.ndarray, np.ndarray]:
+    """Index of the contents (rows padded to one width); the suffix array and the ranks by 28 symbols of its build,
+    and where each content ends.
 
     Bytes count from 2 on, a 1 closes each content and a 0 the text.
     """
@@ -259,49 +285,118 @@ def build_index(contents: np.ndarray, lengths: np.ndarray) -> tuple[RunIndex, np
     inside = np.arange(width) <= lengths[:, None]
     framed[np.arange(len(contents)), lengths] = 1
     symbols = np.append(framed[inside], 0)
-    ends = np.cumsum(lengths + 1) - 1
-    order, by_28 = suffix_order(symbols)
+    words = packed_words(symbols)
+    order, by_28 = suffix_order(words)
 
-    last = symbols[order - 1]
+    last = symbols[order - 1].astype(np.int64)
     run_starts = _groups(last)
     run_lengths = np.diff(np.append(run_starts, len(last)))
-    by_symbol = np.argsort(last[run_starts], kind="stable")
+    run_symbols = last[run_starts]
+    by_symbol = np.argsort(run_symbols, kind="stable")
     run_heads = np.empty(len(run_starts), dtype=np.int64)
     run_heads[by_symbol] = np.cumsum(run_lengths[by_symbol]) - run_lengths[by_symbol]
+    index = RunIndex(
+        words,
+        run_starts,
+        run_symbols,
+        run_heads,
+        run_lengths,
+        order[run_starts],
+        order[run_starts + run_lengths - 1],
+        by_symbol,
+        run_symbols[by_symbol] * len(run_starts) + by_symbol,
+    )
+    return index, order, by_28, np.cumsum(lengths + 1) - 1
+
 
+def own_repeats(order: np.ndarray, by_28: np.ndarray, ends: np.ndarray, lengths: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """By content of an index: a bit for each string in it that a content of a smaller document in it also holds."""
     # Neighbours agree on WIDTH symbols if they agree on the first and the last 28 of them.
-    later = np.minimum(order + WIDTH - 28, len(symbols) - 1)
+    later = np.minimum(order + WIDTH - 28, len(order) - 1)
     same = (by_28[order][1:] == by_28[order][:-1]) & (by_28[later][1:] == by_28[later][:-1])
-    starts = np.flatnonzero(np.concatenate([same, [False]]) & ~np.concatenate([[False], same]))
-    stops = np.flatnonzero(np.concatenate([[False], same]) & ~np.concatenate([same, [False]]))
-    rows = np.empty(len(order), dtype=np.int64)
-    rows[order] = np.arange(len(order))
-    samples = order[run_starts + run_lengths - 1]
-    return RunIndex(run_starts, run_heads, samples, starts, stops + 1, rows[ends]), order
+    rows = np.flatnonzero(np.concatenate([same, [False]]) | np.concatenate([[False], same]))
+    owner = np.searchsorted(ends, order[rows])
+    at = order[rows] - (ends[np.minimum(owner, len(ends) - 1)] - lengths[np.minimum(owner, len(ends) - 1)])
+    # A string ends inside its content; neighbours that agree do so together.
+    whole = (owner < len(ends)) & (at + WIDTH <= lengths[np.minimum(owner, len(ends) - 1)])
+    rows, owner, at = rows[whole], owner[whole], at[whole]
+    if not len(rows):
+        return np.zeros(len(docs), dtype=np.int64)
+    firsts = np.flatnonzero(~np.concatenate([[False], same])[rows])
+    least = np.repeat(np.minimum.reduceat(docs[owner], firsts), np.diff(np.append(firsts, len(rows))))
+    hit = least < docs[owner]
+    # Each place comes once, so that sums of powers of two (below 2 ** 27) are unions.
+    return np.bincount(owner[hit], weights=2.0 ** at[hit], minlength=len(docs)).astype(np.int64)
+
+
+def matching_statistics(index: RunIndex, contents: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray, np.ndarray]]:
+    """Stream the contents backwards through the index, all in lockstep.
+
+    Each step yields the contents that are long enough, how many of their last bytes have been read, and for what
+    begins there the longest match in the index and its position. A row whose run has another symbol goes on
+    from the next run of the symbol above or below, whichever suffix, as sampled at the end of that run, shares more.
+    """
+    n_runs = len(index.run_starts)
+    nowhere = int(index.first_samples[0])  # row 0: the end of the text
+    rows, matched = np.zeros(len(lengths), dtype=np.int64), np.zeros(len(lengths), dtype=np.int64)
+    places = np.full(len(lengths), nowhere, dtype=np.int64)
+    for read in range(1, int(lengths.max()) + 1):
+        active = np.flatnonzero(lengths >= read)
+        symbol = contents[active, lengths[active] - read].astype(np.int64) + 2
+        row, place, length = rows[active], places[active], matched[active]
+        run = index.run_of(row)
+        off = np.flatnonzero(index.run_symbols[run] != symbol)
+        below = np.searchsorted(index.symbol_keys, symbol[off] * n_runs + run[off])
+        best = np.full(len(off), -1, dtype=np.int64)
+        for spot, sampled, at_end in ((below - 1, index.last_samples, True), (below, index.first_samples, False)):
+            other = index.by_symbol[np.clip(spot, 0, n_runs - 1)]
+            able = np.flatnonzero((spot >= 0) & (spot < n_runs) & (index.run_symbols[other] == symbol[off]))
+            found, to = off[able], other[able]
+            share = index.shared(place[found], sampled[to], length[found])
+            better = share > best[able]
+            found, to, share = found[better], to[better], share[better]
+            best[able[better]] = share
+            run[found], row[found] = to, index.run_starts[to] + (index.run_lengths[to] - 1 if at_end else 0)
+            # ``place`` and ``length`` stay those before the jump, so both ends are weighed against the same suffix.
+            places[active[found]], matched[active[found]] = sampled[to], share
+        lost = active[off[best < 0]]
+        went = np.ones(len(active), dtype=bool)
+        went[off[best < 0]] = False
+        moved, run, row = active[went], run[went], row[went]
+        rows[moved] = index.run_heads[run] + row - index.run_starts[run]
+        places[moved] -= 1
+        matched[moved] += 1
+        rows[lost], places[lost], matched[lost] = 0, nowhere, 0
+        yield active, read, matched[active], places[active]
+
+
+def held_strings(index: RunIndex, contents: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """By content: a bit for each string in it that the index holds."""
+    bits = np.zeros(len(lengths), dtype=np.int64)
+    for active, read, matched, _ in matching_statistics(index, contents, lengths):
+        hit = active[matched >= WIDTH]
+        bits[hit] |= np.int64(1) << (lengths[hit] - read)
+    return bits
 
 
 def repeated_strings(contents: np.ndarray, lengths: np.ndarray, docs: np.ndarray) -> np.ndarray:
-    """By content: a bit for each string in it that a content of a smaller document also holds."""
-    index, order = build_index(contents, lengths)
-    ends = np.cumsum(lengths + 1) - 1
-    # The least document in each interval of equal strings.
-    if len(index.intervals):
-        spans = np.repeat(index.intervals, index.interval_ends - index.intervals)
-        first = np.cumsum(index.interval_ends - index.intervals) - (index.interval_ends - index.intervals)
-        rows = spans + np.arange(len(spans)) - np.repeat(first, index.interval_ends - index.intervals)
-        owner = np.minimum(np.searchsorted(ends, order[rows]), len(docs) - 1)
-        least = np.minimum.reduceat(docs[owner], first)
+    """By content: a bit for each string in it that a content of a smaller document also holds.
+
+    The contents of the smaller half of the documents are indexed, those of the larger documents are streamed
+    through it: any match of ``WIDTH`` bytes is a repeat. What still has an unmatched string goes on alike, so
+    that all rounds together index and stream each content once or so.
+    """
     bits = np.zeros(len(docs), dtype=np.int64)
-    rows, active = index.end_rows.copy(), np.arange(len(docs))
-    for held in range(1, int(lengths.max()) + 1):
-        active = active[lengths[active] >= held]
-        rows[active] = index.step(rows[active])
-        if held < WIDTH or not len(index.intervals):
-            continue
-        number = np.searchsorted(index.intervals, rows[active], side="right") - 1
-        known = (number >= 0) & (rows[active] < index.interval_ends[number])
-        hit = active[known][least[number[known]] < docs[active[known]]]
-        bits[hit] |= np.int64(1) << (lengths[hit] - held)
+    whole = (np.int64(1) << np.maximum(0, lengths - WIDTH + 1)) - 1
+    left = np.argsort(docs, kind="stable")
+    while len(left):
+        cut = np.searchsorted(docs[left], docs[left[(len(left) - 1) // 2]], side="right")  # documents stay whole
+        held, later = left[:cut], left[cut:]
+        index, order, by_28, ends = build_index(contents[held], lengths[held])
+        bits[held] |= own_repeats(order, by_28, ends, lengths[held], docs[held])
+        if len(later):
+            bits[later] |= held_strings(index, contents[later], lengths[later])
+        left = later[bits[later] != whole[later]]
     return bits
 
 
@@ -510,10 +605,28 @@ def cut_texts(texts: list[bytes], which: np.ndarray, bases: np.ndarray, bits: np
     return [kept[a:b] for a, b in zip(stops - lengths + removed, stops)], removed, runs
 
 
+def _numbered(read: DataFrame) -> DataFrame:
+    """``id, number`` of the ids that are no integers, numbered in their order: a range-partitioned sort, written."""
+    ids = read.filter("id is not null").select("id").distinct().orderBy("id")
+    return stage(ids.select("id", F.monotonically_increasing_id().alias("number")), "ids")
+
+
 def dedup_strings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes) of every document."""
-    ship_code(docs.sparkSession)
-    read = docs.select(docs[doc_id].cast("bigint").alias("doc_id"), docs[text].alias("text"))
+    """``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes) of every document; ids keep their type."""
+    given = docs.select(docs[doc_id].alias("id"), docs[text].alias("text"))
+    kind = given.schema["id"].dataType
+    if isinstance(kind, IntegralType):
+        cleaned = _dedup_strings(given.select(F.col("id").cast("bigint").alias("doc_id"), "text"))
+        return cleaned.withColumn("doc_id", F.col("doc_id").cast(kind))
+    numbers = _numbered(given)
+    cleaned = _dedup_strings(given.join(numbers, "id", "left").select(F.col("number").alias("doc_id"), "text"))
+    named = cleaned.join(numbers, cleaned["doc_id"] == numbers["number"], "left")
+    return named.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept")
+
+
+def _dedup_strings(read: DataFrame) -> DataFrame:
+    """The work on ``doc_id bigint, text``."""
+    ship_code(read.sparkSession)
     able = read.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= WIDTH))
     total = able.agg(F.coalesce(F.sum(F.octet_length("text").cast("bigint")), F.lit(0))).first()[0]
     buckets = max(64, -(-total // BUCKET_BYTES))
