@@ -54,6 +54,7 @@ TARGETS = (
     "you your yours he him his she her they them their du dich dir dein deine ihr euch sie er tu toi te vous votre "
     "il elle ils tú ti usted ustedes él ella ellos"
 ).split()
+_TARGETS = frozenset(TARGETS)
 NEGATIONS = "not no never isn aren wasn don doesn nobody nicht kein keine nie ne pas jamais nunca jamás".split()
 REPORTS = (
     "said says called calls wrote writes claimed claims quoted reported alleged sagte nannte schrieb behauptete "
@@ -91,18 +92,23 @@ def report_step(state: tuple[bool, bool], symbol: tuple) -> tuple[tuple[bool, bo
     return state, marked
 
 
-def target_step(state: tuple[int, int], symbol: tuple) -> tuple[tuple[int, int], tuple]:
-    """State: words left in the scope of a target before, of a match before. A late target emits its own mark."""
-    aimed, matched = state
+def target_step(state: tuple[int, int, int], symbol: tuple) -> tuple[tuple[int, int, int], tuple]:
+    """State: words left in the scope of a target before, of a match before, and what that match is.
+
+    A late target emits a mark of its own, of the match's kind.
+    """
+    aimed, matched, kind = state
     after = max(0, aimed - 1), max(0, matched - 1)
     if symbol[0] == TARGET:
-        return (TARGET_SCOPE, 0), ((INSULT, "targeted") if matched else symbol)
+        return (TARGET_SCOPE, 0, OTHER), ((kind, "targeted") if matched else symbol)
     if symbol[0] in (INSULT, THREAT):
-        return (after[0], 0 if aimed else TARGET_SCOPE), (*symbol, "targeted") if aimed else symbol
-    return after, symbol
+        if aimed:
+            return (after[0], 0, OTHER), (*symbol, "targeted")
+        return (after[0], TARGET_SCOPE, symbol[0]), symbol
+    return (*after, kind if after[1] else OTHER), symbol
 
 
-TRANSDUCERS = ((0, negation_step), ((False, False), report_step), ((0, 0), target_step))
+TRANSDUCERS = ((0, negation_step), ((False, False), report_step), ((0, 0, OTHER), target_step))
 
 
 def compose() -> tuple[list[list[int]], list[list[int]]]:
@@ -190,6 +196,12 @@ def stems_of(text: str) -> set[str]:
     return words | {f"{w[:n]}-" for w in words for n in PREFIX_CHARS if len(w) > n}
 
 
+def aimed_stems_of(text: str) -> set[str]:
+    """Stems of the words that stand right before a target, as the verb of a threat does."""
+    words = _WORD.findall(text.lower())
+    return set().union(*(stems_of(word) for word, after in zip(words, words[1:]) if after in _TARGETS))
+
+
 def evidence(toxic: int, clean: int, n_toxic: int, n_clean: int) -> tuple[float, float]:
     """Likelihood ratio statistic and log odds of a stem seen in so many documents of each class."""
     prior, seen = n_toxic / (n_toxic + n_clean), toxic + clean
@@ -216,7 +228,7 @@ def held_out(doc_id):
 
 
 def without_copies(sample: DataFrame) -> DataFrame:
-    """One of each group of near copies: texts that share the least shingle hash, twice over."""
+    """One of each group of near copies: texts that share the least shingle hash, twice over. The least row stays."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -231,27 +243,35 @@ def without_copies(sample: DataFrame) -> DataFrame:
             )
 
     keyed = sample.mapInArrow(keys, "text string, toxic int, k0 bigint, k1 bigint")
-    return keyed.dropDuplicates(["k0"]).dropDuplicates(["k1"]).select("text", "toxic")
+    for key, other in (("k0", "k1"), ("k1", "k0")):
+        keyed = keyed.groupBy(key).agg(F.min(F.struct(other, "text", "toxic")).alias("least")).select(key, "least.*")
+    return keyed.select("text", "toxic")
 
 
 def learn_grammar(sample: DataFrame, counts: dict[int, int]) -> Grammar:
-    """Stems that separate the classes; the shortest one stands for those it covers."""
+    """Stems that separate the classes; the shortest one stands for those it covers.
+
+    A stem that stands right before a target in more than half of the toxic texts that hold it is a threat's verb
+    ("we will ... you"), any other an insult.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = [Counter(), Counter()]
+        found = [Counter(), Counter(), Counter()]
         for batch in batches:
             for value, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found[label].update(stems_of(value))
+                if label:
+                    found[2].update(aimed_stems_of(value))
         stems = list(found[0].keys() | found[1].keys())
         yield pa.RecordBatch.from_arrays(
             [pa.array(stems, pa.string()), *(pa.array([c[s] for s in stems], pa.int64()) for c in found)],
-            ["stem", "clean", "toxic"],
+            ["stem", "clean", "toxic", "aimed"],
         )
 
     table = (
-        sample.mapInArrow(count, "stem string, clean bigint, toxic bigint")
+        sample.mapInArrow(count, "stem string, clean bigint, toxic bigint, aimed bigint")
         .groupBy("stem")
-        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+        .agg(*(F.sum(name).alias(name) for name in ("clean", "toxic", "aimed")))
     )
     n_clean, n_toxic = counts[0], counts[1]
     known = table.filter(F.col("stem").isin(*INSULTS, *THREATS)).collect()
@@ -268,9 +288,10 @@ def learn_grammar(sample: DataFrame, counts: dict[int, int]) -> Grammar:
         covered = any(stem[:n] in prefixes for n in PREFIX_CHARS if len(stem) >= n) or stem in words
         if g >= MIN_EVIDENCE and odds >= MIN_ODDS and not covered and taken < MAX_STEMS:
             taken += 1
-            (prefixes if row.stem.endswith("-") else words)[stem] = (INSULT, odds)
+            terminal = THREAT if 2 * row.aimed > row.toxic else INSULT
+            (prefixes if row.stem.endswith("-") else words)[stem] = (terminal, odds)
             if row.stem.endswith("-"):
-                words.setdefault(stem, (INSULT, odds))
+                words.setdefault(stem, (terminal, odds))
     return Grammar(words, prefixes)
 
 
