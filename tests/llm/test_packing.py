@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tripmill.llm.packing import _plan_rows, best_fit, bin_completion, pack, tightest
+from tripmill.llm.packing import _plan_rows, best_fit, bin_completion, lower_bound, mixed, pack, tightest
 from tripmill.llm.pieces import load
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -121,10 +121,10 @@ def split_bins(rng, bins, parts, capacity, least):
 
 
 HARD = {
-    "between 600 and 1100": (lambda r: [r.randint(600, 1100) for _ in range(20_000)], None),
-    "triplets": (lambda r: split_bins(r, 400, 3, 2048, 400), 415),
-    "quadruples": (lambda r: split_bins(r, 500, 4, 2048, 200), 505),
-    "any size": (lambda r: [r.randint(1, 2048) for _ in range(10_000)], None),
+    "between 600 and 1100": (lambda r: [r.randint(600, 1100) for _ in range(20_000)], 9050),
+    "triplets": (lambda r: split_bins(r, 400, 3, 2048, 400), 402),
+    "quadruples": (lambda r: split_bins(r, 500, 4, 2048, 200), 502),
+    "any size": (lambda r: [r.randint(1, 2048) for _ in range(10_000)], 4960),
 }
 
 
@@ -143,6 +143,40 @@ def test_never_worse_than_best_fit_decreasing(kind):
     assert most is None or used <= most
 
 
+@pytest.mark.parametrize("seed", range(40))
+def test_lower_bound_is_none_too_high(seed):
+    rng = random.Random(seed)
+    items = [rng.randint(5, 95) for _ in range(rng.randint(1, 11))]
+    assert -(-sum(items) // 100) <= lower_bound(Counter(items), 100) <= least_bins(items, 100)
+
+
+def test_lower_bound_of_pieces_that_stand_apart():
+    # Pieces of 1000 do not fit beside those of 1100, pieces of 900 do.
+    assert lower_bound({1100: 50, 1000: 10}, 2048) == 55 and lower_bound({1100: 50, 900: 10}, 2048) == 50
+    assert lower_bound({}, 2048) == 0 and lower_bound({1: 10**9}, 2048) == -(-(10**9) // 2048)
+
+
+def test_mixing_follows_the_fillings_not_the_corpus():
+    """A wasteful plan of millions of sequences is mended whole; no piece is lost."""
+    items, many = split_bins(random.Random(1), 30, 3, 2048, 400), 10**6
+    plan = [(chosen, times * many) for chosen, times in best_fit(Counter(items), 2048)]
+    counts = {size: n * many for size, n in Counter(items).items()}
+    better = mixed(plan, 2048, lower_bound(counts, 2048))
+    packed = Counter()
+    for chosen, times in better:
+        assert times > 0 and sum(size * copies for size, copies in chosen.items()) <= 2048
+        for size, copies in chosen.items():
+            packed[size] += copies * times
+    assert packed == counts and sum(t for _, t in better) < sum(t for _, t in plan)
+    assert better == mixed(plan, 2048, lower_bound(counts, 2048))
+
+
+def test_gap_is_told(spark):
+    rows = [(n, "same text") for n in range(40)]
+    out = pack(spark.createDataFrame(rows, "doc_id bigint, text string"), WORD_BPE, capacity=8).collect()
+    assert {r.gap for r in out} == {0} and len({r.sequence_id for r in out}) == 20
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_best_fit_by_counts_is_best_fit(seed):
     rng = random.Random(seed)

@@ -5,7 +5,9 @@ length, a table of at most ``capacity`` counts whatever the size of the corpus.
 it takes the largest piece left, enumerates the undominated fillings of what its sequence has free, and
 tries them from the least waste on, depth first. Best-fit completions give the incumbent, and a branch is
 cut when the waste it has spent shows that it cannot need fewer sequences. A filling is applied as often as
-the counts allow, so the plan holds far fewer rows than there are sequences.
+the counts allow, so the plan holds far fewer rows than there are sequences. While the incumbent is above the
+lower bound, sequences with waste are reopened together with full ones and completed anew, as long as that goes
+on saving sequences. ``gap`` tells how many sequences the plan may be above the optimum.
 
 The pieces are then numbered within their length, in salted buckets, and each number is looked up in the
 plan: a distributed join on the length. A length that holds a third of all pieces is spread over its buckets.
@@ -17,10 +19,12 @@ gives an empty result. The plan is deterministic; which of equal pieces takes wh
 
 from __future__ import annotations
 
+import random
 import struct
 import zlib
 from bisect import bisect_left, bisect_right, insort
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -32,6 +36,8 @@ from tripmill.llm.shared import partitions, ship_code, stage
 #: Search bounds: fillings enumerated for a largest piece, decisions of the first incumbent that are
 #: reopened, and nodes visited then.
 FILLINGS, REOPENED, NODES = 16, 200, 2000
+#: Fillings completed anew together, rounds of that without a sequence saved after which it ends, and all rounds.
+MIXED, STALLED, ROUNDS = 12, 4000, 50_000
 
 _CACHES: dict[str, WorkerCache] = {}
 
@@ -115,9 +121,27 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int]
     return sorted(plan, key=lambda entry: sorted(entry[0], reverse=True), reverse=True)
 
 
-def tightest(room: int, left: dict[int, int]) -> dict[int, int]:
-    """A filling of ``room`` with the least waste there is; larger pieces first. Sums are sets of bits."""
-    reach, sizes = [1], [size for size in sorted(left) if size <= room]
+def lower_bound(counts: dict[int, int], capacity: int) -> int:
+    """Sequences that any plan needs: pieces over half a sequence stand apart, and only pieces of ``least`` or
+    more count, which fit in what is free beside them if they leave at least ``least``."""
+    best = -(-sum(size * n for size, n in counts.items()) // capacity)
+    for least in {0, *(size for size in counts if 2 * size <= capacity)}:
+        alone = beside = free = middle = 0
+        for size, n in counts.items():
+            if size > capacity - least:
+                alone += n
+            elif 2 * size > capacity:
+                beside += n
+                free += (capacity - size) * n
+            elif size >= least:
+                middle += size * n
+        best = max(best, alone + beside + max(0, -(-(middle - free) // capacity)))
+    return best
+
+
+def tightest(room: int, left: dict[int, int], order: Callable[[Iterable[int]], list[int]] = sorted) -> dict[int, int]:
+    """A filling of ``room`` with the least waste there is; the last pieces of the order first. Sums are sets of bits."""
+    reach, sizes = [1], [size for size in order(left) if size <= room]
     mask = (1 << (room + 1)) - 1
     for size in sizes:
         sums, copies, part = reach[-1], min(left[size], room // size), 1
@@ -175,11 +199,77 @@ def fillings(room: int, sizes: list[int], left: dict[int, int]) -> list[dict[int
     return [dict(chosen) for chosen, _ in sorted(found.items(), key=lambda kv: (kv[1], len(kv[0])))]
 
 
+def mixed(plan: list[tuple[dict[int, int], int]], capacity: int, bound: int) -> list[tuple[dict[int, int], int]]:
+    """The plan with fewer sequences, where completing some of them anew saves any.
+
+    A round opens one sequence each of a few fillings, half of them with waste, and completes the largest piece
+    left as tightly as can be, of equal fillings a random one. The outcome counts if it needs no more sequences
+    and gathers the waste in fewer of them; it is applied as often as the rarest of the fillings is used, so rounds
+    follow the fillings, not the corpus. Draws are seeded: the plan is the same every time.
+    """
+    draw, uses = random.Random(0), Counter()
+    for chosen, times in plan:
+        uses[tuple(sorted(chosen.items()))] += times
+    room = {key: capacity - sum(size * copies for size, copies in key) for key in uses}
+    keys = list(uses)
+    wasteful = [key for key in keys if room[key]]
+    total, idle, rounds = sum(uses.values()), 0, 0
+
+    def drop(key: tuple, from_list: list) -> None:
+        at = from_list.index(key)
+        from_list[at] = from_list[-1]
+        from_list.pop()
+
+    def shuffled(sizes: Iterable[int]) -> list[int]:
+        out = sorted(sizes)
+        draw.shuffle(out)
+        return out
+
+    while total > bound and idle < STALLED and rounds < ROUNDS:
+        idle, rounds = idle + 1, rounds + 1
+        opened = set(draw.sample(wasteful, min(MIXED // 2, len(wasteful))))
+        opened.update(draw.sample(keys, min(MIXED - len(opened), len(keys))))
+        opened = sorted(opened)
+        left = Counter()
+        for key in opened:
+            left.update(dict(key))
+        closed = []
+        while left and len(closed) < len(opened):
+            head = max(left)
+            left[head] -= 1
+            left = +left
+            chosen = tightest(capacity - head, left, shuffled)
+            left -= Counter(chosen)
+            chosen[head] = chosen.get(head, 0) + 1
+            closed.append(tuple(sorted(chosen.items())))
+        rooms = [capacity - sum(size * copies for size, copies in key) for key in closed]
+        if left or (len(closed) == len(opened) and sum(r * r for r in rooms) < sum(room[key] ** 2 for key in opened)):
+            continue
+        times = min(uses[key] for key in opened)
+        for key in opened:
+            uses[key] -= times
+            if not uses[key]:
+                del uses[key]
+                drop(key, keys)
+                if room[key]:
+                    drop(key, wasteful)
+        for key, free in zip(closed, rooms):
+            if key not in uses:
+                keys.append(key)
+                room[key] = free
+                if free:
+                    wasteful.append(key)
+            uses[key] += times
+        if len(closed) < len(opened):
+            total, idle = total - times * (len(opened) - len(closed)), 0
+    return [(dict(key), uses[key]) for key in sorted(uses, reverse=True)]
+
+
 def bin_completion(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
     """Fillings of whole sequences (size → copies) and how often each is used."""
     start = {size: n for size, n in counts.items() if n > 0}
     total = sum(size * n for size, n in start.items())
-    bound = -(-total // capacity)
+    bound = lower_bound(start, capacity)
 
     def options(state: dict[int, int]) -> Iterator[tuple[dict[int, int], int, int]]:
         """Each completion of the largest piece: the filling, its uses, its waste."""
@@ -231,7 +321,7 @@ def bin_completion(counts: dict[int, int], capacity: int) -> list[tuple[dict[int
         branches = [x for x in options(state) if waste + x[2] <= allowed]
         for chosen, times, lost in reversed(branches):
             stack.append((without(state, chosen, times), [*plan, (chosen, times)], waste + lost))
-    return incumbent
+    return mixed(incumbent, capacity, bound) if used(incumbent) > bound else incumbent
 
 
 def _plan_rows(plan: list[tuple[dict[int, int], int]]) -> tuple[list[tuple[int, int]], list[tuple[int, ...]]]:
@@ -263,7 +353,8 @@ def _plan_rows(plan: list[tuple[dict[int, int], int]]) -> tuple[list[tuple[int,
 def pack(
     docs: DataFrame, path: str, capacity: int = 2048, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` of every piece."""
+    """``doc_id, piece, start, length, ids_crc32, sequence_id, offset, gap`` of every piece; ``gap``: sequences of
+    the whole plan above its lower bound."""
     spark = docs.sparkSession
     ship_code(spark)
     read = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
@@ -279,7 +370,9 @@ def pack(
         (F.sum("n").over(Window.partitionBy("length").orderBy("bucket")) - F.col("n")).alias("before"),
     )
     counts = {r.length: r.n for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    spans, rows = _plan_rows(bin_completion(counts, capacity))
+    fills = bin_completion(counts, capacity)
+    gap = sum(times for _, times in fills) - lower_bound(counts, capacity)
+    spans, rows = _plan_rows(fills)
     plan = spark.createDataFrame(
         rows, "length bigint, chunk bigint, first bigint, last bigint, sequence bigint, times bigint, offset bigint"
     )
@@ -303,5 +396,6 @@ def pack(
             "ids_crc32",
             (F.col("sequence") + place % F.col("times")).alias("sequence_id"),
             (F.col("offset") + F.floor(place / F.col("times")) * F.col("length")).alias("offset"),
+            F.lit(gap).cast("bigint").alias("gap"),
         )
     )
