@@ -122,9 +122,12 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int]
 
 
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
-    """Sequences that any plan needs: pieces over half a sequence stand apart, and only pieces of ``least`` or
-    more count, which fit in what is free beside them if they leave at least ``least``."""
-    best = -(-sum(size * n for size, n in counts.items()) // capacity)
+    """Sequences that any plan needs: by their tokens; by how many pieces of a size or more fit in one; and, as
+    pieces over half a sequence stand apart, by those of ``least`` or more that do not fit beside them."""
+    best, pieces = -(-sum(size * n for size, n in counts.items()) // capacity), 0
+    for size in sorted(counts, reverse=True):
+        pieces += counts[size]
+        best = max(best, -(-pieces // (capacity // size)))
     for least in {0, *(size for size in counts if 2 * size <= capacity)}:
         alone = beside = free = middle = 0
         for size, n in counts.items():

@@ -35,7 +35,7 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
+    return pack(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), capacity=2048).drop("gap")
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
