@@ -13,9 +13,10 @@
    is smaller. Contents with an unmatched string go on to another round alike, so rounds together cost about
    one pass. Repeats among the indexed contents themselves are read off the suffix array of the build.
 4. Frequent anchors. An anchor whose contents differ from document to document (the edge of a passage, a short
-   line in changing surroundings) would make one bucket as large as the corpus. Anchors of ``FREQUENT`` contents
-   or more, as a sample of the documents shows, go another way: each of their strings is keyed by 128 bits of
-   hash, and the least document of a key decides. Both ways give the same marks.
+   line in changing surroundings) would make one bucket as large as the corpus. The snippets are written once and
+   counted by anchor; anchors of which ``FREQUENT`` or more would reach their bucket go another way: each of their
+   strings is keyed by 128 bits of hash, and the least document of a key decides. Both ways give the same marks.
+   A bucket's few frequent anchors are joined to its snippets; no list of them passes the driver.
 5. Marks come back to their documents, where covered bytes are cut out.
 
 Map tasks collapse what they can decide alone: of the copies of an anchor or of a content in one batch only
@@ -50,8 +51,8 @@ SLIDE = WIDTH - GRAM  # bytes that a string can reach beyond its anchor on eithe
 SNIPPET = WIDTH + SLIDE
 #: Bytes hashed at a time, and bytes of text behind a bucket of anchors.
 CHUNK, BUCKET_BYTES = 1 << 20, 4 << 20
-#: Contents from which an anchor counts as frequent, and one document in how many is looked at for that.
-FREQUENT, SAMPLE = 1 << 14, 64
+#: Snippets from which an anchor counts as frequent.
+FREQUENT = 1 << 14
 _TABLE = np.random.default_rng(4).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
 #: Where a packed word of seven symbols of nine bits begins to differ in its last symbol but 1, 2, ... 6.
@@ -423,33 +424,59 @@ def _snippets(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(x) for x in found)
 
 
-def _frequent_anchors(placed: DataFrame) -> np.ndarray:
-    """Hashes of the anchors that have about ``FREQUENT`` contents or more, from the documents of a sample."""
+_PACKED = pa.schema([("bucket", pa.int32()), *((name, pa.binary()) for name in ("hashes", "docs", "bases", "lengths", "bytes"))])
+
+
+def _packed(bucket: int, ids, hashes, bases, lengths, parts, packer: zstandard.ZstdCompressor) -> dict:
+    """A row of packed snippets."""
+    return {
+        "bucket": bucket,
+        "hashes": hashes.astype("<u8").tobytes(),
+        "docs": ids.astype("<i8").tobytes(),
+        "bases": bases.astype("<u4").tobytes(),
+        "lengths": lengths.astype(np.uint8).tobytes(),
+        "bytes": packer.compress(parts.tobytes()),
+    }
+
+
+def _unpacked(row: dict) -> tuple[np.ndarray, ...]:
+    """Documents, anchor hashes, bases, lengths and bytes of a row of packed snippets."""
+    ids, hashes, bases, lengths = (
+        np.frombuffer(row[name], dtype=kind) for name, kind in (("docs", "<i8"), ("hashes", "<u8"), ("bases", "<u4"), ("lengths", np.uint8))
+    )
+    parts = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["bytes"]), dtype=np.uint8)
+    return ids, hashes, bases.astype(np.int64), lengths.astype(np.int64), parts.reshape(-1, SNIPPET)
+
+
+def _frequent_anchors(packed: DataFrame) -> DataFrame:
+    """``bucket, frequent``: by bucket the anchors with ``FREQUENT`` snippets or more, if there are any."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            _, hashes, _, lengths, parts = _snippets(batch)
-            content = _row_hashes(parts) ^ lengths.astype(np.uint64) ^ (hashes * _MULTIPLIERS[1])
-            _, one = np.unique(content, return_index=True)
-            anchor, n = np.unique(hashes[one], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(n, pa.int64())], ["anchor", "n"])
+            found = [np.frombuffer(value.as_py(), dtype="<u8") for value in batch.column(1)]
+            hashes = np.concatenate([np.empty(0, dtype=np.uint64), *found])
+            buckets = np.repeat(batch.column(0).to_numpy(), [len(x) for x in found])
+            anchor, one, n = np.unique(hashes, return_index=True, return_counts=True)  # an anchor has one bucket
+            columns = pa.array(buckets[one], pa.int32()), pa.array(anchor.view(np.int64)), pa.array(n, pa.int64())
+            yield pa.RecordBatch.from_arrays(list(columns), ["bucket", "anchor", "n"])
 
-    sampled = placed.filter(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0).filter("places is not null")
-    counted = sampled.mapInArrow(count, "anchor bigint, n bigint").groupBy("anchor").agg(F.sum("n").alias("n"))
-    rows = counted.filter(F.col("n") * SAMPLE >= FREQUENT).select("anchor").collect()
-    return np.array(sorted(r.anchor for r in rows), dtype=np.int64).view(np.uint64)
+    hashes = packed.filter("bucket >= 0").select("bucket", "hashes")
+    counted = hashes.mapInArrow(count, "bucket int, anchor bigint, n bigint").groupBy("bucket", "anchor").agg(F.sum("n").alias("n"))
+    # A list holds one anchor for each FREQUENT snippets of its bucket at most.
+    listed = counted.filter(F.col("n") >= FREQUENT).groupBy("bucket").agg(F.collect_list("anchor").alias("frequent"))
+    return stage(listed, "frequent")
 
 
-def _frequent_marks(placed: DataFrame, frequent: np.ndarray) -> DataFrame:
+def _frequent_marks(touched: DataFrame) -> DataFrame:
     """``doc_id, base, bits`` for the strings of frequent anchors, by the least document of each string.
 
-    Of the copies of a string in a batch only those of the least document ask; the others are known repeats.
+    Of the copies of a string in a packed row only those of the least document ask; the others are known repeats.
     """
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, hashes, bases, lengths, parts = _snippets(batch)
-            wanted = np.isin(hashes, frequent) & (lengths >= WIDTH)
+        for row in (row for batch in batches for row in batch.to_pylist()):
+            ids, hashes, bases, lengths, parts = _unpacked(row)
+            wanted = np.isin(hashes.view(np.int64), row["frequent"]) & (lengths >= WIDTH)
             ids, bases, lengths, parts = (x[wanted] for x in (ids, bases, lengths, parts))
             if not len(ids):
                 continue
@@ -482,39 +509,43 @@ def _frequent_marks(placed: DataFrame, frequent: np.ndarray) -> DataFrame:
             )
             yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["h1", "h2", "doc_id", "base", "bits", "known"])
 
-    asked = placed.mapInArrow(ask, "h1 bigint, h2 bigint, doc_id bigint, base int, bits bigint, known boolean")
-    # A key has a row or so for each batch.
+    asked = touched.mapInArrow(ask, "h1 bigint, h2 bigint, doc_id bigint, base int, bits bigint, known boolean")
+    # A key has a row or so for each packed row.
     least = F.min("doc_id").over(Window.partitionBy("h1", "h2", "known"))
     return asked.withColumn("least", least).filter("known or doc_id > least").select("doc_id", "base", "bits")
 
 
-def _packed_snippets(placed: DataFrame, buckets: int, frequent: np.ndarray) -> DataFrame:
-    """``bucket, hashes, docs, bases, lengths, bytes``: packed snippets; in buckets below 0 the marks known already.
+def _without_frequent(touched: DataFrame) -> DataFrame:
+    """The packed snippets less those of frequent anchors."""
 
-    Those of frequent anchors are left out.
-    """
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=1)
+        for row in (row for batch in batches for row in batch.to_pylist()):
+            given = _unpacked(row)
+            rare = ~np.isin(given[1].view(np.int64), row["frequent"])
+            if rare.any():
+                yield pa.RecordBatch.from_pylist([_packed(row["bucket"], *(x[rare] for x in given), packer)], schema=_PACKED)
+
+    return touched.mapInArrow(keep, "bucket int, hashes binary, docs binary, bases binary, lengths binary, bytes binary")
+
+
+def _packed_snippets(placed: DataFrame, buckets: int) -> DataFrame:
+    """``bucket, hashes, docs, bases, lengths, bytes``: packed snippets; in buckets below 0 the marks known already."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             ids, hashes, bases, lengths, parts = _snippets(batch)
-            if len(frequent):
-                rare = ~np.isin(hashes, frequent)
-                ids, hashes, bases, lengths, parts = (x[rare] for x in (ids, hashes, bases, lengths, parts))
             if not len(ids):
                 continue
             content = _row_hashes(parts) ^ lengths.astype(np.uint64) ^ (hashes * _MULTIPLIERS[1])
             order, group, first, last = _least_of(content, ids)
             known = ids[order] > first[group]
-            out = [[], [], [], [], [], []]
+            out = []
 
             def emit(number: int, where: np.ndarray, with_bytes: bool) -> None:
-                out[0].append(number)
-                out[1].append(hashes[where].astype("<u8").tobytes() if with_bytes else b"")
-                out[2].append(ids[where].astype("<i8").tobytes())
-                out[3].append(bases[where].astype("<u4").tobytes())
-                out[4].append(lengths[where].astype(np.uint8).tobytes())
-                out[5].append(packer.compress(parts[where].tobytes()) if with_bytes else b"")
+                row = _packed(number, ids[where], hashes[where], bases[where], lengths[where], parts[where] if with_bytes else parts[:0], packer)
+                out.append(row if with_bytes else row | {"hashes": b""})
 
             asking = order[~known]
             # By bucket, then by anchor: snippets that differ little stand side by side and pack well.
@@ -527,10 +558,7 @@ def _packed_snippets(placed: DataFrame, buckets: int, frequent: np.ndarray) -> D
                 emit(int((hashes[part[0]] >> np.uint64(20)) % np.uint64(buckets)), part, True)
             if known.any():
                 emit(-1 - int(hashes[order[0]] % np.uint64(buckets)), order[known], False)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.int32()), *(pa.array(x, pa.binary()) for x in out[1:])],
-                ["bucket", "hashes", "docs", "bases", "lengths", "bytes"],
-            )
+            yield pa.RecordBatch.from_pylist(out, schema=_PACKED)
 
     return placed.mapInArrow(
         pack, "bucket int, hashes binary, docs binary, bases binary, lengths binary, bytes binary"
@@ -632,13 +660,14 @@ def _dedup_strings(read: DataFrame) -> DataFrame:
     buckets = max(64, -(-total // BUCKET_BYTES))
     shared = stage(_shared_places(_packed_anchors(able, buckets)), "places")
     by_doc = shared.groupBy("doc_id").agg(F.collect_list("place").alias("places"))
-    # Both joins of the texts are left joins of the same columns in one query: they share one exchange.
-    placed = read.join(by_doc, "doc_id", "left").select("doc_id", "text", "places")
-    # Fewer bytes hold no frequent anchor.
-    frequent = _frequent_anchors(placed) if total >= FREQUENT else np.empty(0, dtype=np.uint64)
-    marks = _marks(_packed_snippets(placed, buckets, frequent))
-    if len(frequent):
-        marks = marks.unionByName(_frequent_marks(placed, frequent))
+    packed = stage(_packed_snippets(able.join(by_doc, "doc_id").select("doc_id", "text", "places"), buckets), "snippets")
+    frequent = _frequent_anchors(packed)
+    if frequent.isEmpty():
+        marks = _marks(packed)
+    else:
+        touched = packed.join(frequent, "bucket")
+        rest = packed.join(frequent, "bucket", "left_anti").unionByName(_without_frequent(touched))
+        marks = _marks(rest).unionByName(_frequent_marks(touched))
     marked = marks.groupBy("doc_id").agg(F.collect_list(F.struct("base", "bits")).alias("marks"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
