@@ -45,6 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from tripmill.llm.shared import ship_code, stage
+from tripmill.sources.workspace import Workspace
 
 WIDTH, GRAM = 50, 24
 SLIDE = WIDTH - GRAM  # bytes that a string can reach beyond its anchor on either side
@@ -168,7 +169,7 @@ def _packed_anchors(docs: DataFrame, buckets: int) -> DataFrame:
             def emit(number: int, where: np.ndarray) -> None:
                 where = where[np.lexsort((places[where], ids[where]))]
                 out[0].append(number)
-                out[1].append(_five(hashes[where]))
+                out[1].append(_five(hashes[where]) if number >= 0 else b"")
                 out[2].append(ids[where].astype("<i8").tobytes())
                 out[3].append(places[where].astype("<u4").tobytes())
 
@@ -428,24 +429,29 @@ _PACKED = pa.schema([("bucket", pa.int32()), *((name, pa.binary()) for name in (
 
 
 def _packed(bucket: int, ids, hashes, bases, lengths, parts, packer: zstandard.ZstdCompressor) -> dict:
-    """A row of packed snippets."""
+    """A row of packed snippets; numbers lie in planes of equal bytes, most of which hold zeros only."""
+    planes = lambda x, kind: packer.compress(np.ascontiguousarray(x.astype(kind)[:, None].view(np.uint8).T).tobytes())
     return {
         "bucket": bucket,
         "hashes": hashes.astype("<u8").tobytes(),
-        "docs": ids.astype("<i8").tobytes(),
-        "bases": bases.astype("<u4").tobytes(),
-        "lengths": lengths.astype(np.uint8).tobytes(),
+        "docs": planes(ids, "<i8"),
+        "bases": planes(bases, "<u4"),
+        "lengths": packer.compress(lengths.astype(np.uint8).tobytes()),
         "bytes": packer.compress(parts.tobytes()),
     }
 
 
 def _unpacked(row: dict) -> tuple[np.ndarray, ...]:
     """Documents, anchor hashes, bases, lengths and bytes of a row of packed snippets."""
-    ids, hashes, bases, lengths = (
-        np.frombuffer(row[name], dtype=kind) for name, kind in (("docs", "<i8"), ("hashes", "<u8"), ("bases", "<u4"), ("lengths", np.uint8))
-    )
-    parts = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["bytes"]), dtype=np.uint8)
-    return ids, hashes, bases.astype(np.int64), lengths.astype(np.int64), parts.reshape(-1, SNIPPET)
+    unpack = zstandard.ZstdDecompressor().decompress
+
+    def numbers(data: bytes, kind: str) -> np.ndarray:
+        planes = np.frombuffer(unpack(data), dtype=np.uint8).reshape(np.dtype(kind).itemsize, -1)
+        return np.ascontiguousarray(planes.T).view(kind).ravel().astype(np.int64)
+
+    ids, bases, lengths = numbers(row["docs"], "<i8"), numbers(row["bases"], "<u4"), numbers(row["lengths"], "u1")
+    parts = np.frombuffer(unpack(row["bytes"]), dtype=np.uint8)
+    return ids, np.frombuffer(row["hashes"], dtype="<u8"), bases, lengths, parts.reshape(-1, SNIPPET)
 
 
 def _frequent_anchors(packed: DataFrame) -> DataFrame:
@@ -530,7 +536,7 @@ def _without_frequent(touched: DataFrame) -> DataFrame:
 
 
 def _packed_snippets(placed: DataFrame, buckets: int) -> DataFrame:
-    """``bucket, hashes, docs, bases, lengths, bytes``: packed snippets; in buckets below 0 the marks known already."""
+    """``bucket, hashes, docs, bases, lengths, bytes``: packed snippets; in bucket -1 the marks known already."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=1)
@@ -557,7 +563,8 @@ def _packed_snippets(placed: DataFrame, buckets: int) -> DataFrame:
             for part in np.split(asking, cuts[1:]):
                 emit(int((hashes[part[0]] >> np.uint64(20)) % np.uint64(buckets)), part, True)
             if known.any():
-                emit(-1 - int(hashes[order[0]] % np.uint64(buckets)), order[known], False)
+                marked = order[known]
+                emit(-1, marked[np.lexsort((bases[marked], ids[marked]))], False)
             yield pa.RecordBatch.from_pylist(out, schema=_PACKED)
 
     return placed.mapInArrow(
@@ -576,39 +583,41 @@ def _row_hashes(rows: np.ndarray) -> np.ndarray:
     return (h * _MULTIPLIERS[2]) ^ (h >> np.uint64(32))
 
 
+_MARKS = ["doc_id", "base", "bits"]
+
+
 def _marks(packed: DataFrame) -> DataFrame:
     """``doc_id, base, bits``: bit n stands for the repeated string that starts n bytes after ``base``."""
 
-    def index(table: pa.Table) -> pa.Table:
-        ids, bases, lengths = (
-            np.frombuffer(b"".join(table[name].to_pylist()), dtype=kind).astype(np.int64)
-            for name, kind in (("docs", "<i8"), ("bases", "<u4"), ("lengths", np.uint8))
-        )
-        whole = (np.int64(1) << np.maximum(0, lengths - WIDTH + 1)) - 1
-        if table["bucket"][0].as_py() < 0:
-            bits = whole
-        else:
-            hashes = np.frombuffer(b"".join(table["hashes"].to_pylist()), dtype="<u8")
-            unpacked = b"".join(map(zstandard.ZstdDecompressor().decompress, table["bytes"].to_pylist()))
-            parts = np.frombuffer(unpacked, dtype=np.uint8).reshape(-1, SNIPPET)
-            content = _row_hashes(parts) ^ lengths.astype(np.uint64) ^ (hashes * _MULTIPLIERS[1])
-            order, group, first, _ = _least_of(content, ids)
-            ids, bases, lengths, whole = ids[order], bases[order], lengths[order], whole[order]
-            starts = _groups(content[order])
-            of_content = hashes[order][starts]
-            # An anchor with one content has no other strings to compare it with.
-            _, number, counts = np.unique(of_content, return_inverse=True, return_counts=True)
-            several = np.flatnonzero((counts[number] > 1) & (lengths[starts] >= WIDTH))
-            own = np.zeros(len(starts), dtype=np.int64)
-            if len(several):
-                own[several] = repeated_strings(parts[order][starts][several], lengths[starts][several], first[several])
-            bits = np.where(ids > first[group], whole, own[group])
+    def table(ids: np.ndarray, bases: np.ndarray, bits: np.ndarray) -> list[pa.Array]:
         some = bits != 0
-        return pa.table(
-            [pa.array(ids[some]), pa.array(bases[some], pa.int32()), pa.array(bits[some])], ["doc_id", "base", "bits"]
-        )
+        return [pa.array(ids[some]), pa.array(bases[some], pa.int32()), pa.array(bits[some])]
+
+    def index(rows: pa.Table) -> pa.Table:
+        ids, hashes, bases, lengths, parts = (np.concatenate(x) for x in zip(*map(_unpacked, rows.to_pylist())))
+        whole = (np.int64(1) << np.maximum(0, lengths - WIDTH + 1)) - 1
+        content = _row_hashes(parts) ^ lengths.astype(np.uint64) ^ (hashes * _MULTIPLIERS[1])
+        order, group, first, _ = _least_of(content, ids)
+        ids, bases, lengths, whole = ids[order], bases[order], lengths[order], whole[order]
+        starts = _groups(content[order])
+        of_content = hashes[order][starts]
+        # An anchor with one content has no other strings to compare it with.
+        _, number, counts = np.unique(of_content, return_inverse=True, return_counts=True)
+        several = np.flatnonzero((counts[number] > 1) & (lengths[starts] >= WIDTH))
+        own = np.zeros(len(starts), dtype=np.int64)
+        if len(several):
+            own[several] = repeated_strings(parts[order][starts][several], lengths[starts][several], first[several])
+        return pa.table(table(ids, bases, np.where(ids > first[group], whole, own[group])), _MARKS)
+
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in (row for batch in batches for row in batch.to_pylist()):
+            ids, _, bases, lengths, _ = _unpacked(row)
+            whole = (np.int64(1) << np.maximum(0, lengths - WIDTH + 1)) - 1
+            yield pa.RecordBatch.from_arrays(table(ids, bases, whole), _MARKS)
 
-    return packed.groupBy("bucket").applyInArrow(index, "doc_id bigint, base int, bits bigint")
+    schema = "doc_id bigint, base int, bits bigint"
+    asking = packed.filter("bucket >= 0").groupBy("bucket").applyInArrow(index, schema)
+    return asking.unionByName(packed.filter("bucket < 0").mapInArrow(known, schema))
 
 
 def cut_texts(texts: list[bytes], which: np.ndarray, bases: np.ndarray, bits: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
@@ -658,9 +667,11 @@ def _dedup_strings(read: DataFrame) -> DataFrame:
     able = read.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= WIDTH))
     total = able.agg(F.coalesce(F.sum(F.octet_length("text").cast("bigint")), F.lit(0))).first()[0]
     buckets = max(64, -(-total // BUCKET_BYTES))
-    shared = stage(_shared_places(_packed_anchors(able, buckets)), "places")
-    by_doc = shared.groupBy("doc_id").agg(F.collect_list("place").alias("places"))
-    packed = stage(_packed_snippets(able.join(by_doc, "doc_id").select("doc_id", "text", "places"), buckets), "snippets")
+    with Workspace(read.sparkSession) as space:  # the places go when the snippets are written
+        shared = space.stage(_shared_places(_packed_anchors(able, buckets)), "places")
+        by_doc = shared.groupBy("doc_id").agg(F.collect_list("place").alias("places"))
+        placed = able.join(by_doc, "doc_id").select("doc_id", "text", "places")
+        packed = stage(_packed_snippets(placed, buckets), "snippets")
     frequent = _frequent_anchors(packed)
     if frequent.isEmpty():
         marks = _marks(packed)
