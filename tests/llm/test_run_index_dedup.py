@@ -149,47 +149,37 @@ def test_different_texts_under_one_id_do_not_crash(spark):
     assert [r[:2] for r in out] == [(1, 88), (2, 5), (2, 68)] and out[0][2] == 0 and out[1][2] == 0
 
 
-def test_snippets_are_cut_and_written_once(spark, small_docs, monkeypatch):
-    """The result's own plan sees each text once, where it is cut; snippets come from the written table."""
-    written, stage = [], R.stage
-    monkeypatch.setattr(R, "stage", lambda table, name: written.append(name) or stage(table, name))
-    frame = R.dedup_strings(small_docs[1])
-    assert written == ["snippets", "frequent"]
-    plan = frame._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("MapInArrow") == 2  # marks known already, and the cut
-    assert len([line for line in plan.splitlines() if "Relation" in line and "text#" in line]) == 1
-
-
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_frequent_anchors_leave_the_buckets(spark, monkeypatch, broadcast):
+def test_texts_are_exchanged_once(spark, small_docs):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as large marks are
+    try:
+        frame = R.dedup_strings(small_docs[1])
+        frame.collect()
+        assert "ReusedExchange" in frame._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_frequent_anchors_leave_the_buckets(spark, monkeypatch):
     """A short line in changing surroundings, and a passage's edges: one content a document, no common bucket."""
     random.seed(7)
     noise = lambda n: "".join(random.choices("uvwxyz ", k=n))
     line, passage = "Licensed for anyone to read, 2024", "a passage that is certainly longer than fifty bytes in all, é and more"
     rows = [(n, f"{noise(60)}{line}{noise(60)}{passage if n % 2 else passage[5:]}{noise(40 + n % 9)}") for n in range(300)]
     rows += [(1000 + n, rows[n][1][20:150]) for n in range(40)] + [(2000, "q" * 60), (2001, "q" * 55)]
-    # All the frequent anchors of one document: no sample of documents would show them.
-    rows += [(3000, " ".join(f"{noise(45)}seldom seen but in one document only{noise(45)}" for _ in range(80))), (3001, f"{noise(50)}seldom seen but in one document only{noise(50)}")]
     random.shuffle(rows)
     frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
     monkeypatch.setattr(R, "FREQUENT", 50)
-    found, most = [], []
-    find, marks = R._frequent_anchors, R._marks
-
-    def watched(given):
-        per_anchor = {}
-        for r in given.filter("bucket >= 0").collect():
-            for h in np.frombuffer(r.hashes, dtype="<u8"):
-                per_anchor[h] = per_anchor.get(h, 0) + 1
-        most.append(max(per_anchor.values()))
-        return marks(given)
-
-    monkeypatch.setattr(R, "_frequent_anchors", lambda packed: found.append(find(packed)) or found[-1])
-    monkeypatch.setattr(R, "_marks", watched)
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit if broadcast else "-1")
-    try:
-        assert run(frame) == sorted(brute.op4(rows), key=repr)
-        assert sum(len(r.frequent) for r in found[0].collect()) >= 3 and most[0] < 50
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    monkeypatch.setattr(R, "SAMPLE", 1)
+    seen, most = [], []
+    find, pack = R._frequent_anchors, R._packed_snippets
+
+    def packed(*given):
+        out = pack(*given)
+        most.extend(len(h) // 8 for h, n in ((r.hashes, r.bucket) for r in out.collect()) if n >= 0)
+        return out
+
+    monkeypatch.setattr(R, "_frequent_anchors", lambda placed: seen.append(find(placed)) or seen[-1])
+    monkeypatch.setattr(R, "_packed_snippets", packed)
+    assert run(frame) == sorted(brute.op4(rows), key=repr)
+    assert len(seen[0]) >= 2 and max(most) < 50
