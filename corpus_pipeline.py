@@ -58,7 +58,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of at most 2048 in as few sequences as bin completion finds."""
-    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048).drop("gap")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
