@@ -18,13 +18,15 @@ from tripmill.operators.quality import clean_trips
 from tripmill.plans.jobs import Transformed, run_transform
 from tripmill.schemas import FINAL_SCHEMA, RAW_SCHEMA
 from tripmill.sources.files import scan_parquet, write_partitioned
+from tripmill.sources.sizing import enough_partitions, stored_files
 from tripmill.sources.workspace import workspace
 
 
 class TripTables:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, source_bytes: int):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.source_bytes = source_bytes
 
     @property
     def raw(self) -> DataFrame:
@@ -34,7 +36,8 @@ class TripTables:
     def _ingested(self) -> tuple[str, int]:
         path, counted = workspace(self.spark).fresh_path("raw-csv"), Observation()
         rows = self.raw.observe(counted, F.count(F.lit(1)).alias("rows"))
-        rows.write.option("header", True).csv(path)
+        with enough_partitions(self.spark, self.source_bytes):
+            rows.write.option("header", True).csv(path)
         return path, counted.get["rows"]
 
     @property
@@ -49,7 +52,8 @@ class TripTables:
     @cached_property
     def _staged(self) -> tuple[str, int]:
         path = workspace(self.spark).fresh_path("clean")
-        return path, write_partitioned(clean_trips(self.raw), path)
+        with enough_partitions(self.spark, self.source_bytes):
+            return path, write_partitioned(clean_trips(self.raw), path)
 
     @property
     def clean_path(self) -> str:
@@ -97,13 +101,13 @@ _TABLES: dict[tuple, TripTables] = {}
 def _fingerprint(spark: SparkSession, sf_dir: str) -> tuple:
     """Files, bytes and newest change of the source tables; the contents are not read."""
     paths = [f"{sf_dir}/{name}.parquet" for name in SOURCE_TABLES]
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
     newest = F.unix_micros(F.max("modificationTime"))
-    return tuple(files.agg(F.count(F.lit(1)), F.sum("length"), newest).first())
+    return tuple(stored_files(spark, *paths).agg(F.count(F.lit(1)), F.sum("length"), newest).first())
 
 
 def trip_tables(spark: SparkSession, sf_dir: str) -> TripTables:
-    key = (spark.sparkContext.applicationId, sf_dir, _fingerprint(spark, sf_dir))
+    files = _fingerprint(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, files)
     if key not in _TABLES:
-        _TABLES[key] = TripTables(spark, sf_dir)
+        _TABLES[key] = TripTables(spark, sf_dir, source_bytes=files[1])
     return _TABLES[key]
