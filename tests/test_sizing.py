@@ -5,9 +5,14 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tests.test_scale import plan_of
+from tests.test_scale import bag, plan_of
 from tripmill.checks import tables as check_tables
-from tripmill.sources import sizing
+from tripmill.sources import catalog, files, sizing
+
+
+@pytest.fixture(scope="module")
+def tables(spark, sf_dir):
+    return check_tables.trip_tables(spark, sf_dir)
 
 
 def partitions_of(frame):
@@ -31,3 +36,25 @@ def test_shared_tables_size_their_shuffles(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(check_tables, "write_partitioned", lambda trips, path: seen.append(partitions_of(trips)) or 0)
     check_tables.TripTables(spark, sf_dir, 40 * sizing.PARQUET_BYTES).rows_staged
     assert seen == [40]
+
+
+@pytest.mark.parametrize("text, size", [("134217728b", 1 << 27), ("16m", 1 << 24), ("2 GB", 2 << 30), ("77", 77)])
+def test_sizes_as_sessions_write_them(text, size):
+    assert sizing._bytes(text) == size
+
+
+def test_unshuffled_writes_scan_small_splits(spark, tables, tmp_path, monkeypatch):
+    """A task sorts what it has scanned, so the split bounds its memory."""
+    source = str(tmp_path / "source")
+    tables.clean.coalesce(1).write.option("parquet.block.size", 32 << 10).parquet(source)
+    trips = spark.read.parquet(source)
+    monkeypatch.setattr(sizing, "WRITE_SPLIT_BYTES", 64 << 10)
+    files.write_partitioned(trips, str(tmp_path / "sink"), rebalance=False)
+    catalog.save_managed_table(trips, "default.split_check", rebalance=False)
+    written = spark.read.parquet(str(tmp_path / "sink"))
+    assert bag(written) == bag(trips) == bag(spark.table("default.split_check"))
+    # A month that lies in one file of the source is written by each task that scans a part of it.
+    parts = {re.search(r"part-(\d+)", path).group(1) for path in written.inputFiles()}
+    copies = {re.search(r"part-(\d+)", path).group(1) for path in spark.table("default.split_check").inputFiles()}
+    assert len(parts) > 1 and len(copies) > 1
+    assert spark.conf.get(sizing.SPLIT_BYTES) == "134217728b"

@@ -6,6 +6,7 @@ Tables use data-source DDL, which works in the in-memory catalog and in a metast
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -15,6 +16,7 @@ from pyspark.sql.types import StructType
 
 from tripmill.operators.kpis import kpi
 from tripmill.schemas import FINAL_SCHEMA, PARTITION_COLUMNS
+from tripmill.sources.sizing import small_splits
 
 
 def _text(value: str) -> str:
@@ -99,11 +101,12 @@ def save_managed_table(
 ) -> None:
     """Overwrite a managed table, partitioned like the files it replaces.
 
-    Turn ``rebalance`` off for trips that are already laid out by month: no shuffle then.
+    Turn ``rebalance`` off for trips that are already laid out by month: no shuffle then, and small splits.
     """
     placed = trips.hint("rebalance", *partition_by) if rebalance else trips
     writer = placed.write.mode("overwrite").format("parquet").partitionBy(*partition_by)
-    writer.saveAsTable(quoted(table))
+    with nullcontext() if rebalance else small_splits(trips.sparkSession):
+        writer.saveAsTable(quoted(table))
 
 
 def register_table(

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tripmill.schemas import PARTITION_COLUMNS, RAW_SCHEMA
+from tripmill.sources.sizing import small_splits
 
 # Fixed value: the data source name of the public warehouse connector.
 SNOWFLAKE_FORMAT = "net.snowflake.spark.snowflake"
@@ -43,20 +45,22 @@ def write_partitioned(
 
     ``static`` replaces the whole target, ``dynamic`` only the partitions present in ``trips``.
     ``rebalance`` gathers each month in few files; adaptive execution splits a hot month over many
-    tasks. Turn it off when the input is already laid out by month: the write then needs no shuffle.
+    tasks. Turn it off when the input is already laid out by month: the write then needs no shuffle,
+    and scans in small splits, because each task sorts by month what it has scanned.
     The rows are counted by an observation in the write's own last stage, where Spark counts each
     task once even if it is retried.
     """
     counted = Observation()
     placed = trips.hint("rebalance", *partition_by) if rebalance else trips
     placed = placed.observe(counted, F.count(F.lit(1)).alias("rows"))
-    (
-        placed.write.mode("overwrite")
-        .option("compression", "snappy")
-        .option("partitionOverwriteMode", overwrite)
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+    with nullcontext() if rebalance else small_splits(trips.sparkSession):
+        (
+            placed.write.mode("overwrite")
+            .option("compression", "snappy")
+            .option("partitionOverwriteMode", overwrite)
+            .partitionBy(*partition_by)
+            .parquet(path)
+        )
     return counted.get["rows"]
 
 

@@ -1,12 +1,14 @@
 """Task sizes that do not grow with the input.
 
 Adaptive execution merges small shuffle partitions, but cuts only skewed ones, so their number must follow the
-bytes that are shuffled. The number holds for the actions inside the block only, and is never below the session's.
+bytes that are shuffled; and a write into month folders sorts whatever one task has scanned. Both limits hold for
+the actions inside the block only, and never undercut a session that asks for smaller tasks.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -14,9 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
 #: Stored bytes for each shuffle partition: packed Parquet grows about twenty times as rows, CSV about three times.
 PARQUET_BYTES = 4 << 20
 CSV_BYTES = 24 << 20
+#: Parquet that one task of an unshuffled write scans and sorts.
+WRITE_SPLIT_BYTES = 48 << 20
 
 
 def stored_files(spark: SparkSession, *paths: str) -> DataFrame:
@@ -29,6 +34,12 @@ def stored_bytes(spark: SparkSession, *paths: str) -> int:
     return stored_files(spark, *paths).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
+def _bytes(text: str) -> int:
+    """The bytes of a size such as 134217728, 134217728b, 16m or 1GB."""
+    number, unit = re.fullmatch(r"\s*(\d+)\s*([kmgtp]?)i?b?\s*", text.lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
 @contextmanager
 def _setting(spark: SparkSession, name: str, value: int) -> Iterator[None]:
     earlier = spark.conf.get(name, None)
@@ -48,3 +59,10 @@ def enough_partitions(spark: SparkSession, size: int, unit: int = PARQUET_BYTES)
     planned = int(spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
     with _setting(spark, INITIAL_PARTITIONS, max(planned, math.ceil(size / unit))):
         yield
+
+
+@contextmanager
+def small_splits(spark: SparkSession) -> Iterator[None]:
+    """Scans in splits of at most ``WRITE_SPLIT_BYTES``."""
+    with _setting(spark, SPLIT_BYTES, min(_bytes(spark.conf.get(SPLIT_BYTES)), WRITE_SPLIT_BYTES)):
+        yield
