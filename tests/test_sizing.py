@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.test_scale import bag, plan_of
 from tripmill.checks import tables as check_tables
+from tripmill.plans import jobs
 from tripmill.sources import catalog, files, sizing
 
 
@@ -38,6 +39,21 @@ def test_shared_tables_size_their_shuffles(spark, sf_dir, monkeypatch):
     assert seen == [40]
 
 
+def test_ingest_sizes_its_shuffles(spark, tables, tmp_path, monkeypatch):
+    seen = []
+
+    def spy(trips, path, *args, **options):
+        seen.append(partitions_of(trips))
+        return files.write_partitioned(trips, path, *args, **options)
+
+    size = sizing.stored_bytes(spark, tables.csv_path)
+    monkeypatch.setattr(jobs, "write_partitioned", spy)
+    monkeypatch.setattr(jobs, "CSV_BYTES", size // 30)
+    ingested = jobs.run_ingest(spark, tables.csv_path, str(tmp_path / "clean"))
+    assert bag(ingested.clean) == bag(tables.clean)
+    assert len(seen) == 1 and seen[0] in (30, 31)
+
+
 @pytest.mark.parametrize("text, size", [("134217728b", 1 << 27), ("16m", 1 << 24), ("2 GB", 2 << 30), ("77", 77)])
 def test_sizes_as_sessions_write_them(text, size):
     assert sizing._bytes(text) == size
