@@ -1,12 +1,17 @@
 """Near-dedup against all pairs in plain Python."""
 
+import os
 import random
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm import brute
 from tests.llm.conftest import rows_of
 from tripmill.llm.near_dedup import least_matches, near_dedup, stars
+from tripmill.llm.shared import FREE_SHUFFLES, stage
+from tripmill.sources.workspace import shared_root
 
 COLUMNS = ("doc_id", "n_shingles", "component_id", "kept")
 
@@ -116,3 +121,31 @@ def test_posterior_bounds():
 
 def test_empty(empty_docs):
     assert near_dedup(empty_docs).collect() == []
+
+
+def test_only_the_result_stays_staged(spark):
+    def staged():
+        return {(space, table) for space in os.listdir(shared_root(spark)) for table in os.listdir(f"{shared_root(spark)}/{space}")}
+
+    before = staged()
+    out = near_dedup(spark.createDataFrame(copies(1), "doc_id bigint, text string"), width=3, percent=85)
+    assert [table.split("-")[0] for _, table in staged() - before] == ["judged"]
+    assert rows_of(out, *COLUMNS) == sorted(brute.op3(copies(1)), key=repr)
+
+
+def test_staging_deletes_its_exchanges(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def exchanges():
+        tops = blocks.localDirsString()
+        return {name for top in tops for _, _, names in os.walk(top) for name in names if name.startswith("shuffle_")}
+
+    before = exchanges()
+    table = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    assert table.count() == 7 and exchanges() - before  # not a staged write: as the session says
+    before |= exchanges()
+    assert len(stage(table, "counted").collect()) == 7 and spark.conf.get(FREE_SHUFFLES, None) is None
+    until = time.time() + 10
+    while exchanges() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not exchanges() - before

@@ -67,3 +67,12 @@ def test_empty(spark, empty_docs):
     for _, step in corpus_pipeline.STAGES:
         docs = step(spark, docs, TESTDATA)
     assert docs.collect() == []
+
+
+def test_ids_with_several_texts_and_null_ids_in_near_dedup(spark):
+    """An id stays if one of its rows is kept; rows without an id stay."""
+    one, two = "a b c d e f g h", "p q r s t u v w"
+    rows = [(1, one), (2, one), (2, two), (3, two), (3, one), (None, one), (None, two), (4, None), (5, one), (5, one)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = corpus_pipeline.near_duplicates(spark, docs, TESTDATA)
+    assert rows_of(out, "doc_id", "text") == sorted([r for r in rows if r[0] not in (3, 5)], key=repr)

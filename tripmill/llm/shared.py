@@ -11,12 +11,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import tripmill
-from tripmill.sources.workspace import workspace
+from tripmill.sources.sizing import setting
+from tripmill.sources.workspace import Workspace, workspace
 
 #: The white space of the contracts: blank, tab, line feed, vertical tab, form feed, carriage return.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+#: Spark deletes the shuffle files of an action at its end, not when the driver next collects its garbage.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _SHIPPED: set[str] = set()
 
 
@@ -37,9 +41,15 @@ def ship_code(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
-def stage(table: DataFrame, name: str) -> DataFrame:
-    """Write the table to the shared folder and read it back: cuts the lineage, survives lost executors."""
-    return workspace(table.sparkSession).stage(table, name)
+def stage(table: DataFrame, name: str, space: Workspace | None = None) -> DataFrame:
+    """Write the table to the shared folder and read it back: cuts the lineage, survives lost executors.
+
+    Nothing reads the exchanges of the write again, so they are deleted with it. ``space`` holds the table instead
+    of the application's workspace; the caller closes it.
+    """
+    spark = table.sparkSession
+    with setting(spark, FREE_SHUFFLES, True):
+        return (space or workspace(spark)).stage(table, name)
 
 
 def partitions(spark: SparkSession) -> int:

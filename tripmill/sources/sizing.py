@@ -41,9 +41,9 @@ def _bytes(text: str) -> int:
 
 
 @contextmanager
-def _setting(spark: SparkSession, name: str, value: int) -> Iterator[None]:
+def setting(spark: SparkSession, name: str, value: int | bool) -> Iterator[None]:
     earlier = spark.conf.get(name, None)
-    spark.conf.set(name, str(value))
+    spark.conf.set(name, str(value).lower())
     try:
         yield
     finally:
@@ -57,12 +57,12 @@ def _setting(spark: SparkSession, name: str, value: int) -> Iterator[None]:
 def enough_partitions(spark: SparkSession, size: int, unit: int = PARQUET_BYTES) -> Iterator[None]:
     """At least one shuffle partition for each ``unit`` of the ``size`` bytes; adaptive execution merges small ones."""
     planned = int(spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    with _setting(spark, INITIAL_PARTITIONS, max(planned, math.ceil(size / unit))):
+    with setting(spark, INITIAL_PARTITIONS, max(planned, math.ceil(size / unit))):
         yield
 
 
 @contextmanager
 def small_splits(spark: SparkSession) -> Iterator[None]:
     """Scans in splits of at most ``WRITE_SPLIT_BYTES``."""
-    with _setting(spark, SPLIT_BYTES, min(_bytes(spark.conf.get(SPLIT_BYTES)), WRITE_SPLIT_BYTES)):
+    with setting(spark, SPLIT_BYTES, min(_bytes(spark.conf.get(SPLIT_BYTES)), WRITE_SPLIT_BYTES)):
         yield
