@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,6 +126,50 @@ def test_marks(letters, ids):
             assert bool(bits[n] >> start & 1) == want
 
 
+def around(gram, sides, seed):
+    """Snippets of texts that hold ``gram``, some at their start, as padded contents with the anchor's hash."""
+    random.seed(seed)
+    texts = [left[len(left) - random.choice([R.SLIDE, R.SLIDE, 15, 3]) :] + gram + right for left, right in sides]
+    contents, lengths = padded(texts)
+    return texts, contents, lengths, np.repeat(R._row_hashes(np.frombuffer(gram, dtype=np.uint8)[None]), len(texts))
+
+
+@pytest.mark.parametrize("letters, gram", [("ab", b"a" * R.GRAM), ("abc", b"abcbacbacabcacbbcabcaabc"), ("a", b"a" * R.GRAM)])
+def test_only_what_may_repeat_is_indexed(monkeypatch, letters, gram):
+    """Contents around one anchor: with their sides the same strings are found through smaller indexes."""
+    random.seed(5)
+    draw = lambda n: "".join(random.choices(letters, k=n)).encode()
+    sides = [(draw(R.SLIDE), draw(R.SLIDE)) for _ in range(60)]
+    sides += [(draw(R.SLIDE - k) + left[R.SLIDE - k :], right[: R.SLIDE - k] + draw(k)) for left, right in sides[:20] for k in (0, 5, 13, 20)]
+    texts, contents, lengths, hashes = around(gram, sides, 5)
+    docs = np.array([random.randrange(1000) for _ in texts])
+    indexed, build = [], R.build_index
+    monkeypatch.setattr(R, "build_index", lambda c, n: indexed.append(len(c)) or build(c, n))
+    bits = R.repeated_strings(contents, lengths, docs, R.anchor_sides(contents, lengths, hashes))
+    narrow, indexed[:] = sum(indexed), []
+    every = R.repeated_strings(contents, lengths, docs)
+    assert narrow <= sum(indexed) and (letters != "abc" or narrow < sum(indexed))
+    at = np.array([t.rindex(gram, 0, R.SLIDE + R.GRAM) for t in texts])
+    for n, t in enumerate(texts):
+        for start in range(len(t) - R.WIDTH + 1):
+            string, place = t[start : start + R.WIDTH], start - at[n]
+            aligned = any(docs[m] < docs[n] and 0 <= at[m] + place and u[at[m] + place :].startswith(string) for m, u in enumerate(texts))
+            assert every[n] >> start & 1 >= bits[n] >> start & 1 >= aligned
+
+
+def test_a_match_that_ends_too_early_is_given_up():
+    texts = snippets("abcdefgh ", 6)
+    index = R.build_index(*padded(texts[:40]))[0]
+    streamed = padded(texts[40:])
+    steps = [sum(len(active) for active, *_ in R.matching_statistics(index, *streamed, reach)) for reach in (0, R.WIDTH)]
+    assert steps[1] < 0.8 * steps[0]
+    bits = np.zeros(len(streamed[1]), dtype=np.int64)
+    for active, read, matched, _ in R.matching_statistics(index, *streamed):
+        hit = active[matched >= R.WIDTH]
+        bits[hit] |= np.int64(1) << (streamed[1][hit] - read)
+    assert bits.any() and (bits == R.held_strings(index, *streamed)).all()
+
+
 @pytest.mark.parametrize("kind", ["string", "int", "decimal(20,0)"])
 def test_ids_keep_their_type(spark, kind):
     rows = [(i, t) for i, t in pieces(4, 60)] + [(None, "n" * 60)]
@@ -183,3 +228,11 @@ def test_frequent_anchors_leave_the_buckets(spark, monkeypatch):
     monkeypatch.setattr(R, "_packed_snippets", packed)
     assert run(frame) == sorted(brute.op4(rows), key=repr)
     assert len(seen[0]) >= 2 and max(most) < 50
+
+
+def test_map_tasks_hold_a_part_of_a_batch(monkeypatch):
+    monkeypatch.setattr(R, "PART_BYTES", 100)
+    texts = ["a" * 60, None, "b" * 30, "", "c" * 250, "d" * 10, "é" * 20]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(texts)], ["doc_id", "text"])
+    parts = [part.column(1).to_pylist() for part in R._parts(iter([batch, batch.slice(0, 0)]))]
+    assert sum(parts, []) == texts and [len(p) for p in parts] == [4, 3]

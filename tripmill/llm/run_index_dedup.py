@@ -12,6 +12,9 @@
    whichever sampled suffix shares more. A match of ``WIDTH`` bytes marks a repeat, as every indexed document
    is smaller. Contents with an unmatched string go on to another round alike, so rounds together cost about
    one pass. Repeats among the indexed contents themselves are read off the suffix array of the build.
+   Contents of one anchor that share a string agree on ``SIDE`` bytes before the anchor or on as many behind it;
+   what agrees with no other content is neither indexed nor streamed, and a match that ends too early for any
+   string is followed no further.
 4. Frequent anchors. An anchor whose contents differ from document to document (the edge of a passage, a short
    line in changing surroundings) would make one bucket as large as the corpus. Anchors of ``FREQUENT`` contents
    or more, as a sample of the documents shows, go another way: each of their strings is keyed by 128 bits of
@@ -32,7 +35,7 @@ ignored; an empty table gives an empty result. Ids of any type that sorts: "smal
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -48,8 +51,11 @@ from tripmill.llm.shared import ship_code, stage
 WIDTH, GRAM = 50, 24
 SLIDE = WIDTH - GRAM  # bytes that a string can reach beyond its anchor on either side
 SNIPPET = WIDTH + SLIDE
-#: Bytes hashed at a time, and bytes of text behind a bucket of anchors.
-CHUNK, BUCKET_BYTES = 1 << 20, 4 << 20
+SIDE = SLIDE // 2  # bytes on one side of the anchor, at least, of every string around it
+#: Bytes hashed at a time, so few that the hashes stay in the processor's cache, and bytes of text behind a bucket of anchors.
+CHUNK, BUCKET_BYTES = 1 << 17, 4 << 20
+#: Bytes of text whose anchors a map task holds at a time.
+PART_BYTES = 8 << 20
 #: Contents from which an anchor counts as frequent, and one document in how many is looked at for that.
 FREQUENT, SAMPLE = 1 << 14, 64
 _TABLE = np.random.default_rng(4).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -106,6 +112,15 @@ def _chunks(texts: list[bytes]) -> Iterator[tuple[int, list[tuple[int, bytes]]]]
         yield group
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``PART_BYTES`` of text."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy().astype(np.int64)
+        cuts = _groups(np.cumsum(sizes) // PART_BYTES)
+        for start, stop in zip(cuts, [*cuts[1:], len(sizes)]):
+            yield batch.slice(start, stop - start)
+
+
 def batch_anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, position and hash of every anchor of the texts."""
     rows, places, hashes = [], [], []
@@ -141,6 +156,11 @@ def _least_of(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return order, numbers, np.minimum.reduceat(held, starts), np.maximum.reduceat(held, starts)
 
 
+def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """Numbers of buckets, narrow ones if they can be: a stable sort of these takes one pass."""
+    return (hashes % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.uint64)
+
+
 def _five(hashes: np.ndarray) -> bytes:
     """The low five bytes of each hash: with the bucket, enough to tell anchors apart."""
     return np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
@@ -150,22 +170,21 @@ def _packed_anchors(docs: DataFrame, buckets: int) -> DataFrame:
     """``bucket, hashes, docs, places``: packed anchors; those already known as shared are in buckets below 0."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             texts = [(value.as_py() or "").encode() for value in batch.column(1)]
             rows, places, hashes = batch_anchors(texts)
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)[rows]
             order, group, first, last = _least_of(hashes, ids)
-            ids, places, hashes = ids[order], places[order], hashes[order]
-            shared = (first < last)[group]
             # Of a shared anchor only one place of its least id asks the bucket; of others, every place does.
-            asks = ~shared
-            least = np.flatnonzero(ids == first[group])
-            asks[least[_groups(group[least])]] = True
-            bucket = (hashes >> np.uint64(40)) % np.uint64(buckets)
+            shared, asks = np.empty(len(ids), dtype=bool), np.empty(len(ids), dtype=bool)
+            shared[order] = (first < last)[group]
+            asks[order] = ~shared[order]
+            least = np.flatnonzero(ids[order] == first[group])
+            asks[order[least[_groups(group[least])]]] = True
+            bucket = _bucket(hashes >> np.uint64(40), buckets)
             out = [[], [], [], []]
 
-            def emit(number: int, where: np.ndarray) -> None:
-                where = where[np.lexsort((places[where], ids[where]))]
+            def emit(number: int, where: np.ndarray) -> None:  # by row, then by place, as they were found
                 out[0].append(number)
                 out[1].append(_five(hashes[where]))
                 out[2].append(ids[where].astype("<i8").tobytes())
@@ -211,6 +230,7 @@ class RunIndex:
 
     words: np.ndarray  # the seven symbols from each position of the text on, packed
     run_starts: np.ndarray  # row where each run begins
+    run_numbers: np.ndarray  # run of each row
     run_symbols: np.ndarray
     run_heads: np.ndarray  # row that the run's first row maps to
     run_lengths: np.ndarray
@@ -220,7 +240,7 @@ class RunIndex:
     symbol_keys: np.ndarray  # symbol and place of these, as one sorted number
 
     def run_of(self, rows: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.run_starts, rows, side="right") - 1
+        return self.run_numbers[rows]
 
     def step(self, rows: np.ndarray) -> np.ndarray:
         """Last-to-first mapping: the rows of the suffixes one byte longer."""
@@ -298,6 +318,7 @@ def build_index(contents: np.ndarray, lengths: np.ndarray) -> tuple[RunIndex, np
     index = RunIndex(
         words,
         run_starts,
+        np.repeat(np.arange(len(run_starts)), run_lengths),
         run_symbols,
         run_heads,
         run_lengths,
@@ -329,98 +350,144 @@ def own_repeats(order: np.ndarray, by_28: np.ndarray, ends: np.ndarray, lengths:
     return np.bincount(owner[hit], weights=2.0 ** at[hit], minlength=len(docs)).astype(np.int64)
 
 
-def matching_statistics(index: RunIndex, contents: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray, np.ndarray]]:
+def matching_statistics(
+    index: RunIndex, contents: np.ndarray, lengths: np.ndarray, reach: int = 0
+) -> Iterator[tuple[np.ndarray, int, np.ndarray, np.ndarray]]:
     """Stream the contents backwards through the index, all in lockstep.
 
     Each step yields the contents that are long enough, how many of their last bytes have been read, and for what
     begins there the longest match in the index and its position. A row whose run has another symbol goes on
     from the next run of the symbol above or below, whichever suffix, as sampled at the end of that run, shares more.
+    Matches that begin earlier end no later, so a content whose match ends before byte ``reach`` is given up.
     """
     n_runs = len(index.run_starts)
     nowhere = int(index.first_samples[0])  # row 0: the end of the text
+    active = np.arange(len(lengths))
     rows, matched = np.zeros(len(lengths), dtype=np.int64), np.zeros(len(lengths), dtype=np.int64)
-    places = np.full(len(lengths), nowhere, dtype=np.int64)
+    places, left = np.full(len(lengths), nowhere, dtype=np.int64), lengths.astype(np.int64)
     for read in range(1, int(lengths.max()) + 1):
-        active = np.flatnonzero(lengths >= read)
-        symbol = contents[active, lengths[active] - read].astype(np.int64) + 2
-        row, place, length = rows[active], places[active], matched[active]
-        run = index.run_of(row)
+        going = (left > 0) & (left + matched >= reach)
+        if not going.all():
+            active, rows, matched, places, left = (x[going] for x in (active, rows, matched, places, left))
+            if not len(active):
+                return
+        left = left - 1
+        symbol = contents[active, left].astype(np.int64) + 2
+        run = index.run_of(rows)
         off = np.flatnonzero(index.run_symbols[run] != symbol)
         below = np.searchsorted(index.symbol_keys, symbol[off] * n_runs + run[off])
         best = np.full(len(off), -1, dtype=np.int64)
+        was, limit = places[off], matched[off]  # both ends are weighed against the suffix before the jump
         for spot, sampled, at_end in ((below - 1, index.last_samples, True), (below, index.first_samples, False)):
             other = index.by_symbol[np.clip(spot, 0, n_runs - 1)]
             able = np.flatnonzero((spot >= 0) & (spot < n_runs) & (index.run_symbols[other] == symbol[off]))
-            found, to = off[able], other[able]
-            share = index.shared(place[found], sampled[to], length[found])
+            to = other[able]
+            share = index.shared(was[able], sampled[to], limit[able])
             better = share > best[able]
-            found, to, share = found[better], to[better], share[better]
+            found, to, share = off[able[better]], to[better], share[better]
             best[able[better]] = share
-            run[found], row[found] = to, index.run_starts[to] + (index.run_lengths[to] - 1 if at_end else 0)
-            # ``place`` and ``length`` stay those before the jump, so both ends are weighed against the same suffix.
-            places[active[found]], matched[active[found]] = sampled[to], share
-        lost = active[off[best < 0]]
-        went = np.ones(len(active), dtype=bool)
-        went[off[best < 0]] = False
-        moved, run, row = active[went], run[went], row[went]
-        rows[moved] = index.run_heads[run] + row - index.run_starts[run]
-        places[moved] -= 1
-        matched[moved] += 1
+            run[found], rows[found] = to, index.run_starts[to] + (index.run_lengths[to] - 1 if at_end else 0)
+            places[found], matched[found] = sampled[to], share
+        rows = index.run_heads[run] + rows - index.run_starts[run]
+        places, matched = places - 1, matched + 1
+        lost = off[best < 0]
         rows[lost], places[lost], matched[lost] = 0, nowhere, 0
-        yield active, read, matched[active], places[active]
+        yield active, read, matched, places
 
 
 def held_strings(index: RunIndex, contents: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """By content: a bit for each string in it that the index holds."""
     bits = np.zeros(len(lengths), dtype=np.int64)
-    for active, read, matched, _ in matching_statistics(index, contents, lengths):
+    for active, read, matched, _ in matching_statistics(index, contents, lengths, WIDTH):
         hit = active[matched >= WIDTH]
         bits[hit] |= np.int64(1) << (lengths[hit] - read)
     return bits
 
 
-def repeated_strings(contents: np.ndarray, lengths: np.ndarray, docs: np.ndarray) -> np.ndarray:
+def anchor_sides(contents: np.ndarray, lengths: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Two rows of numbers by content, for its anchor with ``SIDE`` bytes before it and behind it; 0: not so many.
+
+    The anchor stands ``SLIDE`` bytes from the start, or nearer in what opens a text; then its last place up to there
+    counts, as each string of the content holds that one too.
+    """
+    at = np.full(len(lengths), -1)
+    for offset in range(SLIDE, -1, -1):
+        unknown = np.flatnonzero(at < 0)
+        grams = np.ascontiguousarray(contents[unknown, offset : offset + GRAM])
+        at[unknown[_row_hashes(grams) == hashes[unknown]]] = offset
+    sides = np.zeros((2, len(lengths)), dtype=np.int64)
+    windows = np.lib.stride_tricks.sliding_window_view(contents, SIDE, axis=1)
+    for side, start in zip(sides, (at - SIDE, at + GRAM)):
+        has = np.flatnonzero((at >= 0) & (start >= 0) & (start + SIDE <= lengths))
+        keys = _row_hashes(windows[has, start[has]]) ^ (hashes[has] * _MULTIPLIERS[1])
+        side[has] = np.unique(keys, return_inverse=True)[1] + 1
+    return sides
+
+
+def _agree(sides: np.ndarray, asking: np.ndarray, others: np.ndarray, least: int) -> np.ndarray:
+    """Which of the contents ``asking`` agree on a side with ``least`` of the ``others``."""
+    out = np.zeros(len(asking), dtype=bool)
+    for side in sides:
+        counts = np.bincount(side[others], minlength=int(side.max(initial=0)) + 1)
+        counts[0] = 0
+        out |= counts[side[asking]] >= least
+    return out
+
+
+def repeated_strings(contents: np.ndarray, lengths: np.ndarray, docs: np.ndarray, sides: np.ndarray | None = None) -> np.ndarray:
     """By content: a bit for each string in it that a content of a smaller document also holds.
 
     The contents of the smaller half of the documents are indexed, those of the larger documents are streamed
     through it: any match of ``WIDTH`` bytes is a repeat. What still has an unmatched string goes on alike, so
-    that all rounds together index and stream each content once or so.
+    that all rounds together index and stream each content once or so. With ``sides`` only strings around the same
+    anchor count, and contents that agree with no other one on a side have none of them in common.
     """
     bits = np.zeros(len(docs), dtype=np.int64)
     whole = (np.int64(1) << np.maximum(0, lengths - WIDTH + 1)) - 1
     left = np.argsort(docs, kind="stable")
     while len(left):
+        if sides is not None:
+            left = left[_agree(sides, left, left, 2)]
+            if not len(left):
+                break
         cut = np.searchsorted(docs[left], docs[left[(len(left) - 1) // 2]], side="right")  # documents stay whole
         held, later = left[:cut], left[cut:]
         index, order, by_28, ends = build_index(contents[held], lengths[held])
         bits[held] |= own_repeats(order, by_28, ends, lengths[held], docs[held])
-        if len(later):
-            bits[later] |= held_strings(index, contents[later], lengths[later])
+        streamed = later if sides is None else later[_agree(sides, later, held, 1)]
+        if len(streamed):
+            bits[streamed] |= held_strings(index, contents[streamed], lengths[streamed])
         left = later[bits[later] != whole[later]]
     return bits
 
 
-def _snippets(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
-    """Document, anchor hash, base, length and padded bytes of the snippet around each place of the batch."""
-    ids, hashes, bases, lengths = (np.empty(0, dtype=k) for k in (np.int64, np.uint64, np.int64, np.int64))
-    found = [[ids], [hashes], [bases], [lengths], [np.empty((0, SNIPPET), dtype=np.uint8)]]
-    for doc, value, places in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-        if not places.is_valid or not value.is_valid:
-            continue
-        data = np.frombuffer(value.as_py().encode(), dtype=np.uint8)
-        at = np.unique(places.values.to_numpy().astype(np.int64))
-        at = at[at + GRAM <= len(data)]
-        if not len(at):
-            continue
-        base = np.maximum(0, at - SLIDE)
-        stop = np.minimum(len(data), at + WIDTH)
-        padded = np.concatenate([data, np.zeros(SNIPPET, dtype=np.uint8)])
-        rows = padded[base[:, None] + np.arange(SNIPPET)]
-        rows[np.arange(SNIPPET) >= (stop - base)[:, None]] = 0
-        grams = padded[at[:, None] + np.arange(GRAM)]
-        for column, x in zip(found, (np.full(len(at), doc), _row_hashes(grams), base, stop - base, rows)):
-            column.append(x)
-    return tuple(np.concatenate(x) for x in found)
+def _snippets(batch: pa.RecordBatch, wanted: Callable[[np.ndarray], np.ndarray] | None = None) -> tuple[np.ndarray, ...]:
+    """Document, anchor hash, base, length and padded bytes of the snippet around each place of the batch.
+
+    ``wanted`` tells by the anchors' hashes which snippets are cut.
+    """
+    texts = [(value.as_py() or "").encode() for value in batch.column(1)]
+    sizes = np.array([len(text) for text in texts], dtype=np.int64)
+    starts = np.cumsum(sizes) - sizes
+    data = np.frombuffer(b"".join([*texts, bytes(SNIPPET)]), dtype=np.uint8)
+    owner = pc.list_parent_indices(batch.column(2)).to_numpy()
+    at = pc.list_flatten(batch.column(2)).to_numpy().astype(np.int64)
+    inside = at + GRAM <= sizes[owner]
+    spots = np.unique(starts[owner[inside]] + at[inside])
+    hashes = _row_hashes(np.lib.stride_tricks.sliding_window_view(data, GRAM)[spots])
+    if wanted is not None:
+        some = wanted(hashes)
+        spots, hashes = spots[some], hashes[some]
+    owner = np.searchsorted(starts + sizes, spots, side="right")
+    at = spots - starts[owner]
+    bases = np.maximum(0, at - SLIDE)
+    lengths = np.minimum(sizes[owner], at + WIDTH) - bases
+    rows = np.lib.stride_tricks.sliding_window_view(data, SNIPPET)[starts[owner] + bases]
+    short = np.flatnonzero(lengths < SNIPPET)
+    rows[short] *= np.arange(SNIPPET) < lengths[short, None]
+    # Ids are null in rows without places only.
+    ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return ids[owner], hashes, bases, lengths, rows
 
 
 def _frequent_anchors(placed: DataFrame) -> np.ndarray:
@@ -448,9 +515,7 @@ def _frequent_marks(placed: DataFrame, frequent: np.ndarray) -> DataFrame:
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, hashes, bases, lengths, parts = _snippets(batch)
-            wanted = np.isin(hashes, frequent) & (lengths >= WIDTH)
-            ids, bases, lengths, parts = (x[wanted] for x in (ids, bases, lengths, parts))
+            ids, _, bases, lengths, parts = _snippets(batch, lambda hashes: np.isin(hashes, frequent))
             if not len(ids):
                 continue
             which, shifts, ones, twos = [], [], [], []
@@ -497,10 +562,7 @@ def _packed_snippets(placed: DataFrame, buckets: int, frequent: np.ndarray) -> D
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            ids, hashes, bases, lengths, parts = _snippets(batch)
-            if len(frequent):
-                rare = ~np.isin(hashes, frequent)
-                ids, hashes, bases, lengths, parts = (x[rare] for x in (ids, hashes, bases, lengths, parts))
+            ids, hashes, bases, lengths, parts = _snippets(batch, lambda hashes: ~np.isin(hashes, frequent))
             if not len(ids):
                 continue
             content = _row_hashes(parts) ^ lengths.astype(np.uint64) ^ (hashes * _MULTIPLIERS[1])
@@ -519,7 +581,7 @@ def _packed_snippets(placed: DataFrame, buckets: int, frequent: np.ndarray) -> D
             asking = order[~known]
             # By bucket, then by anchor: snippets that differ little stand side by side and pack well.
             asking = asking[np.argsort(hashes[asking])]
-            bucket = (hashes[asking] >> np.uint64(20)) % np.uint64(buckets)
+            bucket = _bucket(hashes[asking] >> np.uint64(20), buckets)
             by_bucket = np.argsort(bucket, kind="stable")
             asking = asking[by_bucket]
             cuts = _groups(bucket[by_bucket])
@@ -538,14 +600,18 @@ def _packed_snippets(placed: DataFrame, buckets: int, frequent: np.ndarray) -> D
 
 
 def _row_hashes(rows: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each row of bytes."""
-    wide = np.zeros((len(rows), -(-rows.shape[1] // 8) * 8), dtype=np.uint8)
-    wide[:, : rows.shape[1]] = rows
-    h = np.full(len(rows), _MULTIPLIERS[3], dtype=np.uint64)
-    for word in wide.view("<u8").T:
-        h = (h ^ word) * _MULTIPLIERS[0]
-        h ^= h >> np.uint64(29)
-    return (h * _MULTIPLIERS[2]) ^ (h >> np.uint64(32))
+    """A 64-bit hash of each row of bytes, a few thousand rows at a time."""
+    out = np.empty(len(rows), dtype=np.uint64)
+    for first in range(0, len(rows), 1 << 12):
+        part = rows[first : first + (1 << 12)]
+        wide = np.zeros((len(part), -(-rows.shape[1] // 8) * 8), dtype=np.uint8)
+        wide[:, : rows.shape[1]] = part
+        h = np.full(len(part), _MULTIPLIERS[3], dtype=np.uint64)
+        for word in wide.view("<u8").T:
+            h = (h ^ word) * _MULTIPLIERS[0]
+            h ^= h >> np.uint64(29)
+        out[first : first + (1 << 12)] = (h * _MULTIPLIERS[2]) ^ (h >> np.uint64(32))
+    return out
 
 
 def _marks(packed: DataFrame) -> DataFrame:
@@ -573,7 +639,9 @@ def _marks(packed: DataFrame) -> DataFrame:
             several = np.flatnonzero((counts[number] > 1) & (lengths[starts] >= WIDTH))
             own = np.zeros(len(starts), dtype=np.int64)
             if len(several):
-                own[several] = repeated_strings(parts[order][starts][several], lengths[starts][several], first[several])
+                contents, sizes = parts[order[starts[several]]], lengths[starts][several]
+                sides = anchor_sides(contents, sizes, of_content[several])
+                own[several] = repeated_strings(contents, sizes, first[several], sides)
             bits = np.where(ids > first[group], whole, own[group])
         some = bits != 0
         return pa.table(
