@@ -5,7 +5,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tests.test_semantics import trip
+from tripmill.checks import queries as check_queries
+from tripmill.checks import tables as check_tables
 from tripmill.checks.tables import trip_tables
+from tripmill.operators import kpis
 from tripmill.plans import jobs
 from tripmill.schemas import RAW_SCHEMA
 from tripmill.sources import catalog, files
@@ -193,3 +196,18 @@ def test_workspace_without_a_configured_folder():
         conf, sparkContext = Conf(), Context()
 
     assert shared_root(Session()) == "hdfs://store/warehouse/_staged"
+
+
+def test_one_list_needs_no_written_table(spark, sf_dir, monkeypatch):
+    """The fare anomalies alone read their columns of the staged trips; once the final table is there, that one."""
+    alone = check_tables.TripTables(spark, sf_dir, 1)
+    alone.__dict__["_staged"] = trip_tables(spark, sf_dir)._staged
+    monkeypatch.setattr(check_queries, "trip_tables", lambda *_: alone)
+    found = check_queries.QUERIES["anomaly_fare"](spark, sf_dir)
+    assert "_final" not in alone.__dict__
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "tip_amount" not in plan and "day_of_week" not in plan
+    rows = found.collect()
+    assert rows and rows == kpis.anomaly_fare(alone.final).collect()
+    assert check_queries.QUERIES["anomaly_fare"](spark, sf_dir).collect() == rows
+    assert alone.final_once.inputFiles()[0].startswith("file:") and alone.final_path in alone.final_once.inputFiles()[0]

@@ -262,7 +262,7 @@ def count_partition(t: TripTables) -> DataFrame:
 
 
 query(lambda t: kpis.count_total(t.final), "count_total")
-query(lambda t: kpis.anomaly_fare(t.final), "anomaly_fare")
+query(lambda t: kpis.anomaly_fare(t.final_once), "anomaly_fare")
 query(lambda t: kpis.anomaly_speed(t.final), "anomaly_speed")
 
 

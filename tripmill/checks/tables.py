@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tripmill.checks.tripview import SOURCE_TABLES, trip_view
 from tripmill.operators.features import engineer_features
 from tripmill.operators.quality import clean_trips
-from tripmill.plans.jobs import Transformed, run_transform
+from tripmill.plans.jobs import Transformed, run_transform, transformed_trips
 from tripmill.schemas import FINAL_SCHEMA, RAW_SCHEMA
 from tripmill.sources.files import scan_parquet, write_partitioned
 from tripmill.sources.sizing import enough_partitions, stored_files
@@ -94,6 +94,15 @@ class TripTables:
     def final(self) -> DataFrame:
         return scan_parquet(self.spark, self.final_path, FINAL_SCHEMA)
 
+    @cached_property
+    def _unwritten(self) -> DataFrame:
+        return transformed_trips(self.spark, self.clean_path, workspace(self.spark), quantiles="exact")[0]
+
+    @property
+    def final_once(self) -> DataFrame:
+        """For one pass over few columns: the final trips as written, or, if nothing has written them, lazily."""
+        return self.final if "_final" in self.__dict__ else self._unwritten
+
 
 _TABLES: dict[tuple, TripTables] = {}
 

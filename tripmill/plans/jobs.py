@@ -77,19 +77,8 @@ def run_transform(
     """
     if output_path.rstrip("/") == staging_path.rstrip("/"):
         raise ValueError("the output must not overwrite the staged trips it is read from")
-    staged = scan_parquet(spark, staging_path, RAW_SCHEMA)
-    featured = engineer_features(staged)
     with Workspace(spark) as space:
-        if fenced:
-            measures = space.stage(featured.select("pickup_borough", *FENCE_COLUMNS), "measures")
-            fences = compute_fences(measures, mode=quantiles)
-            source = apply_fences(measures, fences)
-        else:
-            fences, source = [], featured
-        averages = space.stage(borough_averages(source), "borough-averages")
-        trips = attach_averages(fenced_features(staged, fences), averages)
-        if fenced:
-            trips = final_columns(trips)
+        trips, fences = transformed_trips(spark, staging_path, space, fenced, quantiles)
         rows_written = write_partitioned(trips, output_path, rebalance=False)
 
     written = scan_parquet(spark, output_path, trips.schema)
@@ -97,6 +86,26 @@ def run_transform(
     return Transformed(written, fences, rows_loaded, rows_written)
 
 
+def transformed_trips(
+    spark: SparkSession, staging_path: str, space: Workspace, fenced: bool = True, quantiles: str = "approx"
+) -> tuple[DataFrame, list[Fence]]:
+    """The transformed trips as a lazy scan of the staged ones, and their fences, for which the passes are run.
+
+    A single report reads only its own columns of it. ``space`` holds the staged averages that the scan joins.
+    """
+    staged = scan_parquet(spark, staging_path, RAW_SCHEMA)
+    featured = engineer_features(staged)
+    if fenced:
+        measures = space.stage(featured.select("pickup_borough", *FENCE_COLUMNS), "measures")
+        fences = compute_fences(measures, mode=quantiles)
+        source = apply_fences(measures, fences)
+    else:
+        fences, source = [], featured
+    averages = space.stage(borough_averages(source), "borough-averages")
+    trips = attach_averages(fenced_features(staged, fences), averages)
+    return final_columns(trips) if fenced else trips, fences
+
+
 def fenced_features(staged: DataFrame, fences: Sequence[Fence]) -> DataFrame:
     """Featured trips inside the fences.
 
