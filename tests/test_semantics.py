@@ -1,6 +1,8 @@
 """Hand-written rows for the behaviour that must not drift."""
 
 import datetime as dt
+import math
+import random
 
 import pytest
 from pyspark.sql import Row
@@ -107,6 +109,19 @@ def test_rounding_is_half_up_on_the_decimal_text(spark):
     assert tuple(rounded.first()) == (2.68, 1.01, 3.0, -3.0)
 
 
+@pytest.mark.parametrize("digits", [1, 2])
+def test_rounded_equals_round_to_the_bit(spark, digits):
+    draw = random.Random(digits)
+    halves = [(n + 0.5) / 10**digits for n in range(-3000, 3000)]
+    near = [math.nextafter(x, side) for x in halves for side in (-math.inf, math.inf)]
+    spread = [draw.uniform(-1, 1) * 10 ** draw.randint(-12, 20) for _ in range(20000)]
+    odd = [0.0, -0.0, -0.001, 5e-324, 1.7e308, 1e9, -1e9, 999999999.995, math.nan, math.inf, -math.inf, None]
+    values = spark.createDataFrame([(x,) for x in (*halves, *near, *spread, *odd)], "x double")
+    pairs = values.select(tc.rounded(F.col("x"), digits).alias("fast"), F.round("x", digits).alias("slow"))
+    # As text, so that NaN equals NaN and 0.0 is not -0.0.
+    assert pairs.where(~F.col("fast").cast("string").eqNullSafe(F.col("slow").cast("string"))).collect() == []
+
+
 def test_month_label_and_day_type(spark):
     frame = spark.createDataFrame([(2023, 1, True), (2023, 12, False)], "y int, m int, w boolean")
     rows = frame.select(tc.month_label("y", "m").alias("l"), tc.day_type("w").alias("d")).collect()

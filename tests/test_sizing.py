@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tests.test_scale import bag, plan_of
 from tripmill.checks import tables as check_tables
+from tripmill.checks.tripview import ID_PARTS, SOURCE_TABLES, trip_view
+from tripmill.operators import quality
 from tripmill.plans import jobs
 from tripmill.sources import catalog, files, sizing
 
@@ -39,6 +41,51 @@ def test_shared_tables_size_their_shuffles(spark, sf_dir, monkeypatch):
     assert seen == [40]
 
 
+@pytest.fixture
+def unbroadcast(spark):
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    with sizing.setting(spark, names[0], -1), sizing.setting(spark, names[1], -1):
+        yield
+
+
+def test_staged_trips_are_deduped_where_the_join_placed_them(spark, sf_dir, unbroadcast, monkeypatch):
+    seen = []
+    monkeypatch.setattr(check_tables, "write_partitioned", lambda trips, path: seen.append(plan_of(trips)) or 0)
+    check_tables.TripTables(spark, sf_dir, 1).rows_staged
+    assert "Window [" in seen[0] and "SortMergeJoin [l_orderkey" in seen[0]
+    # Neither by the id nor by its parts.
+    assert not re.search(r"Exchange hashpartitioning\((trip_id|l_orderkey#\w+, l_linenumber)", seen[0])
+    assert spark.conf.get(check_tables.FORCE_SKEW_JOIN) == "false"
+
+
+def test_dedupe_by_parts_with_a_hot_order_and_null_lines(spark, sf_dir, unbroadcast, tmp_path):
+    for name in SOURCE_TABLES:
+        table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        if name == "lineitem":
+            line = F.col("l_linenumber")
+            hot = F.when(F.col("l_partkey") % 3 > 0, table.agg(F.min("l_orderkey")).first()[0]).otherwise(F.col("l_orderkey"))
+            table = table.withColumn("l_orderkey", hot).withColumn("l_linenumber", F.when(line != 2, line)).repartition(8)
+        table.write.parquet(f"{tmp_path}/{name}.parquet")
+    expected = bag(quality.clean_trips(trip_view(spark, str(tmp_path))))
+    skew, none = "spark.sql.adaptive.skewJoin.skewedPartition", "spark.sql.adaptive.coalescePartitions.enabled"
+    with (
+        sizing.setting(spark, f"{skew}ThresholdInBytes", 1000),
+        sizing.setting(spark, f"{skew}Factor", 2),
+        sizing.setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", 4000),
+        sizing.setting(spark, none, False),
+        sizing.setting(spark, check_tables.FORCE_SKEW_JOIN, True),
+    ):
+        clean = quality.clean_trips(trip_view(spark, str(tmp_path), parts=True), ID_PARTS)
+        rows = clean.collect()
+        plan = plan_of(clean)
+    assert sum(expected.values()) == len(rows) and bag(spark.createDataFrame(rows, clean.schema)) == expected
+    assert "skew=true" in plan  # a hot order does not stay in one task
+
+
+def test_staged_trips_equal_those_deduped_by_id(tables):
+    assert bag(tables.clean) == bag(quality.clean_trips(tables.raw))
+
+
 def test_ingest_sizes_its_shuffles(spark, tables, tmp_path, monkeypatch):
     seen = []
 

@@ -12,16 +12,19 @@ from functools import cached_property
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.checks.tripview import SOURCE_TABLES, trip_view
+from tripmill.checks.tripview import ID_PARTS, SOURCE_TABLES, trip_view
 from tripmill.operators.features import engineer_features
 from tripmill.operators.quality import clean_trips
 from tripmill.plans.jobs import Transformed, run_transform, transformed_trips
 from tripmill.schemas import FINAL_SCHEMA, RAW_SCHEMA
 from tripmill.sources.files import scan_parquet, write_partitioned
-from tripmill.sources.sizing import enough_partitions, stored_files
+from tripmill.sources.sizing import enough_partitions, setting, stored_files
 from tripmill.sources.workspace import workspace
 
 
+FORCE_SKEW_JOIN = "spark.sql.adaptive.forceOptimizeSkewedJoin"
+
+
 class TripTables:
     def __init__(self, spark: SparkSession, sf_dir: str, source_bytes: int):
         self.spark = spark
@@ -52,8 +55,10 @@ class TripTables:
     @cached_property
     def _staged(self) -> tuple[str, int]:
         path = workspace(self.spark).fresh_path("clean")
-        with enough_partitions(self.spark, self.source_bytes):
-            return path, write_partitioned(clean_trips(self.raw), path)
+        trips = trip_view(self.spark, self.sf_dir, parts=True)
+        # The dedupe keeps the join's placement; where an order is hot, its split is worth a shuffle after it.
+        with enough_partitions(self.spark, self.source_bytes), setting(self.spark, FORCE_SKEW_JOIN, True):
+            return path, write_partitioned(clean_trips(trips, ID_PARTS), path)
 
     @property
     def clean_path(self) -> str:

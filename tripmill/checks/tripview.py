@@ -3,7 +3,7 @@
 Five regions stand for five boroughs. The view holds duplicates, nulls, bad ranges, malformed
 times, zero durations and long trips on purpose. It needs the session time zone UTC.
 Every join is on a key; the planner broadcasts a side only when its files are small enough,
-otherwise adaptive execution splits a hot key.
+otherwise adaptive execution splits a hot key. The orders come last, so the rows stay placed by order.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from tripmill.functions.trip_columns import DATETIME_PATTERN
 from tripmill.schemas import RAW_SCHEMA
 
+#: What a trip id is made of; an id determines both.
+ID_PARTS = ("l_orderkey", "l_linenumber")
 SOURCE_TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem")
 
 
@@ -21,7 +23,8 @@ def _later(moment: Column, unit: str, amount: Column) -> Column:
     return moment + F.make_dt_interval(**{unit: amount})
 
 
-def trip_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trip_view(spark: SparkSession, sf_dir: str, parts: bool = False) -> DataFrame:
+    """The raw trips; with ``parts``, each behind the ``ID_PARTS`` that its id is made of."""
     table = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in SOURCE_TABLES}
     places = table["nation"].join(
         table["region"], F.col("n_regionkey") == F.col("r_regionkey")
@@ -32,15 +35,12 @@ def trip_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
         .select("o_orderkey", "o_orderpriority", F.col("r_name").alias("pickup_borough"))
     )
-    dropoffs = (
-        table["supplier"]
-        .join(places, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("s_suppkey", F.col("r_name").alias("dropoff_borough"))
-    )
+    ends = places.select(F.col("n_nationkey").alias("end_nationkey"), F.col("r_name").alias("dropoff_borough"))
     joined = (
         table["lineitem"]
+        .join(table["supplier"].select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(ends, F.col("s_nationkey") == F.col("end_nationkey"))
         .join(pickups, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(dropoffs, F.col("l_suppkey") == F.col("s_suppkey"))
     )
 
     part, order, line = F.col("l_partkey"), F.col("l_orderkey"), F.col("l_linenumber")
@@ -89,5 +89,6 @@ def trip_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         "trip_month": F.month("pk"),
     }
     return helped.select(
+        *(ID_PARTS if parts else ()),
         *[columns[field.name].cast(field.dataType).alias(field.name) for field in RAW_SCHEMA]
     )

@@ -26,22 +26,34 @@ def parsed_datetime(text: str) -> Column:
     )
 
 
+def rounded(value: Column, digits: int) -> Column:
+    """``F.round`` of a double: half up on its decimal text.
+
+    Away from a half the nearest multiple is the same without that text, and the quotient of two whole numbers is
+    the double next to it. Near a half, from a billion on, and for NaN and infinity, ``F.round`` decides.
+    """
+    unit = 10.0**digits
+    scaled = value * unit
+    clear = (F.abs(value) < 1e9) & (F.abs(scaled - F.floor(scaled) - 0.5) > 1e-4)
+    return F.when(clear, F.floor(scaled + 0.5) / F.lit(unit)).otherwise(F.round(value, digits))
+
+
 def duration_minutes(start: str, end: str) -> Column:
     seconds = F.unix_timestamp(F.col(end)) - F.unix_timestamp(F.col(start))
-    return F.round(seconds / 60, 2)
+    return rounded(seconds / 60, 2)
 
 
 def speed_mph(miles: str, minutes: str) -> Column:
     """Uses the rounded minutes; null when they are 0."""
-    return F.round(F.try_divide(F.col(miles), F.col(minutes) / 60), 2)
+    return rounded(F.try_divide(F.col(miles), F.col(minutes) / 60), 2)
 
 
 def per_mile(amount: str, miles: str) -> Column:
-    return F.round(F.try_divide(F.col(amount), F.col(miles)), 2)
+    return rounded(F.try_divide(F.col(amount), F.col(miles)), 2)
 
 
 def percent_of(part: str, whole: str) -> Column:
-    return F.round(F.try_divide(F.col(part), F.col(whole)) * 100, 1)
+    return rounded(F.try_divide(F.col(part), F.col(whole)) * 100, 1)
 
 
 def day_part(hour: str) -> Column:

@@ -7,6 +7,8 @@ map task to one row per id before the shuffle, so a hot id costs one row per tas
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -16,18 +18,23 @@ from tripmill.sources.workspace import Workspace, workspace
 CRITICAL_COLUMNS = ("trip_id", "pickup_datetime", "fare_amount", "trip_distance_miles")
 
 
-def _survivor_order(trips: DataFrame, key: str) -> list[Column]:
+def _survivor_order(trips: DataFrame, keys: Sequence[str]) -> list[Column]:
     """All other columns ascending, nulls last: what comes first survives.
 
     Each column follows its null flag, so that a sort and a struct comparison agree.
     """
-    others = [name for name in trips.columns if name != key]
+    others = [name for name in trips.columns if name not in keys]
     return [part for name in others for part in (F.col(name).isNull().alias(f"no_{name}"), F.col(name))]
 
 
-def dedupe(trips: DataFrame, key: str = "trip_id") -> DataFrame:
-    """One row per key; rows without a key collapse to one."""
-    order = Window.partitionBy(key).orderBy(*_survivor_order(trips, key))
+def dedupe(trips: DataFrame, key: str = "trip_id", parts: Sequence[str] = ()) -> DataFrame:
+    """One row per key; rows without a key collapse to one.
+
+    ``parts`` are columns that the key determines and is made of. They lead the sort, and trips that are already
+    placed by one of them need no shuffle.
+    """
+    keys = (*parts, key)
+    order = Window.partitionBy(*keys).orderBy(*_survivor_order(trips, keys))
     ranked = trips.withColumn("survivor_rank", F.row_number().over(order))
     return ranked.where(F.col("survivor_rank") == 1).drop("survivor_rank")
 
@@ -37,13 +44,14 @@ def is_valid() -> Column:
     return (F.col("fare_amount") > 0) & (F.col("trip_distance_miles") > 0)
 
 
-def clean_trips(trips: DataFrame) -> DataFrame:
+def clean_trips(trips: DataFrame, parts: Sequence[str] = ()) -> DataFrame:
     """Dedupe, then keep valid rows with an id.
 
     The validity test must follow the dedupe, or an invalid survivor would be replaced by a valid
-    copy. The id test may go first: rows without an id only compete with each other.
+    copy. The id test may go first: rows without an id only compete with each other. The ``parts`` of the id
+    (see ``dedupe``) are dropped.
     """
-    return dedupe(trips.where(F.col("trip_id").isNotNull())).where(is_valid())
+    return dedupe(trips.where(F.col("trip_id").isNotNull()), parts=parts).where(is_valid()).drop(*parts)
 
 
 def _row_counts() -> list[Column]:
