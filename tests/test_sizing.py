@@ -1,6 +1,9 @@
 """Tasks that do not grow with the input: shuffle partitions and splits."""
 
+import gzip
+import os
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -121,3 +124,75 @@ def test_unshuffled_writes_scan_small_splits(spark, tables, tmp_path, monkeypatc
     copies = {re.search(r"part-(\d+)", path).group(1) for path in spark.table("default.split_check").inputFiles()}
     assert len(parts) > 1 and len(copies) > 1
     assert spark.conf.get(sizing.SPLIT_BYTES) == "134217728b"
+
+
+@pytest.fixture
+def new_exchanges(spark):
+    """Shuffle files that were not there before the test; waits for those that Spark is about to delete."""
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def exchanges():
+        tops = blocks.localDirsString()
+        return {name for top in tops for _, _, names in os.walk(top) for name in names if name.startswith("shuffle_")}
+
+    before = exchanges()
+
+    def left():
+        until = time.time() + 10
+        while exchanges() - before and time.time() < until:
+            time.sleep(0.1)
+        return exchanges() - before
+
+    return left
+
+
+def test_ingest_deletes_its_exchanges(spark, tables, tmp_path, monkeypatch, new_exchanges):
+    seen = []
+
+    def spy(trips, path, *args, **options):
+        seen.append(new_exchanges())
+        return files.write_partitioned(trips, path, *args, **options)
+
+    monkeypatch.setattr(jobs, "write_partitioned", spy)
+    ingested = jobs.run_ingest(spark, tables.csv_path, str(tmp_path / "clean"))
+    assert seen == [set()]  # that of the count, before the write makes its own
+    assert not new_exchanges() and bag(ingested.clean) == bag(tables.clean)
+    assert spark.conf.get(sizing.FREE_SHUFFLES, None) is None
+
+
+def test_shared_builds_delete_their_exchanges(spark, sf_dir, unbroadcast, new_exchanges):
+    built = check_tables.TripTables(spark, sf_dir, 1)
+    assert built.rows_ingested and built.rows_staged and not new_exchanges()
+
+
+def test_raw_csv_is_stored_packed_in_small_files(spark, sf_dir, tables, monkeypatch):
+    monkeypatch.setitem(check_tables.CSV_OPTIONS, "maxRecordsPerFile", 500)
+    built = check_tables.TripTables(spark, sf_dir, 1)
+    paths = [row.path.removeprefix("file:") for row in sizing.stored_files(spark, built.csv_path).collect()]
+    texts = [gzip.open(path, "rb").read() for path in paths if path.endswith(".csv.gz")]
+    assert len(texts) > 1 and max(text.count(b"\n") for text in texts) == 501
+    assert sizing.stored_bytes(spark, built.csv_path) < 0.5 * sum(map(len, texts))
+    assert bag(files.scan_csv(spark, built.csv_path)) == bag(built.raw)
+    assert built.rows_ingested == built.raw.count() == sum(text.count(b"\n") - 1 for text in texts)
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_ingest_scans_packed_files_in_small_splits(spark, tables, tmp_path, monkeypatch, packed):
+    """A file that cannot be cut is one task; small ones are not gathered into a task that unpacks much more."""
+    source = str(tmp_path / "csv")
+    rows = files.scan_csv(spark, tables.csv_path).repartition(12)
+    rows.write.option("header", True).option("compression", "gzip" if packed else "none").csv(source)
+    seen = []
+
+    def spy(trips, path, *args, **options):
+        seen.append(files.scan_csv(spark, source).rdd.getNumPartitions())
+        return files.write_partitioned(trips, path, *args, **options)
+
+    monkeypatch.setattr(jobs, "write_partitioned", spy)
+    monkeypatch.setattr(sizing, "PACKED_SPLIT_BYTES", 1 << 10)
+    monkeypatch.setattr(sizing, "WRITE_SPLIT_BYTES", 1 << 10)
+    with sizing.setting(spark, "spark.sql.files.openCostInBytes", 0), sizing.setting(spark, "spark.sql.files.minPartitionNum", 2):
+        outside = files.scan_csv(spark, source).rdd.getNumPartitions()
+        ingested = jobs.run_ingest(spark, source, str(tmp_path / "clean"))
+    assert seen == [12 if packed else outside] and outside < 12
+    assert bag(ingested.clean) == bag(tables.clean)

@@ -11,16 +11,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import tripmill
-from tripmill.sources.sizing import setting
+from tripmill.sources.sizing import FREE_SHUFFLES, setting
 from tripmill.sources.workspace import Workspace, workspace
 
 #: The white space of the contracts: blank, tab, line feed, vertical tab, form feed, carriage return.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: Spark deletes the shuffle files of an action at its end, not when the driver next collects its garbage.
-FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
 _SHIPPED: set[str] = set()
 
 

@@ -22,7 +22,7 @@ from tripmill.sources.files import (
     write_partitioned,
     write_warehouse,
 )
-from tripmill.sources.sizing import CSV_BYTES, enough_partitions, stored_bytes
+from tripmill.sources.sizing import CSV_BYTES, enough_partitions, freed_shuffles, packed_splits, stored_bytes
 from tripmill.sources.workspace import Workspace
 
 
@@ -47,12 +47,14 @@ class Transformed:
 def run_ingest(spark: SparkSession, csv_path: str, staging_path: str) -> Ingested:
     """Count the raw rows, write the clean ones by month: one aggregate and one write.
 
-    The number of shuffle partitions follows the size of the files, so no task grows with them.
+    The number of shuffle partitions follows the size of the files, so no task grows with them, and the exchange of
+    the count is gone before the write makes its own.
     """
     raw = scan_csv(spark, csv_path)
-    with enough_partitions(spark, stored_bytes(spark, csv_path), CSV_BYTES):
-        report = raw_counts(raw).first().asDict()
-        report["clean_records"] = write_partitioned(clean_trips(raw), staging_path)
+    with freed_shuffles(spark), packed_splits(spark, csv_path):
+        with enough_partitions(spark, stored_bytes(spark, csv_path), CSV_BYTES):
+            report = raw_counts(raw).first().asDict()
+            report["clean_records"] = write_partitioned(clean_trips(raw), staging_path)
     report["rejected_records"] = report["total_records"] - report["clean_records"]
     return Ingested(scan_parquet(spark, staging_path, RAW_SCHEMA), report)
 
